@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.schemas import open_end
@@ -86,3 +86,13 @@ def is_current() -> Column:
     return F.coalesce(
         (F.col("deleted_flg") == "N") & (F.col("effective_to") == open_end()), F.lit(False)
     )
+
+
+def explode_present(rows: DataFrame, name: str, *options: Column) -> DataFrame:
+    """One row per option that is not NULL, in the new column ``name``.
+
+    Exploding first and filtering then keeps all of it in generated code, which dropping
+    the NULLs from the array would not.
+    """
+    exploded = rows.select("*", F.explode(F.array(*options)).alias(name))
+    return exploded.filter(F.col(name).isNotNull())

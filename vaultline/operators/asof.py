@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.functions.columns import seconds
+from vaultline.functions.columns import explode_present, seconds
 from vaultline.schemas import BEGINNING, ntz, open_end
 
 
@@ -73,28 +73,25 @@ def without_gaps(
             "effective_to",
             *[F.col(name).alias(alias) for name, alias in names.items()],
         )
-        .withColumn(
-            "_covered",
-            F.max("effective_to").over(ordered.rowsBetween(Window.unboundedPreceding, -1)),
+        .select(
+            "*",
+            F.max("effective_to")
+            .over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+            .alias("_covered"),
+            F.lead("_span_key").over(ordered).isNull().alias("_last"),
         )
-        .withColumn("_last", F.lead("_span_key").over(ordered).isNull())
     )
     gap_from = F.coalesce(F.col("_covered") + seconds(1), ntz(BEGINNING))
     reach = F.greatest(F.col("_covered"), F.col("effective_to"))
-    spans = F.array_compact(
-        F.array(
-            F.when(
-                gap_from < F.col("effective_from"),
-                _span(False, gap_from, F.col("effective_from") - seconds(1)),
-            ),
-            _span(True, F.col("effective_from"), F.col("effective_to")),
-            F.when(
-                F.col("_last") & (reach < open_end()),
-                _span(False, reach + seconds(1), open_end()),
-            ),
-        )
+    before = F.when(
+        gap_from < F.col("effective_from"),
+        _span(False, gap_from, F.col("effective_from") - seconds(1)),
+    )
+    itself = _span(True, F.col("effective_from"), F.col("effective_to"))
+    after = F.when(
+        F.col("_last") & (reach < open_end()), _span(False, reach + seconds(1), open_end())
     )
-    return versions.withColumn("_span", F.explode(spans)).select(
+    return explode_present(versions, "_span", before, itself, after).select(
         "_span_key",
         F.col("_span.span_from").alias("_span_from"),
         F.col("_span.span_to").alias("_span_to"),

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from vaultline.functions.columns import epoch_seconds, seconds
+from vaultline.functions.columns import epoch_seconds, explode_present, seconds
 from vaultline.schemas import ACCEPTED, REJECTED, SPENDING_TYPES
 
 DAY = 86_400
@@ -33,9 +33,9 @@ def in_slots(rows: DataFrame, *, ts: str, reach: int, width: int = DAY) -> DataF
     width = max(width, reach)
     slot = F.floor(epoch_seconds(ts) / F.lit(width))
     late = epoch_seconds(ts) >= (slot + 1) * width - reach
-    return rows.withColumn(
-        "_slot", F.explode(F.array_compact(F.array(slot, F.when(late, slot + 1))))
-    ).withColumn("_home", F.col("_slot") == slot)
+    return explode_present(rows, "_slot", slot, F.when(late, slot + 1)).withColumn(
+        "_home", F.col("_slot") == slot
+    )
 
 
 def _slot_window(key: str, ts: str) -> WindowSpec:
@@ -92,25 +92,13 @@ def with_two_places(moments: DataFrame, *, key: str, ts: str, within: int = HOUR
     run_starts = low.isNotNull() & (
         (F.col("_before.low") != F.col("_before.high")) | (F.col("_before.low") != low)
     )
-    return (
-        moments.withColumn("_before", before)
-        .withColumn("_other_at", F.when(run_starts, F.col("_before.at")))
-        .withColumn(
-            "_other_at",
-            F.last("_other_at", ignorenulls=True).over(
-                ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        )
-        .withColumn(
-            "two_places",
-            F.coalesce(
-                F.col(key).isNotNull()
-                & low.isNotNull()
-                & ((low != high) | (F.col("_other_at") >= F.col(ts) - seconds(within))),
-                F.lit(False),
-            ),
-        )
-        .drop("_before", "_other_at")
+    other_at = F.last(F.when(run_starts, F.col("_before.at")), ignorenulls=True).over(
+        ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    near = (low != high) | (F.col("_other_at") >= F.col(ts) - seconds(within))
+    return moments.select("*", before.alias("_before")).select("*", other_at.alias("_other_at")).select(
+        *moments.columns,
+        F.coalesce(F.col(key).isNotNull() & low.isNotNull() & near, F.lit(False)).alias("two_places"),
     )
 
 
@@ -130,9 +118,7 @@ def with_decreasing_chain(
         F.col("_last_rejected").alias("rejected"),
         F.col("_last_amount").alias("amount"),
     )
-    result = moments
-    for back in range(1, n + 1):
-        result = result.withColumn(f"_back_{back}", F.lag(earlier, back).over(ordered))
+    attempts = [F.lag(earlier, back).over(ordered).alias(f"_back_{back}") for back in range(1, n + 1)]
     tests = [F.col("_first_accepted"), F.col(f"_back_{n}.at") >= F.col(ts) - seconds(within)]
     later_amount = F.col("_first_amount")
     for back in range(1, n + 1):
@@ -142,8 +128,8 @@ def with_decreasing_chain(
         if back < n:
             tests.append(F.col(f"_back_{back}.operations") == 1)
     ends = reduce(lambda left, right: left & right, tests)
-    return result.withColumn("chain_end", F.coalesce(ends, F.lit(False))).drop(
-        *[f"_back_{back}" for back in range(1, n + 1)]
+    return moments.select("*", *attempts).select(
+        *moments.columns, F.coalesce(ends, F.lit(False)).alias("chain_end")
     )
 
 

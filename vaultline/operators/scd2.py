@@ -15,7 +15,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.functions.columns import deleted_flag, differs, is_current, seconds
+from vaultline.functions.columns import (
+    deleted_flag,
+    differs,
+    explode_present,
+    is_current,
+    seconds,
+)
 from vaultline.schemas import VERSION_COLUMNS, ntz, open_end
 
 
@@ -216,10 +222,9 @@ def scd2_touched(
         open_end(),
         F.when(gone, F.lit("Y")).otherwise(F.lit("N")),
     )
-    versions = F.array_compact(
-        F.array(F.when(had_current, kept), F.when(closes | added, following))
-    )
-    return pairs.select(F.explode(versions).alias("_version")).select("_version.*")
+    return explode_present(
+        pairs, "_version", F.when(had_current, kept), F.when(closes | added, following)
+    ).select("_version.*")
 
 
 def scd2_load(

@@ -66,8 +66,8 @@ def stage_snapshot(rows: DataFrame, dim: Dimension, effective: datetime | str) -
     )
 
 
-def stage_transactions(rows: DataFrame) -> DataFrame:
-    """Text cells of a transaction file as fact columns."""
+def stage_transactions(rows: DataFrame, *kept: str) -> DataFrame:
+    """Text cells of a transaction file as fact columns, with the ``kept`` columns as they are."""
     return rows.select(
         blank_to_null("transaction_id").alias("trans_id"),
         parse_second("transaction_date").alias("trans_date"),
@@ -76,6 +76,7 @@ def stage_transactions(rows: DataFrame) -> DataFrame:
         decimal_comma("amount").alias("amt"),
         blank_to_null("oper_result").alias("oper_result"),
         clean_key("terminal").alias("terminal"),
+        *kept,
     )
 
 

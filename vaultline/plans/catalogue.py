@@ -14,6 +14,7 @@ from vaultline.functions.columns import (
     decimal_comma,
     deleted_flag,
     differs,
+    explode_present,
     full_name,
     is_current,
     past_last_day,
@@ -427,13 +428,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = fraud.asof_chain(
         b.transactions.select("trans_id", "trans_date", "card_num"), b.cards, b.accounts, b.clients
     )
-    kinds = F.array_compact(
-        F.array(
-            F.when(past_last_day("passport_valid_to", "trans_date"), fraud.PASSPORT),
-            F.when(past_last_day("account_valid_to", "trans_date"), fraud.CONTRACT),
-        )
-    )
-    return held.select("trans_id", F.explode(kinds).alias("event_type"))
+    return explode_present(
+        held,
+        "event_type",
+        F.when(past_last_day("passport_valid_to", "trans_date"), fraud.PASSPORT),
+        F.when(past_last_day("account_valid_to", "trans_date"), fraud.CONTRACT),
+    ).select("trans_id", "event_type")
 
 
 def _chains(tx: DataFrame) -> DataFrame:

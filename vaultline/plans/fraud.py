@@ -21,7 +21,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.functions.columns import full_name, past_last_day
+from vaultline.functions.columns import explode_present, full_name, past_last_day
 from vaultline.operators.asof import asof_dim_join, overlay
 from vaultline.operators.blacklist import entry_counts, first_entries
 from vaultline.operators.moments import (
@@ -68,7 +68,28 @@ def holder_spans(
     return spans
 
 
-def at_time(tx: DataFrame, spans: DataFrame, *, key: str = "card_num", ts: str = "trans_date") -> DataFrame:
+def suspects(spans: DataFrame, latest: Column) -> DataFrame:
+    """The spans in which rule 1 or 2 can hold for a transaction up to ``latest``.
+
+    Few holders have run into trouble by then, so this is a small part of the spans, often
+    small enough to broadcast. ``spans`` must have been built with the blacklist.
+    """
+    trouble = F.least(
+        F.col("first_entry_dt"),
+        F.col("passport_valid_to") + F.make_dt_interval(days=F.lit(1)),
+        F.col("account_valid_to") + F.make_dt_interval(days=F.lit(1)),
+    )
+    return spans.filter(trouble < F.least(F.col("effective_to"), latest))
+
+
+def at_time(
+    tx: DataFrame,
+    spans: DataFrame,
+    *,
+    key: str = "card_num",
+    ts: str = "trans_date",
+    how: str = "left",
+) -> DataFrame:
     """Transactions with the holder of their card at their time; NULLs if there is none."""
     attrs = [name for name in spans.columns if name not in (key, "effective_from", "effective_to")]
     holders = spans.select(
@@ -78,7 +99,7 @@ def at_time(tx: DataFrame, spans: DataFrame, *, key: str = "card_num", ts: str =
         *attrs,
     )
     held = (tx[key] == F.col("_span_card")) & tx[ts].between(F.col("_span_from"), F.col("_span_to"))
-    return tx.join(holders, held, "left").drop("_span_card", "_span_from", "_span_to")
+    return tx.join(holders, held, how).drop("_span_card", "_span_from", "_span_to")
 
 
 def asof_chain(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
@@ -126,16 +147,20 @@ def _report_rows(rows: DataFrame, event_type: Column | int, report_dt: datetime
     )
 
 
+# NULL if a time is missing. A filter drops that like false, and then Spark can see that
+# rows without a holder never pass and plan an inner join.
+
+
 def _listed() -> Column:
-    return F.coalesce(F.col("first_entry_dt") < F.col("trans_date"), F.lit(False))
+    return F.col("first_entry_dt") < F.col("trans_date")
 
 
 def _expired() -> Column:
-    return F.coalesce(past_last_day("passport_valid_to", "trans_date"), F.lit(False))
+    return past_last_day("passport_valid_to", "trans_date")
 
 
 def _contract_ended() -> Column:
-    return F.coalesce(past_last_day("account_valid_to", "trans_date"), F.lit(False))
+    return past_last_day("account_valid_to", "trans_date")
 
 
 def _once_per_entry(rows: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -167,7 +192,8 @@ def fraud_passport(
     spans = holder_spans(cards, accounts, clients, blacklist)
     flagged = at_time(tx.select("trans_date", "card_num"), spans).filter(_listed() | _expired())
     if not dedupe:
-        flagged = flagged.select("*", _listed().alias("_by_entry"), F.lit(1).alias("copies"))
+        by_entry = F.coalesce(_listed(), F.lit(False)).alias("_by_entry")
+        flagged = flagged.select("*", by_entry, F.lit(1).alias("copies"))
         flagged = _repeat(_once_per_entry(flagged, blacklist), "copies")
     return _report_rows(flagged, PASSPORT, report_dt)
 
@@ -227,10 +253,8 @@ def _flagged_moments(
                 F.struct(F.lit(GUESSING).alias("event_type"), F.lit(1).cast("bigint").alias("copies")),
             )
         )
-    return (
-        moments.filter("_home")
-        .select("card_num", "trans_date", F.explode(F.array_compact(F.array(*hits))).alias("_hit"))
-        .select("card_num", "trans_date", "_hit.*")
+    return explode_present(moments.filter("_home"), "_hit", *hits).select(
+        "card_num", "trans_date", "_hit.*"
     )
 
 
@@ -271,35 +295,62 @@ def fraud_guessing(
 
 def _all_rules(
     tx: DataFrame,
-    cards: DataFrame,
-    accounts: DataFrame,
-    clients: DataFrame,
     terminals: DataFrame,
-    blacklist: DataFrame,
+    spans: DataFrame,
+    suspect_spans: DataFrame | None,
     *,
     n: int,
     within: int,
 ) -> DataFrame:
     """One row per transaction (or moment) and rule, with ``event_type`` and ``copies``."""
-    flagged = _flagged_moments(tx, terminals, guessing=True, chain=n, chain_within=within)
-    plain = tx.select(
+    flagged = _flagged_moments(
+        tx, terminals, guessing=True, chain=n, chain_within=within
+    ).withColumnRenamed("event_type", "moment_type")
+    plain = tx.filter(F.col("card_num").isNotNull()).select(
         "card_num",
         "trans_date",
-        F.lit(None).cast("int").alias("event_type"),
+        F.lit(None).cast("int").alias("moment_type"),
         F.lit(1).cast("bigint").alias("copies"),
     )
-    held = at_time(
-        plain.unionByName(flagged), holder_spans(cards, accounts, clients, blacklist)
-    )
-    transaction = F.col("event_type").isNull()
-    rules = F.array_compact(
-        F.array(
-            F.when(transaction & (_listed() | _expired()), PASSPORT),
-            F.when(transaction & _contract_ended(), CONTRACT),
-            F.col("event_type"),
-        )
+    if suspect_spans is None:
+        held = at_time(plain.unionByName(flagged), spans)
+    else:
+        held = at_time(plain, suspect_spans, how="inner").unionByName(at_time(flagged, spans))
+    of_moment = F.col("moment_type").isNotNull()
+    passport = ~of_moment & (_listed() | _expired())
+    contract = ~of_moment & _contract_ended()
+    return explode_present(
+        held.filter(of_moment | passport | contract),
+        "event_type",
+        F.when(passport, PASSPORT),
+        F.when(contract, CONTRACT),
+        F.col("moment_type"),
     )
-    return held.withColumn("event_type", F.explode(rules))
+
+
+def report_from_spans(
+    tx: DataFrame,
+    terminals: DataFrame,
+    blacklist: DataFrame,
+    spans: DataFrame,
+    suspect_spans: DataFrame | None = None,
+    *,
+    report_dt: datetime | str,
+    n: int = 3,
+    within: int = 1_200,
+    dedupe: bool = False,
+) -> DataFrame:
+    """All four rules over holder spans.
+
+    With ``suspect_spans`` (see ``suspects``) rules 1 and 2 read only these. If they are
+    a stored table, Spark knows their size when it plans, and if that allows a broadcast
+    the transactions are not shuffled for these rules at all.
+    """
+    hits = _all_rules(tx, terminals, spans, suspect_spans, n=n, within=within)
+    if not dedupe:
+        by_entry = (F.col("event_type") == PASSPORT) & F.coalesce(_listed(), F.lit(False))
+        hits = _once_per_entry(hits.withColumn("_by_entry", by_entry), blacklist)
+    return _report_rows(_repeat(hits, "copies"), F.col("event_type"), report_dt)
 
 
 def fraud_report(
@@ -315,11 +366,10 @@ def fraud_report(
     within: int = 1_200,
 ) -> DataFrame:
     """All four rules. Same rows as the union of the four, from one join to the holders."""
-    hits = _all_rules(
-        tx, cards, accounts, clients, terminals, blacklist, n=n, within=within
-    ).withColumn("_by_entry", (F.col("event_type") == PASSPORT) & _listed())
-    counted = _repeat(_once_per_entry(hits, blacklist), "copies")
-    return _report_rows(counted, F.col("event_type"), report_dt)
+    spans = holder_spans(cards, accounts, clients, blacklist)
+    return report_from_spans(
+        tx, terminals, blacklist, spans, report_dt=report_dt, n=n, within=within
+    )
 
 
 def fraud_combined(
@@ -335,8 +385,10 @@ def fraud_combined(
     within: int = 1_200,
 ) -> DataFrame:
     """One row per transaction and rule: repeated blacklist entries do not repeat rows."""
-    hits = _all_rules(tx, cards, accounts, clients, terminals, blacklist, n=n, within=within)
-    return _report_rows(_repeat(hits, "copies"), F.col("event_type"), report_dt)
+    spans = holder_spans(cards, accounts, clients, blacklist)
+    return report_from_spans(
+        tx, terminals, blacklist, spans, report_dt=report_dt, n=n, within=within, dedupe=True
+    )
 
 
 def report_union(*rules: DataFrame) -> DataFrame:

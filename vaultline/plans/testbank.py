@@ -12,20 +12,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.functions.columns import explode_present
+
 REPORT_DT = "2024-02-01 00:00:00"
 LOAD_DT = "2024-02-01 00:00:00"
 BEFORE_DT = "2024-01-01 00:00:00"
 
 
+# Known schemas spare a look into the files before every query.
+TABLE_DDL = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_DDL[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _versions(rows: DataFrame, *versions: str) -> DataFrame:
     """One row per version expression that is not NULL: a struct with the row's columns."""
-    return rows.select(
-        F.explode(F.array_compact(F.array(*[F.expr(v) for v in versions]))).alias("_v")
-    ).select("_v.*")
+    return explode_present(rows, "_v", *[F.expr(v) for v in versions]).select("_v.*")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

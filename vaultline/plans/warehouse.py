@@ -21,7 +21,7 @@ from vaultline.operators.stage import (
     stage_transactions,
 )
 from vaultline.operators.watermark import max_watermark, next_snapshot_at
-from vaultline.plans.fraud import fraud_report
+from vaultline.plans.fraud import holder_spans, report_from_spans, suspects
 from vaultline.schemas import (
     ACCOUNTS,
     BLACKLIST_DDL,
@@ -153,21 +153,31 @@ class Warehouse:
         return Outcome(table, LOADED, rows, file.file_name)
 
     def build_fraud_report(self, *, report_dt: datetime) -> DataFrame:
-        """Build, write and return the report of ``report_dt`` over all facts."""
-        path = self.store.path(FRAUD_REPORT, "rows")
+        """Build, write and return the report of ``report_dt`` over all facts.
+
+        Holder spans and suspects are stored first: far smaller than the transactions, and
+        once stored their sizes are known when the joins of the transactions are planned.
+        """
+        store, table = self.store, FRAUD_REPORT
+        tx = store.read_fact(FACT_TRANSACTIONS, TRANSACTIONS_DDL)
+        blacklist = store.read_fact(FACT_BLACKLIST, BLACKLIST_DDL)
+        spans = stage_overwrite(
+            holder_spans(
+                store.history(CARDS), store.history(ACCOUNTS), store.history(CLIENTS), blacklist
+            ),
+            store.path(table, "spans"),
+        )
+        latest = tx.agg(F.max("trans_date")).scalar()
+        suspect_spans = stage_overwrite(suspects(spans, latest), store.path(table, "suspects"))
         report_sink(
-            fraud_report(
-                self.store.read_fact(FACT_TRANSACTIONS, TRANSACTIONS_DDL),
-                self.store.history(CARDS),
-                self.store.history(ACCOUNTS),
-                self.store.history(CLIENTS),
-                self.store.history(TERMINALS),
-                self.store.read_fact(FACT_BLACKLIST, BLACKLIST_DDL),
-                report_dt=report_dt,
+            report_from_spans(
+                tx, store.history(TERMINALS), blacklist, spans, suspect_spans, report_dt=report_dt
             ),
-            path,
+            store.path(table, "rows"),
+        )
+        return read_report(self.spark, store.path(table, "rows")).filter(
+            F.col("report_dt") == ntz(report_dt)
         )
-        return read_report(self.spark, path).filter(F.col("report_dt") == ntz(report_dt))
 
     def run(
         self,

@@ -22,6 +22,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Noting the call site of every column costs more calls to the JVM than the column.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for name, value in settings.items():
