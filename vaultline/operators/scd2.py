@@ -88,11 +88,24 @@ def scd2_changes(
     as_of: datetime | str,
 ) -> DataFrame:
     """What a load applies: stage rows of live keys ('N') and deleted keys ('Y')."""
-    columns = [key, *tracked, "create_dt", "update_dt"]
-    live = stage.select(*columns).join(live_keys(active, key), key, "left_semi")
+    live = (
+        stage.join(live_keys(active, key), key, "left_semi")
+        .select(key, *tracked, "create_dt", "update_dt")
+        .withColumn("_live", F.lit(True))
+    )
     gone = scd2_extract_deleted(history, active, key=key, tracked=tracked, as_of=as_of)
-    return live.withColumn("deleted_flg", F.lit("N")).unionByName(
-        gone.withColumn("deleted_flg", F.lit("Y"))
+    # No key is in both. Joining them instead of a union keeps the plan free of a union of
+    # two sides that are already partitioned by the key: some Spark versions mistake
+    # its partitions for those of one side.
+    either = live.alias("live").join(gone.alias("gone"), key, "full_outer")
+
+    def pick(name: str) -> Column:
+        return F.when(F.col("_live"), F.col(f"live.{name}")).otherwise(F.col(f"gone.{name}")).alias(name)
+
+    return either.select(
+        key,
+        *[pick(name) for name in (*tracked, "create_dt", "update_dt")],
+        F.when(F.col("_live"), F.lit("N")).otherwise(F.lit("Y")).alias("deleted_flg"),
     )
 
 
@@ -100,25 +113,49 @@ def scd2_close(
     history: DataFrame, changes: DataFrame, *, key: str, tracked: Sequence[str]
 ) -> DataFrame:
     """All history rows; a current version ends at the change if it is older and differs."""
+    return _merge(history, changes, key=key, tracked=tracked, how="left")
+
+
+def scd2_merge(
+    history: DataFrame, changes: DataFrame, *, key: str, tracked: Sequence[str]
+) -> DataFrame:
+    """Closing and inserting in one: what MERGE would leave, from one join."""
+    return _merge(history, changes, key=key, tracked=tracked, how="full_outer")
+
+
+def _merge(
+    history: DataFrame, changes: DataFrame, *, key: str, tracked: Sequence[str], how: str
+) -> DataFrame:
     incoming = changes.select(
-        key,
+        F.col(key).alias("_new_key"),
         changed_at().alias("_at"),
         (F.col("deleted_flg") == "Y").alias("_gone"),
         *[F.col(name).alias(f"_new_{name}") for name in tracked],
     )
+    old = history.select(key, *tracked, *VERSION_COLUMNS)
+    matches = (F.col(key) == F.col("_new_key")) & (F.col("deleted_flg") == "N")
     changed = F.col("_gone") | differs((F.col(name), F.col(f"_new_{name}")) for name in tracked)
     closes = (
-        is_current()
-        & F.col("_at").isNotNull()
+        F.col("_at").isNotNull()
+        & is_current()
         & (F.col("effective_from") < F.col("_at"))
         & changed
     )
-    return history.join(incoming, key, "left").select(
-        key,
-        *tracked,
-        "effective_from",
-        F.when(closes, F.col("_at")).otherwise(F.col("effective_to")).alias("effective_to"),
-        "deleted_flg",
+    new = F.col(key).isNull()
+
+    def pick(inserted: Column, kept: Column, name: str) -> Column:
+        return F.when(new, inserted).otherwise(kept).alias(name)
+
+    return old.join(incoming, matches, how).select(
+        F.coalesce(key, "_new_key").alias(key),
+        *[pick(F.col(f"_new_{name}"), F.col(name), name) for name in tracked],
+        pick(F.col("_at"), F.col("effective_from"), "effective_from"),
+        pick(
+            open_end(),
+            F.when(closes, F.col("_at")).otherwise(F.col("effective_to")),
+            "effective_to",
+        ),
+        pick(F.lit("N"), F.col("deleted_flg"), "deleted_flg"),
     )
 
 

@@ -572,9 +572,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("scd2_reopen", with_tables(SCD2_SQL, select=f"SELECT {VERSION_SQL} FROM reopened"))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     history, changes = _scd2_inputs(spark, sf_dir)
-    merged = scd2.scd2_close(history, changes, key=KEY, tracked=TRACKED).unionByName(
-        scd2.scd2_insert_new(history, changes, key=KEY, tracked=TRACKED)
-    )
+    merged = scd2.scd2_merge(history, changes, key=KEY, tracked=TRACKED)
     return _shown(scd2.scd2_reopen(merged, changes, key=KEY, tracked=TRACKED))
 
 

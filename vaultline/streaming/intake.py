@@ -37,9 +37,7 @@ def stream_transactions(
     lines = reader.csv(f"{folder}/transactions_*.txt")
     dated = skip_empty_rows(lines).select(
         "*",
-        F.to_date(
-            F.regexp_extract("_metadata.file_path", NAME_DATE, 1), F.lit("ddMMyyyy")
-        ).alias("load_date"),
+        F.to_date(F.regexp_extract("_metadata.file_path", NAME_DATE, 1), "ddMMyyyy").alias("load_date"),
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
