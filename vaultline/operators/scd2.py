@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import (
@@ -33,18 +33,18 @@ def changed_at() -> Column:
 def require_unique(rows: DataFrame, key: str) -> DataFrame:
     """The same rows; the job fails if a key is there twice.
 
-    The check is part of the plan and shares the partitioning of the joins on the key.
+    The check is part of the plan: an aggregate on the key, whose partitioning and order
+    the joins on the key go on to use. Repeats meet before the shuffle.
     """
-    count = F.count(F.lit(1)).over(Window.partitionBy(key))
+    message = F.concat(F.lit("key twice in the stage: "), F.col(key).cast("string"))
     return (
-        rows.withColumn("_copies", count)
-        .filter(
-            F.when(
-                F.col("_copies") > 1,
-                F.raise_error(F.concat(F.lit("key twice in the stage: "), F.col(key).cast("string"))),
-            ).otherwise(F.lit(True))
+        rows.groupBy(key)
+        .agg(
+            F.count(F.lit(1)).alias("_copies"),
+            F.first(F.struct(*[name for name in rows.columns if name != key])).alias("_row"),
         )
-        .drop("_copies")
+        .filter(F.when(F.col("_copies") > 1, F.raise_error(message)).otherwise(F.lit(True)))
+        .select(key, "_row.*")
     )
 
 

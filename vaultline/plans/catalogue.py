@@ -965,7 +965,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts - make_dt_interval(0, 0, 0, extract(second from ts) % 1) as date",
     )
     return workbook_rows(
-        as_workbooks(rows, "blacklist"), "blacklist",
+        as_workbooks(rows.repartition(32, "extra"), "blacklist"), "blacklist",
         {"passport": "string", "date": "timestamp_ntz", "note": "string"},
     )
 
