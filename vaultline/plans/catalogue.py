@@ -68,6 +68,12 @@ class Entry:
 CATALOGUE: dict[str, Entry] = {}
 
 
+def as_text(frame: DataFrame, *columns: str) -> DataFrame:
+    """Show decimals, dates, nullable integers and far-away times as text: clients hold these
+    in different types, and text compares exactly."""
+    return frame.withColumns({name: F.col(name).cast("string") for name in columns})
+
+
 def query(name: str, sql: str | None) -> Callable[[Query], Query]:
     def add(run: Query) -> Query:
         CATALOGUE[name] = Entry(run, sql)
@@ -446,19 +452,26 @@ def _chains(tx: DataFrame) -> DataFrame:
     "rule4_key_join",
     with_tables(
         TX, LAGGED_SQL,
-        select="""SELECT t.trans_id, f.event_type FROM transactions t
+        select="""SELECT t.trans_id, CAST(f.event_type AS VARCHAR) AS event_type FROM transactions t
   LEFT JOIN (SELECT trans_id, 4 AS event_type FROM chains) f ON f.trans_id = t.trans_id""",
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = testbank.transactions(spark, sf_dir)
     hits = _chains(tx).select("trans_id", F.lit(fraud.GUESSING).alias("event_type"))
-    return tx.select("trans_id").join(hits, "trans_id", "left")
+    return as_text(tx.select("trans_id").join(hits, "trans_id", "left"), "event_type")
 
 
-@query("decreasing_chain", with_tables(TX, LAGGED_SQL, select="SELECT * FROM chains"))
+@query(
+    "decreasing_chain",
+    with_tables(
+        TX, LAGGED_SQL,
+        select="""SELECT trans_id, trans_date, card_num, oper_type, CAST(amt AS VARCHAR) AS amt, oper_result,
+  terminal FROM chains""",
+    ),
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _chains(testbank.transactions(spark, sf_dir))
+    return as_text(_chains(testbank.transactions(spark, sf_dir)), "amt")
 
 
 @query(
@@ -467,7 +480,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         TX,
         select="SELECT trans_id, card_num, trans_date, "
         + ", ".join(
-            f"lag({c}, {k}) OVER w AS {c}_back_{k}"
+            f"{'CAST(' * (c == 'amt')}lag({c}, {k}) OVER w{' AS VARCHAR)' * (c == 'amt')} AS {c}_back_{k}"
             for c in ("oper_type", "oper_result", "trans_date", "amt") for k in (1, 2, 3)
         )
         + " FROM transactions WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id)",
@@ -475,10 +488,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["oper_type", "oper_result", "trans_date", "amt"]
-    return moments.lag_back(
+    lagged = moments.lag_back(
         testbank.transactions(spark, sf_dir), key="card_num", ts="trans_date", tie="trans_id",
         columns=columns,
     ).drop("oper_type", "oper_result", "amt", "terminal")
+    return as_text(lagged, "amt_back_1", "amt_back_2", "amt_back_3")
 
 
 # --- history loads ----------------------------------------------------------------------
@@ -527,13 +541,12 @@ reopened AS (
   FROM changes c WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.client_id = c.client_id
     AND m.deleted_flg = 'N' AND m.effective_to = TIMESTAMP '9999-12-31'))"""
 
-# The end of an open version is too far ahead for pandas, so it is shown as text.
 VERSION_SQL = """client_id, segment, nation, effective_from,
   CAST(effective_to AS VARCHAR) AS effective_to, deleted_flg"""
 
 
 def _shown(versions: DataFrame) -> DataFrame:
-    return versions.withColumn("effective_to", F.col("effective_to").cast("string"))
+    return as_text(versions, "effective_to")
 
 
 def _before(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -756,7 +769,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     max(ts) AS integrated_dt FROM events GROUP BY event_type),
 latest AS (SELECT max(ts) AS dt FROM events),
 seen AS (SELECT 'fresh' AS report, dt FROM latest UNION ALL SELECT 'stale', dt - INTERVAL 1 DAY FROM latest)
-SELECT report, max(CASE WHEN coalesce(m.integrated_dt, TIMESTAMP '1800-01-01') > s.dt THEN 1 END) AS has_new_data
+SELECT report, CAST(max(CASE WHEN coalesce(m.integrated_dt, TIMESTAMP '1800-01-01') > s.dt THEN 1 END) AS VARCHAR) AS has_new_data
 FROM seen s LEFT JOIN meta m ON TRUE GROUP BY report""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -781,7 +794,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(report_name).alias("report"), "has_new_data"
         )
 
-    return gate("fresh", "interval 0 day").unionByName(gate("stale", "interval 1 day"))
+    return as_text(
+        gate("fresh", "interval 0 day").unionByName(gate("stale", "interval 1 day")), "has_new_data"
+    )
 
 
 # --- sources and stage ------------------------------------------------------------------
@@ -899,19 +914,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     "decimal_comma",
     with_tables(
         FILE_SQL,
-        select="SELECT transaction_id, CAST(replace(amount, ',', '.') AS DECIMAL(14,4)) AS amt FROM file WHERE event_id % 100 <> 0",
+        select="""SELECT transaction_id, CAST(CAST(replace(amount, ',', '.') AS DECIMAL(14,4)) AS VARCHAR) AS amt
+  FROM file WHERE event_id % 100 <> 0""",
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _file_rows(spark, sf_dir).filter(F.col("transaction_id").isNotNull())
-    return rows.select(
+    typed = rows.select(
         F.col("event_id").alias("transaction_id"), decimal_comma("amount").alias("amt")
     )
+    return as_text(typed, "amt")
 
 
 @query(
     "skip_empty_rows",
-    with_tables(FILE_SQL, select="SELECT day, count(*) AS kept FROM file WHERE event_id % 100 <> 0 GROUP BY day"),
+    with_tables(FILE_SQL, select="SELECT CAST(day AS VARCHAR) AS day, count(*) AS kept FROM file WHERE event_id % 100 <> 0 GROUP BY day"),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _file_rows(spark, sf_dir)
@@ -919,7 +936,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = skip_empty_rows(rows.drop("event_id", "day")).select(
         F.col("transaction_id").cast("bigint").alias("transaction_id")
     )
-    return kept.join(days, "transaction_id").groupBy("day").agg(F.count(F.lit(1)).alias("kept"))
+    counts = kept.join(days, "transaction_id").groupBy("day").agg(F.count(F.lit(1)).alias("kept"))
+    return as_text(counts, "day")
 
 
 @query(
@@ -927,12 +945,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_tables(
         FILE_SQL,
         select="""SELECT CAST(transaction_id AS VARCHAR) AS trans_id, CAST(transaction_date AS TIMESTAMP) AS trans_date,
-  card_num, oper_type, CAST(replace(amount, ',', '.') AS DECIMAL(14,4)) AS amt, oper_result, terminal
+  card_num, oper_type, CAST(CAST(replace(amount, ',', '.') AS DECIMAL(14,4)) AS VARCHAR) AS amt, oper_result, terminal
   FROM file WHERE event_id % 100 <> 0""",
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_transactions(skip_empty_rows(_file_rows(spark, sf_dir).drop("event_id", "day", "note")))
+    cells = _file_rows(spark, sf_dir).drop("event_id", "day", "note")
+    return as_text(stage_transactions(skip_empty_rows(cells)), "amt")
 
 
 @query(
@@ -1067,20 +1086,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks ------------------------------------------------------------------------------
 
 
-@query("stage_overwrite", with_tables(TX, select="SELECT trans_id, card_num, amt FROM transactions WHERE oper_type = 'PAYMENT'"))
+@query("stage_overwrite", with_tables(TX, select="SELECT trans_id, card_num, CAST(amt AS VARCHAR) AS amt FROM transactions WHERE oper_type = 'PAYMENT'"))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stage")
     tx = testbank.transactions(spark, sf_dir).select("trans_id", "card_num", "amt", "oper_type")
     stage_overwrite(tx, path)
-    return stage_overwrite(tx.filter("oper_type = 'PAYMENT'").drop("oper_type"), path)
+    return as_text(stage_overwrite(tx.filter("oper_type = 'PAYMENT'").drop("oper_type"), path), "amt")
 
 
 @query(
     "fact_append_transactions",
     with_tables(
         TX,
-        select="""SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal,
-  CAST(trans_date AS DATE) AS load_date FROM transactions""",
+        select="""SELECT trans_id, trans_date, card_num, oper_type, CAST(amt AS VARCHAR) AS amt, oper_result,
+  terminal, CAST(CAST(trans_date AS DATE) AS VARCHAR) AS load_date FROM transactions""",
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1089,18 +1108,18 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = testbank.transactions(spark, sf_dir).withColumn("load_date", F.to_date("trans_date"))
     fact_append(tx, path)
     fact_append(tx.filter("load_date >= date'2024-01-16'"), path)
-    return spark.read.schema(tx.schema).parquet(path)
+    return as_text(spark.read.schema(tx.schema).parquet(path), "amt", "load_date")
 
 
 @query(
     "fact_append_blacklist",
-    with_tables(BLACKLIST_SQL, select="SELECT passport_num, entry_dt, DATE '2024-01-31' AS load_date FROM blacklist"),
+    with_tables(BLACKLIST_SQL, select="SELECT passport_num, entry_dt, '2024-01-31' AS load_date FROM blacklist"),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "fact")
     for _again in range(2):
         fact_append(testbank.blacklist(spark, sf_dir), path, "2024-01-31")
-    return spark.read.schema(f"{BLACKLIST_DDL}, load_date date").parquet(path)
+    return as_text(spark.read.schema(f"{BLACKLIST_DDL}, load_date date").parquet(path), "load_date")
 
 
 @query("report_sink", with_tables(*HOLDERS, BLACKLIST_SQL, select=RULE_1 + "\nUNION ALL\n" + RULE_2))
