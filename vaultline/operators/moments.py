@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from vaultline.functions.columns import epoch_seconds, explode_present, seconds
+from vaultline.functions.columns import explode_present, seconds, seconds_since_beginning
 from vaultline.schemas import ACCEPTED, REJECTED, SPENDING_TYPES
 
 DAY = 86_400
@@ -31,8 +31,8 @@ def in_slots(rows: DataFrame, *, ts: str, reach: int, width: int = DAY) -> DataF
     ``_home`` is false for the copies.
     """
     width = max(width, reach)
-    slot = F.floor(epoch_seconds(ts) / F.lit(width))
-    late = epoch_seconds(ts) >= (slot + 1) * width - reach
+    slot = F.floor(seconds_since_beginning(ts) / F.lit(width))
+    late = seconds_since_beginning(ts) >= (slot + 1) * width - reach
     return explode_present(rows, "_slot", slot, F.when(late, slot + 1)).withColumn(
         "_home", F.col("_slot") == slot
     )
@@ -147,7 +147,7 @@ def two_places(
     return placed.join(flagged, [key, ts], "left_semi").select(*tx.columns)
 
 
-def decreasing_chain(
+def chain_ends(
     tx: DataFrame,
     *,
     key: str,
@@ -161,18 +161,25 @@ def decreasing_chain(
     types: Sequence[str] = SPENDING_TYPES,
     width: int = DAY,
 ) -> DataFrame:
-    """The rows that end a chain of ``n`` rejected attempts (see ``with_decreasing_chain``)."""
+    """Key, time and ``tie`` of the operations that end a chain of ``n`` rejected attempts
+    (see ``with_decreasing_chain``)."""
     moments = tx.groupBy(key, ts).agg(
         *attempt_facts(
             tie=tie, amount=amount, oper_type=oper_type, oper_result=oper_result, types=types
         )
     )
-    ends = (
-        with_decreasing_chain(
-            in_slots(moments, ts=ts, reach=within, width=width), key=key, ts=ts, n=n, within=within
-        )
+    slots = in_slots(moments, ts=ts, reach=within, width=width)
+    return (
+        with_decreasing_chain(slots, key=key, ts=ts, n=n, within=within)
         .filter(F.col("_home") & F.col("chain_end"))
-        .select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col("_first_tie").alias("_tie"))
+        .select(key, ts, F.col("_first_tie").alias(tie))
+    )
+
+
+def decreasing_chain(tx: DataFrame, *, key: str, ts: str, tie: str, **options) -> DataFrame:
+    """The rows that end a chain; takes the options of ``chain_ends``."""
+    ends = chain_ends(tx, key=key, ts=ts, tie=tie, **options).select(
+        F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col(tie).alias("_tie")
     )
     same = F.col("_key").eqNullSafe(tx[key]) & (F.col("_ts") == tx[ts]) & (F.col("_tie") == tx[tie])
     return tx.join(ends, same, "left_semi")
@@ -194,7 +201,7 @@ def lag_back(
     slots before it. These come from a summary with one small row per key and slot; the
     only window that sees a whole key runs over that summary.
     """
-    slot = F.floor(epoch_seconds(ts) / F.lit(width)).alias("_slot")
+    slot = F.floor(seconds_since_beginning(ts) / F.lit(width)).alias("_slot")
     carried_columns = list(dict.fromkeys([ts, tie, *columns]))
     ordered = Window.partitionBy(key, "_slot").orderBy(ts, tie)
     tails = (

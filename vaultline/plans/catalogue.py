@@ -18,6 +18,7 @@ from vaultline.functions.columns import (
     full_name,
     is_current,
     past_last_day,
+    whole_second,
 )
 from vaultline.operators import blacklist as bl
 from vaultline.operators import moments, scd2, watermark
@@ -327,7 +328,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = bank(spark, sf_dir)
     near = moments.two_places(
-        fraud.locate(b.transactions, b.terminals), key="card_num", ts="trans_date", place="city"
+        fraud.locate(b.transactions, b.terminals),
+        key="card_num", ts="trans_date", place="city_code",
     )
     return fraud.asof_chain(near, b.cards, b.accounts, b.clients).select(
         "client_id", "passport_num", "card_num", "city", "trans_date", "terminal", "trans_id"
@@ -411,9 +413,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = fraud.locate(testbank.transactions(spark, sf_dir), testbank.terminals(spark, sf_dir))
     return moments.two_places(
-        located.select("trans_id", "card_num", "trans_date", "city"),
-        key="card_num", ts="trans_date", place="city",
-    )
+        located.select("trans_id", "card_num", "trans_date", "city", "city_code"),
+        key="card_num", ts="trans_date", place="city_code",
+    ).drop("city_code")
 
 
 @query(
@@ -442,10 +444,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("trans_id", "event_type")
 
 
-def _chains(tx: DataFrame) -> DataFrame:
-    return moments.decreasing_chain(
-        tx, key="card_num", ts="trans_date", tie="trans_id", amount="amt", n=CHAIN, within=CHAIN_WITHIN
-    )
+CHAIN_OPTIONS = dict(
+    key="card_num", ts="trans_date", tie="trans_id", amount="amt", n=CHAIN, within=CHAIN_WITHIN
+)
 
 
 @query(
@@ -458,7 +459,9 @@ def _chains(tx: DataFrame) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = testbank.transactions(spark, sf_dir)
-    hits = _chains(tx).select("trans_id", F.lit(fraud.GUESSING).alias("event_type"))
+    hits = moments.chain_ends(tx, **CHAIN_OPTIONS).select(
+        "trans_id", F.lit(fraud.GUESSING).alias("event_type")
+    )
     return as_text(tx.select("trans_id").join(hits, "trans_id", "left"), "event_type")
 
 
@@ -471,7 +474,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_text(_chains(testbank.transactions(spark, sf_dir)), "amt")
+    return as_text(
+        moments.decreasing_chain(testbank.transactions(spark, sf_dir), **CHAIN_OPTIONS), "amt"
+    )
 
 
 @query(
@@ -873,12 +878,13 @@ FILE_SQL = """file AS (
 def _file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as the text cells of transaction files, in another column order, with an
     extra column; every hundredth row is blank."""
-    cells = table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events").withColumn("second", whole_second("ts"))
+    cells = events.selectExpr(
         "event_id",
         "to_date(ts) as day",
         "'\"quoted\"' as note",
         "cast(event_id as string) as transaction_id",
-        "cast(ts - make_dt_interval(0, 0, 0, extract(second from ts) % 1) as string) as transaction_date",
+        "cast(second as string) as transaction_date",
         "replace(cast(cast(value as decimal(14,2)) as string), '.', ',') as amount",
         "event_type as oper_type",
         "case when event_type = 'error' then 'REJECT' else 'SUCCESS' end as oper_result",
@@ -977,11 +983,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN event_id % 10 <> 0 THEN event_type || ' & <co>' END AS note FROM events""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events").withColumn("date", whole_second("ts"))
+    rows = events.selectExpr(
         "case when event_id % 10 <> 0 then event_type || ' & <co>' end as note",
         "event_id as extra",
         "'P' || user_id as passport",
-        "ts - make_dt_interval(0, 0, 0, extract(second from ts) % 1) as date",
+        "date",
     )
     return workbook_rows(
         as_workbooks(rows.repartition(32, "extra"), "blacklist"), "blacklist",

@@ -107,15 +107,31 @@ def asof_chain(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients: Da
     return at_time(tx, holder_spans(cards, accounts, clients))
 
 
+def with_city_codes(terminals: DataFrame) -> DataFrame:
+    """Add ``city_code``, a number that stands for the city.
+
+    Extremes of numbers are aggregated in generated code on a hash table, those of text
+    only by sorting. Should two cities ever get one code, the job fails.
+    """
+    coded = terminals.select(
+        "*", F.when(F.col("terminal_city").isNotNull(), F.xxhash64("terminal_city")).alias("city_code")
+    )
+    cities = coded.select("terminal_city", "city_code").distinct().groupBy("city_code").count()
+    clash = cities.agg(F.max("count")).scalar() > 1
+    return coded.filter(
+        F.when(clash, F.raise_error(F.lit("two cities with one code"))).otherwise(F.lit(True))
+    )
+
+
 def locate(tx: DataFrame, terminals: DataFrame) -> DataFrame:
-    """Add the city of the terminal at the time of the transaction."""
+    """Add the city (and its code) of the terminal at the time of the transaction."""
     return asof_dim_join(
         tx,
-        terminals,
+        with_city_codes(terminals),
         fact_key="terminal",
         dim_key="terminal_id",
         ts="trans_date",
-        attrs={"terminal_city": "city"},
+        attrs={"terminal_city": "city", "city_code": "city_code"},
     )
 
 
@@ -225,7 +241,7 @@ def _flagged_moments(
     facts: list[Column] = []
     if terminals is not None:
         tx = locate(tx, terminals)
-        facts += place_facts("city")
+        facts += place_facts("city_code")
     if guessing:
         facts += attempt_facts(
             tie="trans_id", amount="amt", oper_type="oper_type", oper_result="oper_result", types=types

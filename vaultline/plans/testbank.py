@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.functions.columns import explode_present
+from vaultline.functions.columns import explode_present, whole_second
 
 REPORT_DT = "2024-02-01 00:00:00"
 LOAD_DT = "2024-02-01 00:00:00"
@@ -39,15 +39,19 @@ def _versions(rows: DataFrame, *versions: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
-        "event_id as trans_id",
-        "ts - make_dt_interval(0, 0, 0, extract(second from ts) % 1) as trans_date",
-        "'C' || user_id as card_num",
-        "case event_type when 'signup' then 'DEPOSIT' when 'purchase' then 'PAYMENT'"
-        " else 'WITHDRAW' end as oper_type",
-        "cast(value as decimal(14,4)) as amt",
-        "case when event_type in ('error', 'view') then 'REJECT' else 'SUCCESS' end as oper_result",
-        "'T' || event_id % 10 as terminal",
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("trans_id"),
+        whole_second("ts").alias("trans_date"),
+        F.expr("'C' || user_id as card_num"),
+        F.expr(
+            "case event_type when 'signup' then 'DEPOSIT' when 'purchase' then 'PAYMENT'"
+            " else 'WITHDRAW' end as oper_type"
+        ),
+        F.expr("cast(value as decimal(14,4)) as amt"),
+        F.expr(
+            "case when event_type in ('error', 'view') then 'REJECT' else 'SUCCESS' end as oper_result"
+        ),
+        F.expr("'T' || event_id % 10 as terminal"),
     )
 
 

@@ -35,10 +35,13 @@ def fact_append(rows: DataFrame, path: str, load_date: str | None = None) -> Non
     """Add one load (or several, if ``load_date`` is a column) to a fact table.
 
     Loads are partitions, and a load replaces its own partition only, so running it
-    again changes nothing.
+    again changes nothing. Several loads are first brought together by date, so no task
+    writes a small file for each; Spark splits a date that is too large for one task.
     """
     if load_date is not None:
         rows = rows.withColumn("load_date", F.lit(load_date).cast("date"))
+    else:
+        rows = rows.hint("rebalance", "load_date")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "load_date"
     ).parquet(path)
@@ -46,9 +49,10 @@ def fact_append(rows: DataFrame, path: str, load_date: str | None = None) -> Non
 
 def report_sink(report: DataFrame, path: str) -> None:
     """Write a report; one built again for the same time replaces the earlier one."""
-    report.withColumn("report_date", F.to_date("report_dt")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("report_date").parquet(path)
+    dated = report.withColumn("report_date", F.to_date("report_dt")).hint("rebalance")
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "report_date"
+    ).parquet(path)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
