@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from datetime import datetime
 from pathlib import Path
@@ -11,7 +12,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = Path("/root/testdata/sf0.001")
+SF_DIR = Path(os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001"))
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables")
