@@ -88,6 +88,56 @@ def test_decreasing_chain(spark, seed, n):
     assert expected or n == 3
 
 
+@pytest.mark.parametrize("seed", [6, 7])
+def test_loose_chain(spark, seed):
+    """Against the plain definition: any three attempts, and no operation that spoils them."""
+    rng = random.Random(seed)
+    rows = [
+        (
+            f"{i:04}", T0 + timedelta(minutes=rng.randrange(0, 2_880)), rng.choice("ab"),
+            rng.choice(["PAYMENT"] * 9 + ["DEPOSIT"]), Decimal(rng.randrange(1, 8)),
+            rng.choice(["REJECT"] * 3 + ["SUCCESS"]), "t",
+        )
+        for i in range(700)
+    ]
+    minutes = 40
+    expected = []
+    for end in rows:
+        if end[3] != "PAYMENT" or end[5] != "SUCCESS":
+            continue
+        since = end[1] - timedelta(minutes=minutes)
+        near = [r for r in rows if r[2] == end[2] and since <= r[1] < end[1]]
+        tries = [r for r in near if r[3] == "PAYMENT" and r[5] == "REJECT"]
+
+        def fits(first, second, third, end=end, near=near):
+            return not any(
+                first[1] < x[1] and x not in (first, second, third)
+                and (
+                    x[3] != "PAYMENT" or x[5] != "REJECT" or x[4] < end[4]
+                    or (x[4] < second[4] and x[1] <= second[1])
+                    or (x[4] < third[4] and x[1] <= third[1])
+                )
+                for x in near
+            )
+
+        if any(
+            fits(a, b, c)
+            for c in tries if c[4] > end[4]
+            for b in tries if b[1] < c[1] and b[4] > c[4]
+            for a in tries if a[1] < b[1] and a[4] > b[4]
+        ):
+            expected.append(end[0])
+    tx = spark.createDataFrame(rows, TRANSACTIONS_DDL)
+    found = moments.loose_chain(
+        tx, key="card_num", ts="trans_date", amount="amt", within=minutes * 60
+    )
+    assert sorted(r.trans_id for r in found.collect()) == sorted(expected)
+    strict = moments.decreasing_chain(
+        tx, key="card_num", ts="trans_date", tie="trans_id", amount="amt", within=minutes * 60
+    )
+    assert {r.trans_id for r in strict.collect()} < set(expected)
+
+
 def test_lag_back(spark):
     rows = random_rows(5)
     expected = {}

@@ -12,7 +12,7 @@ moment (distinct time of a card). So:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -233,3 +233,84 @@ def lag_back(
         for back in range(1, n + 1)
     ]
     return rows.select("*", *lagged).filter("_home").drop("_home", "_slot")
+
+
+def _latest(history: str, matches: Callable[[Column], Column]) -> Column:
+    """The last element that matches, or NULL."""
+    return F.try_element_at(F.filter(history, matches), F.lit(-1))
+
+
+def loose_chain(
+    tx: DataFrame,
+    *,
+    key: str,
+    ts: str,
+    amount: str,
+    oper_type: str = "oper_type",
+    oper_result: str = "oper_result",
+    within: int = 1_200,
+    types: Sequence[str] = SPENDING_TYPES,
+    width: int = DAY,
+) -> DataFrame:
+    """Accepted operations after three rejected ones with falling amounts, where other
+    operations may lie in between.
+
+    Those must be rejected too and must not undercut what follows them: of all operations
+    after the first attempt, none up to an attempt is smaller than it, none at all is smaller
+    than the accepted one, and none is of another kind.
+
+    An attempt can be the next one of a chain if the latest larger attempt before it is not
+    older than the latest operation that spoils it. Taking the latest one never loses a
+    chain: any chain through an older one also fits the later one, and starts no later.
+    So each moment looks once over the moments in reach, at most one per second.
+    """
+    counted, result, value = F.col(oper_type).isin(*types), F.col(oper_result), F.col(amount)
+    attempt = counted & (result == REJECTED)
+    accepted = counted & (result == ACCEPTED)
+    spoils = F.coalesce(~counted, F.lit(False)) | F.coalesce(result != REJECTED, F.lit(False))
+    moments = tx.groupBy(key, ts).agg(
+        F.max(spoils).alias("_spoils"),
+        F.min(amount).alias("_low"),
+        F.min(F.when(attempt, value)).alias("_attempt_low"),
+        F.max(F.when(attempt, value)).alias("_attempt_high"),
+        F.coalesce(F.max(accepted), F.lit(False)).alias("_accepted"),
+    )
+    rows = in_slots(moments, ts=ts, reach=within, width=width).withColumn(
+        "_second", seconds_since_beginning(ts)
+    )
+    ordered = Window.partitionBy(key, "_slot").orderBy("_second").rangeBetween(-within, -1)
+    is_attempt = ~F.col("_spoils") & (F.col("_attempt_low") == F.col("_low"))
+
+    def spoiler(history: str, bound: Column) -> Column:
+        found = _latest(history, lambda m: m["_spoils"] | (m["_low"] < bound))
+        return F.coalesce(found["_second"], F.lit(-1))
+
+    def follows(found: Column, history: str, bound: Column) -> Column:
+        return found["_second"] >= spoiler(history, bound)
+
+    facts = ["_second", "_spoils", "_low"]
+    bound = F.col("_attempt_low")
+    rows = rows.withColumn("_past", F.collect_list(F.struct(*facts, "_attempt_high")).over(ordered))
+    first = _latest("_past", lambda m: m["_attempt_high"] > bound)
+    rows = rows.withColumn(
+        "_start_2", F.when(is_attempt & follows(first, "_past", bound), first["_second"])
+    ).drop("_past")
+    rows = rows.withColumn(
+        "_past", F.collect_list(F.struct(*facts, "_attempt_low", "_start_2")).over(ordered)
+    )
+    second = _latest("_past", lambda m: m["_start_2"].isNotNull() & (m["_attempt_low"] > bound))
+    rows = rows.withColumn(
+        "_start_3", F.when(is_attempt & follows(second, "_past", bound), second["_start_2"])
+    ).drop("_past")
+    rows = rows.withColumn(
+        "_past", F.collect_list(F.struct(*facts, "_attempt_low", "_start_3")).over(ordered)
+    ).filter(F.col("_home") & F.col("_accepted"))
+
+    ends = tx.filter(accepted).join(
+        rows.select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), "_second", "_past"),
+        (F.col("_key") == tx[key]) & (F.col("_ts") == tx[ts]),
+    )
+    third = _latest("_past", lambda m: m["_start_3"].isNotNull() & (m["_attempt_low"] > value))
+    return ends.filter(
+        follows(third, "_past", value) & (third["_start_3"] >= F.col("_second") - within)
+    ).select(*tx.columns)

@@ -58,6 +58,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The default chain (three rejects in 20 minutes) finds nothing in the test events, so
 # the queries look for two rejects in seven days.
 CHAIN, CHAIN_WITHIN = 2, 7 * 86_400
+LOOSE_WITHIN = 5 * 86_400
 
 
 @dataclass(frozen=True)
@@ -500,6 +501,39 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(lagged, "amt_back_1", "amt_back_2", "amt_back_3")
 
 
+@query(
+    "chain_exists_selfjoin",
+    with_tables(
+        TX,
+        "spending AS (SELECT * FROM transactions WHERE oper_type IN ('PAYMENT', 'WITHDRAW'))",
+        "tries AS (SELECT * FROM spending WHERE oper_result = 'REJECT')",
+        """found AS (
+  SELECT f.trans_id, f.card_num, f.trans_date AS dt, f.amt, a.trans_id AS id_1, a.trans_date AS dt_1,
+    b.trans_id AS id_2, b.trans_date AS dt_2, b.amt AS amt_2, c.trans_id AS id_3, c.trans_date AS dt_3, c.amt AS amt_3
+  FROM spending f
+  JOIN tries c ON c.card_num = f.card_num AND c.trans_date < f.trans_date AND c.amt > f.amt
+    AND c.trans_date >= f.trans_date - INTERVAL 5 DAY
+  JOIN tries b ON b.card_num = f.card_num AND b.trans_date < c.trans_date AND b.amt > c.amt
+    AND b.trans_date >= f.trans_date - INTERVAL 5 DAY
+  JOIN tries a ON a.card_num = f.card_num AND a.trans_date < b.trans_date AND a.amt > b.amt
+    AND a.trans_date >= f.trans_date - INTERVAL 5 DAY
+  WHERE f.oper_result = 'SUCCESS')""",
+        select="""SELECT DISTINCT trans_id FROM found f WHERE NOT EXISTS (
+  SELECT 1 FROM transactions x WHERE x.card_num = f.card_num AND x.trans_date > f.dt_1 AND x.trans_date < f.dt
+    AND x.trans_id NOT IN (f.id_1, f.id_2, f.id_3, f.trans_id)
+    AND (x.oper_type NOT IN ('PAYMENT', 'WITHDRAW') OR x.oper_result <> 'REJECT'
+      OR (x.amt < f.amt_2 AND x.trans_date BETWEEN f.dt_1 - INTERVAL 5 DAY AND f.dt_2)
+      OR (x.amt < f.amt_3 AND x.trans_date BETWEEN f.dt_2 - INTERVAL 5 DAY AND f.dt_3)
+      OR (x.amt < f.amt AND x.trans_date BETWEEN f.dt_3 - INTERVAL 5 DAY AND f.dt)))""",
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return moments.loose_chain(
+        testbank.transactions(spark, sf_dir), key="card_num", ts="trans_date", amount="amt",
+        within=LOOSE_WITHIN,
+    ).select("trans_id")
+
+
 # --- history loads ----------------------------------------------------------------------
 
 KEY, TRACKED = "client_id", ("segment", "nation")
