@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 import frames
 import pytest
 from frames import ts
@@ -218,4 +216,3 @@ def test_many_rows_of_one_second_are_all_reported(spark):
     report = fraud.fraud_cities(tx, *holder(spark), terminals, report_dt=NOW)
     assert report.count() == 2_500
     assert {row.event_dt for row in report.collect()} == {ts("2021-03-01 10:00:00")}
-    assert timedelta(hours=1) > timedelta(minutes=30)
