@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm.exact_dedup import exact_dedup
+from vaultline.llm.mixing import fair_mix
+from vaultline.llm.packing import packed_documents
 from vaultline.llm.simhash import simhash_dedup
+from vaultline.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,3 +47,59 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of three-word shingles and their components."""
     found = simhash_dedup(table(spark, sf_dir, "documents"), width=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed to weights 5, 2, 1 by virtual finish times, three epochs at most."""
+    mix = fair_mix(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+SQL["op6_source_mixing"] = r"""
+WITH docs AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '-')) AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents),
+weighted AS (
+  SELECT source, source_size, 3 * source_size AS cap,
+    CASE row_number() OVER (ORDER BY source NULLS LAST) % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source)),
+leveled AS (
+  SELECT *, row_number() OVER by_ratio AS place,
+    CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (by_ratio ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS DOUBLE) / sum(weight) OVER (by_ratio ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted WINDOW by_ratio AS (ORDER BY cap / weight, source NULLS LAST)),
+targets AS (
+  SELECT source, source_size, least(CAST(cap AS DOUBLE), weight * (
+    SELECT level FROM leveled WHERE level <= cap / weight ORDER BY place LIMIT 1)) AS target
+  FROM leveled),
+queued AS (
+  SELECT doc_id, source, key, size,
+    sum(size) OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM docs WHERE size > 0),
+turns AS (
+  SELECT q.doc_id, q.source, q.key, q.size, CAST(q.upto + epoch * t.source_size AS DOUBLE) / t.target AS finish
+  FROM queued AS q JOIN targets AS t ON q.source IS NOT DISTINCT FROM t.source
+  CROSS JOIN (VALUES (0), (1), (2)) AS z(epoch)),
+totals AS (
+  SELECT doc_id, size, sum(size) OVER (ORDER BY finish, source NULLS LAST, key, doc_id ROWS UNBOUNDED PRECEDING) AS total
+  FROM turns),
+taken AS (
+  SELECT doc_id, CAST(sum(size) AS BIGINT) AS taken FROM totals
+  WHERE total <= (SELECT sum(size) FROM docs) GROUP BY doc_id)
+SELECT d.doc_id, d.size, t.source_size, t.target, coalesce(k.taken, 0) AS taken
+FROM docs AS d JOIN targets AS t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN taken AS k ON k.doc_id = d.doc_id"""
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of whole texts, and which exceed 4096."""
+    counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 2048 tokens."""
+    return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
