@@ -13,6 +13,8 @@ from vaultline.llm.mixing import fair_mix
 from vaultline.llm.packing import packed_documents
 from vaultline.llm.simhash import simhash_dedup
 from vaultline.llm.token_counts import token_counts
+from vaultline.llm.url_filter import judged_urls
+from vaultline.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,3 +105,27 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 tokens."""
     return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to dictionary-compressed archives and read back."""
+    found = archived_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op9_warc"] = """
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to
+FROM firsts"""
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules, else by the regression."""
+    return judged_urls(table(spark, sf_dir, "pages"))
