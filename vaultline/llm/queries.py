@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.llm import toxicity
 from vaultline.llm.exact_dedup import exact_dedup
 from vaultline.llm.mixing import fair_mix
 from vaultline.llm.packing import packed_documents
@@ -129,3 +130,14 @@ FROM firsts"""
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by rules, else by the regression."""
     return judged_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of whole texts by a lexicon learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return toxicity.scores(docs, lexicon).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted")
+    )
