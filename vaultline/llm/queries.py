@@ -12,6 +12,7 @@ from vaultline.llm import toxicity
 from vaultline.llm.exact_dedup import exact_dedup
 from vaultline.llm.mixing import fair_mix
 from vaultline.llm.packing import packed_documents
+from vaultline.llm.pq_dedup import embedding_dedup
 from vaultline.llm.simhash import simhash_dedup
 from vaultline.llm.token_counts import token_counts
 from vaultline.llm.url_filter import judged_urls
@@ -141,3 +142,28 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, lexicon).select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted")
     )
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label with a cosine of at least 0.98: number of links and components."""
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op2_embedding_dedup"] = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid AS a JOIN valid AS b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reached AS r JOIN links AS l ON r.b = l.a),
+components AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT e.vec_id, (SELECT count(*) FROM links AS l WHERE l.a = e.vec_id) AS n_links, c.component_id,
+  e.vec_id = c.component_id AS kept
+FROM embeddings AS e JOIN components AS c ON c.a = e.vec_id"""
