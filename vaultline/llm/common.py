@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +27,18 @@ def materialise(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def per_worker(key: str, make: Callable[[], Any]) -> Any:
+    """A value that the tasks of one Python worker share, such as a loaded tokenizer and what it remembers.
+
+    Functions travel to the workers by value, so their modules' globals are new in each task; an own
+    entry among the loaded modules lives as long as the worker.
+    """
+    kept = sys.modules.setdefault("_vaultline_worker", types.ModuleType("_vaultline_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def text_of(name: str) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -12,13 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import materialise, running_sums, shuffle_key
+from vaultline.llm.common import materialise, per_worker, running_sums, shuffle_key
 
 CAPACITY = 2048
 # The id after the last token of each document, as its four bytes.
 END = bytes(4)
-# Words whose ids a task remembers, so that frequent words are encoded once.
-REMEMBERED = 400_000
+# Words whose ids a worker remembers, so that frequent words are encoded once.
+REMEMBERED = 800_000
 BATCH_BYTES = 4 << 20
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -84,7 +84,7 @@ def token_pieces(
     """(doc_id, piece, start, length, ids_crc32) of the pieces of every row, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_file)
+        encoder = per_worker(f"encoder {tokenizer_file}", lambda: Encoder(tokenizer_file))
 
         def pieces_of(ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
             rows = [(i, *piece) for i, text in enumerate(encoder.encode(texts)) for piece in cut(text + END, capacity)]
