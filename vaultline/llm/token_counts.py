@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.llm.common import per_worker
+
 # Bytes of text in one call of the library.
 BATCH_BYTES = 1 << 20
-# Counts of units that a task remembers, so that frequent words are encoded once.
+# Counts of units that a worker remembers, so that frequent words are encoded once.
 REMEMBERED = 400_000
 SPACE = "▁"
 
@@ -87,7 +89,7 @@ def token_counts(docs: DataFrame, model_file: str, id_column: str = "doc_id", te
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(model_file)
+        counter = per_worker(f"counter {model_file}", lambda: Counter(model_file))
         for batch in batches:
             counts: list[int] = []
             group: list[str] = []
