@@ -14,6 +14,7 @@ from vaultline.llm.mixing import fair_mix
 from vaultline.llm.packing import packed_documents
 from vaultline.llm.pq_dedup import embedding_dedup
 from vaultline.llm.simhash import simhash_dedup
+from vaultline.llm.substring_dedup import substring_dedup
 from vaultline.llm.token_counts import token_counts
 from vaultline.llm.url_filter import judged_urls
 from vaultline.llm.warc import archived_pages
@@ -167,3 +168,34 @@ components AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
 SELECT e.vec_id, (SELECT count(*) FROM links AS l WHERE l.a = e.vec_id) AS n_links, c.component_id,
   e.vec_id = c.component_id AS kept
 FROM embeddings AS e JOIN components AS c ON c.a = e.vec_id"""
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by a window of 20 that also starts earlier are removed."""
+    found = substring_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op5_substring_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, start, sha256(array_to_string(words[start : start + 19], ' ')) AS sequence
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM docs)),
+later AS (
+  SELECT doc_id, start FROM (
+    SELECT doc_id, start, row_number() OVER (PARTITION BY sequence ORDER BY doc_id, start) AS place FROM windows)
+  WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS place FROM later),
+removed AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT d.doc_id, d.words, coalesce(r.places, []) AS places FROM docs AS d LEFT JOIN removed AS r ON r.doc_id = d.doc_id),
+left_words AS (
+  SELECT k.doc_id, string_agg(k.words[i.place], ' ' ORDER BY i.place) AS text
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS place FROM kept) AS i
+  JOIN kept AS k ON k.doc_id = i.doc_id
+  WHERE NOT EXISTS (SELECT 1 FROM gone AS g WHERE g.doc_id = i.doc_id AND g.place = i.place)
+  GROUP BY k.doc_id)
+SELECT k.doc_id, len(k.words) AS n_words, len(k.places) AS n_removed, sha256(coalesce(l.text, '')) AS kept_sha256
+FROM kept AS k LEFT JOIN left_words AS l ON l.doc_id = k.doc_id"""
