@@ -51,7 +51,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of three-word shingles and their components."""
     found = simhash_dedup(table(spark, sf_dir, "documents"), width=3)
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint_0")), 16, "0").alias("fingerprint"), "component_id")
 
 
 @query

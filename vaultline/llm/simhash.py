@@ -16,6 +16,8 @@ from vaultline.llm.components import connected_components
 SEED = 42
 # Shingles hashed at a time: bounds the memory a very long text takes.
 CHUNK = 1 << 16
+# Multiplier of the hashes of further tables.
+ODD = np.uint64(0x9E3779B97F4A7C15)
 # Every other bit: the lower bits of the segments of two bits.
 LOWER = 0x5555555555555555
 
@@ -28,36 +30,52 @@ def bit_counts(digests: bytes) -> np.ndarray:
     return partial.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
 
 
-def fingerprint(text: str | None, width: int = 3) -> int:
-    """The SimHash of a text as a signed 64-bit number: a bit is set if over half the shingles set it.
+def _tabled(digests: bytes, table: int) -> bytes:
+    """The hashes themselves for table 0, else others made from them."""
+    if not table:
+        return digests
+    values = np.frombuffer(digests, ">u8").astype(np.uint64) * np.uint64(2 * table + 1) * ODD
+    values = (values ^ (values >> np.uint64(29))) * ODD
+    return (values ^ (values >> np.uint64(32))).astype(">u8").tobytes()
+
+
+def fingerprint(text: str | None, width: int = 3, tables: int = 1) -> list[int]:
+    """The SimHashes of a text as signed 64-bit numbers: a bit is set if over half the shingles set it.
 
     A-Z are lower-cased; words are split at white space of ASCII. Fewer words than
-    ``width`` are one shingle; no words give zero.
+    ``width`` are one shingle; no words give zero. The first is made of XXH64 with seed 42, the others of
+    hashes derived from it.
     """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return [0] * tables
     total = max(1, len(words) - width + 1)
-    counts = np.zeros(64, np.int64)
+    counts = np.zeros((tables, 64), np.int64)
     digest = xxhash.xxh64_digest
     for start in range(0, total, CHUNK):
         part = words[start : start + CHUNK + width - 1]
         shingles = zip(*(part[i:] for i in range(width)), strict=False) if len(words) >= width else [part]
-        counts += bit_counts(b"".join([digest(b" ".join(s), SEED) for s in shingles]))
-    return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big", signed=True)
+        digests = b"".join([digest(b" ".join(s), SEED) for s in shingles])
+        for table in range(tables):
+            counts[table] += bit_counts(_tabled(digests, table))
+    return [int.from_bytes(np.packbits(2 * row > total).tobytes(), "big", signed=True) for row in counts]
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, fingerprint) of every row, over whole texts, without a shuffle."""
+def fingerprints(
+    docs: DataFrame, width: int = 3, tables: int = 1, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(doc_id, fingerprint_0, ...) of every row, over whole texts, without a shuffle."""
+    names = [f"fingerprint_{table}" for table in range(tables)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(text, width) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fingerprint"])
+            rows = [fingerprint(text.as_py(), width, tables) for text in batch.column(1)]
+            columns = [pa.array([row[table] for row in rows], pa.int64()) for table in range(tables)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
 
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, fingerprint bigint")
+    return rows.mapInArrow(run, ", ".join([f"doc_id {id_type}", *(f"{name} bigint" for name in names)]))
 
 
 def segment_counts(fp: Column) -> Column:
@@ -97,29 +115,45 @@ def fingerprint_links(points: DataFrame) -> DataFrame:
     return met.select(F.array_min("ids").alias("a"), F.explode("ids").alias("b")).filter("a < b").distinct()
 
 
-def simhash_dedup(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row; fingerprints link at two or fewer differing bits.
+def simhash_dedup(
+    docs: DataFrame, width: int = 3, tables: int = 1, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(doc_id, fingerprint_0, ..., component_id) of every row; fingerprints link at two or fewer differing bits.
 
-    ``fingerprint`` is a signed 64-bit number, ``component_id`` the smallest id reachable over
-    links, the own one included. Equal fingerprints are one point, so copies cost nothing. Null texts
+    Fingerprints are signed 64-bit numbers, ``component_id`` the smallest id reachable over
+    links, the own one included. With more than one table, documents link if any of their fingerprints do; this
+    finds copies that differ more. Equal fingerprints are one point, so copies cost nothing. Null texts
     count as empty and have fingerprint zero, which links like any other. Rows without an id get the
-    component of their fingerprint, null if no row with an id has it. Repeated rows each get a row.
+    component of their fingerprints, null if no row with an id has them. Repeated rows each get a row.
     """
-    prints = materialise(fingerprints(docs, width, id_column, text_column), "fingerprints")
-    points = materialise(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("id")), "points")
-    found = connected_components(fingerprint_links(points.filter("id is not null")))
-    groups = points.join(found, points["id"] == found["node"], "left").select(
-        "fingerprint", F.coalesce("component", "id").alias("component_id")
-    )
+    names = [f"fingerprint_{table}" for table in range(tables)]
+    prints = materialise(fingerprints(docs, width, tables, id_column, text_column), "fingerprints")
+    classes = materialise(prints.groupBy(*names).agg(F.min("doc_id").cast("bigint").alias("id")), "classes")
+    named = classes.filter("id is not null")
+    links = None
+    for name in names:
+        points = named.groupBy(F.col(name).alias("fingerprint")).agg(F.min("id").alias("id"))
+        points = materialise(points, "points")
+        found = materialise(fingerprint_links(points), "links")
+        links = found if links is None else links.union(found)
+        if tables > 1:
+            heads = points.toDF("fingerprint", "head")
+            links = links.union(named.join(heads, named[name] == heads["fingerprint"]).select("head", "id"))
+    found = connected_components(links)
+    groups = classes.join(found, classes["id"] == found["node"], "left")
+    groups = groups.select(*names, F.coalesce("component", "id").alias("component_id"))
     groups = materialise(groups, "groups")
-    return prints.join(groups, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return prints.join(groups, names).select("doc_id", *names, "component_id")
 
 
-def kept_documents(docs: DataFrame, width: int = 5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def kept_documents(
+    docs: DataFrame, width: int = 5, tables: int = 4, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """The documents that stay, with all their columns: of each component the one with the smallest id.
 
     Rows with that id all stay, and so do rows without an id, which cannot be told apart.
     """
-    found = simhash_dedup(docs, width, id_column, text_column)
-    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_column)).distinct()
-    return docs.join(materialise(dropped, "dropped"), id_column, "left_anti").select(*docs.columns)
+    found = simhash_dedup(docs, width, tables, id_column, text_column)
+    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
+    dropped = materialise(dropped, "dropped")
+    return docs.join(dropped, docs[id_column] == dropped["_dropped"], "left_anti")
