@@ -109,16 +109,18 @@ def _level(docs: DataFrame, marks: DataFrame | None, length: int, before: int, w
     are batches.
     """
 
+    extends = marks is not None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for at, item in enumerate(batch.column(1)):
-                words = _words(item.as_py()) if marks is None else _unpacked(item.as_py())
+                words = _unpacked(item.as_py()) if extends else _words(item.as_py())
                 if len(words) < window:
                     continue
                 hashes = word_hashes(words)
                 left = None
-                if marks is not None:
+                if extends:
                     left = Windows(hashes, before, window).marked(np.asarray(batch.column(2)[at].as_py(), np.int64))
                 level = Windows(hashes, length, window)
                 places = level.representatives(left)

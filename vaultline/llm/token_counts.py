@@ -29,8 +29,11 @@ def splits_before_spaces(pieces: list[str]) -> bool:
 def units(text: str) -> Iterator[str]:
     """Cut a text before each run of spaces that follows another character.
 
-    Every unit but the first drops one space, as the library puts one before each text.
+    Every unit but the first drops one space, as the library puts one before each text. The library's own sign
+    for a space is one.
     """
+    if SPACE in text:
+        text = text.replace(SPACE, " ")
     parts = text.split(" ")
     if all(parts):
         yield from parts
