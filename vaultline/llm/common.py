@@ -31,12 +31,19 @@ def per_worker(key: str, make: Callable[[], Any]) -> Any:
     """A value that the tasks of one Python worker share, such as a loaded tokenizer and what it remembers.
 
     Functions travel to the workers by value, so their modules' globals are new in each task; an own
-    entry among the loaded modules lives as long as the worker.
+    entry among the loaded modules lives as long as the worker. It holds one value: the
+    next job that asks for another one, or for :func:`none_per_worker`, frees it.
     """
-    kept = sys.modules.setdefault("_vaultline_worker", types.ModuleType("_vaultline_worker")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    holder = sys.modules.setdefault("_vaultline_worker", types.ModuleType("_vaultline_worker"))
+    if getattr(holder, "key", None) != key:
+        holder.key, holder.value = None, None
+        holder.key, holder.value = key, make()
+    return holder.value
+
+
+def none_per_worker() -> None:
+    """Free what an earlier job has left in this Python worker."""
+    per_worker("nothing", lambda: None)
 
 
 def text_of(name: str) -> Column:

@@ -18,7 +18,7 @@ CAPACITY = 2048
 # The id after the last token of each document, as its four bytes.
 END = bytes(4)
 # Words whose ids a worker remembers, so that frequent words are encoded once.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 BATCH_BYTES = 4 << 20
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import materialise
+from vaultline.llm.common import materialise, none_per_worker
 from vaultline.llm.components import connected_components
 
 SEED = 42
@@ -68,6 +68,7 @@ def fingerprints(
     names = [f"fingerprint_{table}" for table in range(tables)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none_per_worker()
         for batch in batches:
             rows = [fingerprint(text.as_py(), width, tables) for text in batch.column(1)]
             columns = [pa.array([row[table] for row in rows], pa.int64()) for table in range(tables)]
@@ -105,7 +106,9 @@ def fingerprint_links(points: DataFrame) -> DataFrame:
     a large group are never formed.
     """
     fp = F.col("fingerprint")
-    cells = points.select("fingerprint", F.explode(F.array_distinct(F.transform(_around(fp), segment_counts))).alias("cell"))
+    # A point becomes up to 49 rows, so the points are dealt over all tasks first.
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = points.repartition(tasks, "fingerprint").select("fingerprint", F.explode(F.array_distinct(F.transform(_around(fp), segment_counts))).alias("cell"))
     crowded = cells.groupBy("cell").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
     crowded = materialise(crowded.filter("low < high").select("cell"), "crowded")
     entered = materialise(cells.join(crowded, "cell"), "entered")

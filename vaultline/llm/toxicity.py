@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import materialise
+from vaultline.llm.common import materialise, none_per_worker
 
 THRESHOLD = 0.7
 # Labelled rows the lexicon is learned from, at most; the first by hash of the id.
@@ -278,6 +278,7 @@ def scores(docs: DataFrame, lexicon: Lexicon, id_column: str = "doc_id", text_co
     """(doc_id, score) of every row over its whole text, without a shuffle. Null and empty texts hit nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none_per_worker()
         score = lexicon.scorer()
         for batch in batches:
             found = [score(text.as_py()) for text in batch.column(1)]
@@ -292,6 +293,7 @@ def clean_documents(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESH
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none_per_worker()
         score = lexicon.scorer()
         for batch in batches:
             found = pa.array([score(text.as_py()) for text in batch.column(at)], pa.float64())
