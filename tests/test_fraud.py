@@ -203,7 +203,7 @@ def test_report_is_the_union_of_the_rules(spark):
     latest = b.transactions.groupBy().agg({"trans_date": "max"}).scalar()
     few = fraud.suspects(spans, latest)
     assert few.count() < spans.count()
-    again = fraud.report_from_spans(b.transactions, b.terminals, b.blacklist, spans, few, **wide)
+    again = fraud.report_from_spans(b.transactions, b.terminals, spans, few, **wide)
     assert sorted(map(repr, again.collect())) == expected
 
 

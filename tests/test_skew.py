@@ -94,3 +94,48 @@ def test_a_hot_second_is_one_row(spark):
     plan = executed(seen)
     assert "partial_min" in plan and "partial_count" in plan
     assert "SortAggregate" not in plan
+
+
+def test_rule_4_of_real_types_is_a_hash_aggregate(spark):
+    tx = hot_transactions(spark)
+    assert dict(tx.dtypes)["trans_id"] == "string"
+    facts = moments.attempt_facts(tie="trans_id", amount="amt", oper_type="oper_type", oper_result="oper_result")
+    seen = tx.groupBy("card_num", "trans_date").agg(*facts)
+    seen.collect()
+    plan = executed(seen)
+    assert "SortAggregate" not in plan
+    assert "partial_min_by" in plan
+    ends = moments.chain_ends(tx, key="card_num", ts="trans_date", tie="trans_id", amount="amt")
+    assert "SortAggregate" not in executed(ends)
+
+
+def test_holders_of_one_passport_need_no_shuffle_of_their_transactions(spark):
+    """A third of the cards belong to one listed passport, and some clients have none."""
+    b = testbank.bank(spark, SF_DIR)
+    one = F.when(F.expr("cast(substr(client_id, 2) as int) % 3 = 0"), F.lit("P22")).otherwise(F.col("passport_num"))
+    clients = b.clients.withColumn("passport_num", F.when(F.rand(1) > 0.05, one))
+    clients = clients.checkpoint()
+    holders = (b.transactions, b.cards, b.accounts, clients)
+    with settings(spark, **SMALL_PARTITIONS):
+        report = fraud.fraud_passport(*holders, b.blacklist, report_dt=testbank.REPORT_DT)
+        hits = report.groupBy("passport").count().collect()
+        facts = fraud.fraud_passport(*holders, b.blacklist, report_dt=testbank.REPORT_DT, dedupe=True)
+        facts.collect()
+        shuffles = [line for line in executed(facts).splitlines() if "Exchange hashpartitioning(passport_num" in line]
+    counts = {row["passport"]: row["count"] for row in hits}
+    held = fraud.asof_chain(*holders).select("trans_date", "passport_num", "passport_valid_to")
+    listed = held.join(b.blacklist, "passport_num").filter("entry_dt < trans_date").groupBy("passport_num").count()
+    expected = {row["passport_num"]: row["count"] for row in listed.collect()}
+    assert counts["P22"] >= expected["P22"] > 0
+    assert all(counts[passport] >= n for passport, n in expected.items())
+    # Of spans and of entries only: both are dimensions.
+    assert all("trans_date" not in line for line in shuffles)
+
+
+def test_a_hot_second_is_written_by_many_tasks(spark):
+    rows = spark.createDataFrame([("c", 200_000)], "card string, copies bigint")
+    with settings(spark, **SMALL_PARTITIONS):
+        written = fraud._repeat(rows, "copies").select("card", F.spark_partition_id().alias("task"))
+        tasks = written.groupBy("task").count().collect()
+    assert sum(row["count"] for row in tasks) == 200_000
+    assert len(tasks) > 1

@@ -1,4 +1,4 @@
-"""Days of loads and reports over a store, and the stream of files."""
+"""Days of loads and reports over a store."""
 
 from __future__ import annotations
 
@@ -6,12 +6,13 @@ from datetime import datetime
 
 import pytest
 from frames import OPEN, ts
+from pyspark.sql import functions as F
 
 from vaultline import schemas
+from vaultline.operators.checks import ConstraintError
 from vaultline.plans.warehouse import LOADED, NOTHING_TO_LOAD, Warehouse
 from vaultline.plans.workbook_fixture import workbook
 from vaultline.sources.store import Store
-from vaultline.streaming.intake import stream_transactions
 
 HEADER = ";".join(schemas.TRANSACTION_FILE_COLUMNS)
 
@@ -144,23 +145,84 @@ def test_failed_load_stops_no_other(spark, tmp_path):
         Warehouse(Store(spark, str(tmp_path))).run({}, "", as_of=datetime(2021, 3, 2), exclude=["card"])
 
 
-def test_stream_reads_each_file_once(spark, tmp_path):
-    files, target = tmp_path / "files", str(tmp_path / "fact")
+def test_no_file_is_nothing_to_load(spark, tmp_path):
+    house = Warehouse(Store(spark, str(tmp_path / "store")))
+    files = tmp_path / "files"
+    files.mkdir()
+    (files / "readme.txt").write_text("other")
+    for load in (house.load_transactions, house.load_terminals, house.load_blacklist):
+        assert load(str(files)).status == NOTHING_TO_LOAD
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            load(str(tmp_path / "missing"))
+
+
+def test_a_file_in_the_ledger_is_not_loaded_again(spark, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+    drop_files(files, "01", ["1;2021-03-01 10:00:00;1;c;PAYMENT;SUCCESS;T1"], TERMINALS, [])
+    store = Store(spark, str(tmp_path / "store"))
+    house = Warehouse(store)
+    assert house.load_transactions(str(files)).status == LOADED
+    # The watermark alone would take the earliest file again.
+    store.commit(schemas.FACT_TRANSACTIONS, 2, ts("1800-01-01"), 0)
+    assert house.load_transactions(str(files)).status == NOTHING_TO_LOAD
+
+
+def test_only_the_terminal_is_required(spark, tmp_path):
+    files = tmp_path / "files"
     files.mkdir()
+    lines = [";2021-03-01 10:00:00;1;c;PAYMENT;SUCCESS;T1", "2;;1;c;PAYMENT;SUCCESS;T1"]
+    drop_files(files, "01", lines, TERMINALS, [])
+    house = Warehouse(Store(spark, str(tmp_path / "store")))
+    assert house.load_transactions(str(files)).rows == 2
+    drop_files(files, "02", ["3;2021-03-02 10:00:00;1;c;PAYMENT;SUCCESS;"], TERMINALS, [])
+    with pytest.raises(ConstraintError, match="terminal not null: 1"):
+        house.load_transactions(str(files))
+    assert house.store.read_fact(schemas.FACT_TRANSACTIONS, schemas.TRANSACTIONS_DDL).count() == 2
 
-    def drop(day, count):
-        lines = [f"{day}{i};2021-03-{day} 10:00:00;1,5;c;PAYMENT;SUCCESS;T1" for i in range(count)]
-        (files / f"transactions_{day}032021.txt").write_text("\n".join([HEADER, *lines, ";;;;;;"]) + "\n")
-
-    def run():
-        query = stream_transactions(spark, str(files), target, str(tmp_path / "checkpoint"))
-        query.awaitTermination(120)
-        assert query.exception() is None
-        rows = spark.read.parquet(target).groupBy("load_date").count().collect()
-        return {str(r.load_date): r["count"] for r in rows}
-
-    drop("01", 3)
-    assert run() == {"2021-03-01": 3}
-    drop("02", 2)
-    assert run() == {"2021-03-01": 3, "2021-03-02": 2}
-    assert run() == {"2021-03-01": 3, "2021-03-02": 2}
+
+def values(frame):
+    return sorted(r.v for r in frame.collect())
+
+
+def test_facts_are_visible_by_commit_and_replaced_by_load(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    rows = lambda *v: spark.createDataFrame([(i,) for i in v], "v bigint")
+    first, second = datetime(2021, 3, 1), datetime(2021, 3, 2)
+    store.write_loads("fact", rows(9), "2021-03-01")
+    assert values(store.read_fact("fact", "v bigint")) == []
+    store.append_fact("fact", rows(1, 2), load_date=first)
+    store.append_fact("fact", rows(3), load_date=second)
+    assert values(store.read_fact("fact", "v bigint")) == [1, 2, 3]
+    store.append_fact("fact", rows(), load_date=first)
+    assert values(store.read_fact("fact", "v bigint")) == [3]
+    assert store.latest("fact") == (3, second)
+    dated = rows(5, 6).withColumn("load_date", F.lit("2021-03-04").cast("date"))
+    store.append_fact("fact", dated)
+    assert values(store.read_fact("fact", "v bigint").filter("load_date = date'2021-03-04'")) == [5, 6]
+
+
+def test_reports_of_one_day_stay_apart(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+
+    def report(hour, *phones):
+        at = datetime(2021, 3, 1, hour)
+        rows = [(at, "p", "f", phone, 1, at) for phone in phones]
+        store.write_report("rep", spark.createDataFrame(rows, schemas.REPORT_DDL), at)
+
+    def phones():
+        return sorted((r.report_dt.hour, r.phone) for r in store.read_report("rep").collect())
+
+    report(8, "a")
+    report(18, "b", "c")
+    assert phones() == [(8, "a"), (18, "b"), (18, "c")]
+    report(18)
+    assert phones() == [(8, "a")]
+
+
+def test_a_broken_history_fails_before_its_commit(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    stage = spark.createDataFrame([("c", "a", ts("9999-12-31 00:00:00"), None)], f"{schemas.CARDS_DDL}, {DATES}")
+    with pytest.raises(ConstraintError, match="effective_from before effective_to: 1"):
+        store.load_history(schemas.CARDS, stage, stage.select("card_num"), as_of=ts("2021-03-02"))
+    assert store.latest(schemas.CARDS.table)[0] == 0

@@ -80,6 +80,15 @@ def deleted_flag(live: Column) -> Column:
     return F.when(live.isNotNull(), F.lit("N")).otherwise(F.lit("Y"))
 
 
+def id_order(name: str) -> Column:
+    """A fixed-width number that orders ids: by value if they are numbers, else by hash.
+
+    Extremes by such a number are aggregated on a hash table, those by text only by sorting.
+    """
+    number = F.col(name).try_cast("decimal(38,0)")
+    return F.coalesce(number, F.xxhash64(name).cast("decimal(38,0)"))
+
+
 def is_current() -> Column:
     """The open, not deleted version of a key. Never NULL, so it can be negated."""
     return F.coalesce(

@@ -24,11 +24,6 @@ def blacklist_exists(tx: DataFrame, blacklist: DataFrame, *, passport: str) -> D
     return tx.join(listed, passport, "left_semi").select(*tx.columns)
 
 
-def first_entries(blacklist: DataFrame) -> DataFrame:
-    """The earliest entry of each passport: all that "listed before t" needs."""
-    return blacklist.groupBy("passport_num").agg(F.min("entry_dt").alias("first_entry_dt"))
-
-
 def entry_counts(blacklist: DataFrame) -> DataFrame:
     """How many entries a passport has had, as spans of time.
 

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from vaultline.functions.columns import explode_present, seconds, seconds_since_beginning
+from vaultline.functions.columns import explode_present, id_order, seconds, seconds_since_beginning
 from vaultline.schemas import ACCEPTED, REJECTED, SPENDING_TYPES
 
 DAY = 86_400
@@ -61,19 +61,20 @@ def attempt_facts(
 ) -> list[Column]:
     """Per moment: the number of operations and the first and last one.
 
-    ``tie`` orders operations of the same moment. Rejected and accepted count only for
-    the given operation types.
+    ``tie`` is the id that orders operations of the same moment (see ``id_order``). Rejected and
+    accepted count only for the given operation types.
     """
+    order = id_order(tie)
     counted = F.col(oper_type).isin(*types)
     accepted = F.coalesce(counted & (F.col(oper_result) == ACCEPTED), F.lit(False))
     rejected = F.coalesce(counted & (F.col(oper_result) == REJECTED), F.lit(False))
     return [
         F.count(F.lit(1)).alias("_operations"),
-        F.min(tie).alias("_first_tie"),
-        F.min_by(accepted, tie).alias("_first_accepted"),
-        F.min_by(amount, tie).alias("_first_amount"),
-        F.max_by(rejected, tie).alias("_last_rejected"),
-        F.max_by(amount, tie).alias("_last_amount"),
+        F.min(order).alias("_first_tie"),
+        F.min_by(accepted, order).alias("_first_accepted"),
+        F.min_by(amount, order).alias("_first_amount"),
+        F.max_by(rejected, order).alias("_last_rejected"),
+        F.max_by(amount, order).alias("_last_amount"),
     ]
 
 
@@ -161,8 +162,8 @@ def chain_ends(
     types: Sequence[str] = SPENDING_TYPES,
     width: int = DAY,
 ) -> DataFrame:
-    """Key, time and ``tie`` of the operations that end a chain of ``n`` rejected attempts
-    (see ``with_decreasing_chain``)."""
+    """Key, time and ``end_order`` of the operations that end a chain of ``n`` rejected attempts
+    (see ``with_decreasing_chain``). ``end_order`` is the ``id_order`` of their ``tie``."""
     moments = tx.groupBy(key, ts).agg(
         *attempt_facts(
             tie=tie, amount=amount, oper_type=oper_type, oper_result=oper_result, types=types
@@ -172,16 +173,16 @@ def chain_ends(
     return (
         with_decreasing_chain(slots, key=key, ts=ts, n=n, within=within)
         .filter(F.col("_home") & F.col("chain_end"))
-        .select(key, ts, F.col("_first_tie").alias(tie))
+        .select(key, ts, F.col("_first_tie").alias("end_order"))
     )
 
 
 def decreasing_chain(tx: DataFrame, *, key: str, ts: str, tie: str, **options) -> DataFrame:
     """The rows that end a chain; takes the options of ``chain_ends``."""
     ends = chain_ends(tx, key=key, ts=ts, tie=tie, **options).select(
-        F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col(tie).alias("_tie")
+        F.col(key).alias("_key"), F.col(ts).alias("_ts"), "end_order"
     )
-    same = F.col("_key").eqNullSafe(tx[key]) & (F.col("_ts") == tx[ts]) & (F.col("_tie") == tx[tie])
+    same = F.col("_key").eqNullSafe(tx[key]) & (F.col("_ts") == tx[ts]) & (F.col("end_order") == id_order(tie))
     return tx.join(ends, same, "left_semi")
 
 
@@ -202,8 +203,9 @@ def lag_back(
     only window that sees a whole key runs over that summary.
     """
     slot = F.floor(seconds_since_beginning(ts) / F.lit(width)).alias("_slot")
-    carried_columns = list(dict.fromkeys([ts, tie, *columns]))
-    ordered = Window.partitionBy(key, "_slot").orderBy(ts, tie)
+    tx = tx.withColumn("_order", id_order(tie))
+    carried_columns = list(dict.fromkeys([ts, "_order", *columns]))
+    ordered = Window.partitionBy(key, "_slot").orderBy(ts, "_order")
     tails = (
         tx.select(key, slot, *carried_columns)
         .withColumn("_more", F.lead(F.lit(True), n).over(ordered))
@@ -232,7 +234,7 @@ def lag_back(
         for column in columns
         for back in range(1, n + 1)
     ]
-    return rows.select("*", *lagged).filter("_home").drop("_home", "_slot")
+    return rows.select("*", *lagged).filter("_home").drop("_home", "_slot", "_order")
 
 
 def _latest(history: str, matches: Callable[[Column], Column]) -> Column:

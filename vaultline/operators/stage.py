@@ -3,6 +3,7 @@ of a second is left, so no later join has to trim or round."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,17 @@ def skip_empty_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(filled)
 
 
+def file_batch_rows(
+    rows: DataFrame, *, valid: Column | None = None, converted: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """The rows of a file on their way to the stage: blank ones skipped, then only those for which
+    ``valid`` holds, then the ``converted`` columns by name (all as they are by default)."""
+    kept = skip_empty_rows(rows)
+    if valid is not None:
+        kept = kept.filter(valid)
+    return kept if converted is None else kept.select(*[value.alias(name) for name, value in converted.items()])
+
+
 def _typed(name: str, target: str, source: Column, source_type: str) -> Column:
     if target == "timestamp_ntz":
         value = parse_second(source) if source_type == "string" else whole_second(source.cast(target))

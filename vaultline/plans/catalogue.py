@@ -17,6 +17,7 @@ from vaultline.functions.columns import (
     differs,
     explode_present,
     full_name,
+    id_order,
     is_current,
     past_last_day,
     whole_second,
@@ -27,21 +28,23 @@ from vaultline.operators.asof import asof_dim_join
 from vaultline.operators.checks import violations
 from vaultline.operators.stage import (
     blacklist_recent_filter,
+    file_batch_rows,
     skip_empty_rows,
     stage_transactions,
 )
 from vaultline.plans import fraud, testbank
 from vaultline.plans.testbank import LOAD_DT, REPORT_DT, bank, table
 from vaultline.plans.warehouse import db_stage_load
-from vaultline.plans.workbook_fixture import as_workbooks
+from vaultline.plans.workbook_fixture import write_workbooks
 from vaultline.schemas import (
     BLACKLIST_DDL,
     CLIENTS,
     SPENDING_TYPES,
     TRANSACTION_FILE_COLUMNS,
+    TRANSACTIONS_DDL,
     ntz,
 )
-from vaultline.session import scratch_dir
+from vaultline.session import qualified, scratch_dir
 from vaultline.sources.dated_files import (
     dated_names,
     earliest_file,
@@ -50,9 +53,9 @@ from vaultline.sources.dated_files import (
     pick_next_file,
 )
 from vaultline.sources.delimited import header_contract, scan_delimited
-from vaultline.sources.store import fact_append, read_report, report_sink, stage_overwrite
+from vaultline.sources.store import Store, stage_overwrite
 from vaultline.sources.tables import src_active_keys, src_incremental, staged_keys
-from vaultline.sources.workbook import workbook_rows
+from vaultline.sources.workbook import scan_workbook
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,11 +91,11 @@ def query(name: str, sql: str | None) -> Callable[[Query], Query]:
 # --- the test bank in SQL ---------------------------------------------------------------
 
 TX = """transactions AS (
-  SELECT event_id AS trans_id, date_trunc('second', ts) AS trans_date, 'C' || user_id AS card_num,
+  SELECT CAST(event_id AS VARCHAR) AS trans_id, date_trunc('second', ts) AS trans_date, 'C' || user_id AS card_num,
     CASE event_type WHEN 'signup' THEN 'DEPOSIT' WHEN 'purchase' THEN 'PAYMENT' ELSE 'WITHDRAW' END AS oper_type,
     CAST(value AS DECIMAL(14,4)) AS amt,
     CASE WHEN event_type IN ('error', 'view') THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
-    'T' || (event_id % 10) AS terminal
+    'T' || (event_id % (SELECT max(s_suppkey) + 1 FROM supplier)) AS terminal
   FROM events)"""
 
 CARDS_SQL = """cards AS (
@@ -187,7 +190,7 @@ LAGGED_SQL = """lagged AS (
     lag(oper_result, 1) OVER w AS result_1, lag(oper_result, 2) OVER w AS result_2,
     lag(trans_date, 1) OVER w AS date_1, lag(trans_date, 2) OVER w AS date_2,
     lag(amt, 1) OVER w AS amt_1, lag(amt, 2) OVER w AS amt_2
-  FROM transactions WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id)),
+  FROM transactions WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, CAST(trans_id AS BIGINT))),
 chains AS (
   SELECT trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal FROM lagged
   WHERE oper_result = 'SUCCESS' AND result_1 = 'REJECT' AND result_2 = 'REJECT'
@@ -275,15 +278,21 @@ query("fraud_report", with_tables(*EVERYTHING, select=REPORT_SQL))(report)
 query("fraud_combined", with_tables(*EVERYTHING, select=COMBINED_SQL))(combined)
 
 
-@query("report_union", with_tables(*HOLDERS, BLACKLIST_SQL, select=RULE_1 + "\nUNION ALL\n" + RULE_2))
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+def each_rule(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The four rules as reports of their own."""
     b = bank(spark, sf_dir)
-    return fraud.report_union(
-        fraud.fraud_passport(
-            b.transactions, b.cards, b.accounts, b.clients, b.blacklist, report_dt=REPORT_DT
-        ),
-        fraud.fraud_contract(b.transactions, b.cards, b.accounts, b.clients, report_dt=REPORT_DT),
-    )
+    holders = (b.transactions, b.cards, b.accounts, b.clients)
+    return [
+        fraud.fraud_passport(*holders, b.blacklist, report_dt=REPORT_DT),
+        fraud.fraud_contract(*holders, report_dt=REPORT_DT),
+        fraud.fraud_cities(*holders, b.terminals, report_dt=REPORT_DT),
+        fraud.fraud_guessing(*holders, report_dt=REPORT_DT, n=CHAIN, within=CHAIN_WITHIN),
+    ]
+
+
+@query("report_union", with_tables(*EVERYTHING, select=REPORT_SQL))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fraud.report_union(*each_rule(spark, sf_dir))
 
 
 @query(
@@ -423,26 +432,44 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "rule_pivot_join",
     with_tables(
-        *HOLDERS,
+        *EVERYTHING,
         "first_kind AS (SELECT 1 AS event_type)", "second_kind AS (SELECT 2 AS event_type)",
-        "kinds AS (SELECT 1 AS event_type UNION ALL SELECT 2)",
+        "third_kind AS (SELECT trans_id, 3 AS event_type FROM near)",
+        "fourth_kind AS (SELECT trans_id, 4 AS event_type FROM chains)",
+        "listed AS (SELECT passport_num, min(entry_dt) AS first_dt FROM blacklist GROUP BY passport_num)",
+        "kinds AS (SELECT 1 AS event_type UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4)",
         select="""SELECT h.trans_id, k.event_type FROM held h
-  LEFT JOIN first_kind f ON h.passport_valid_to + INTERVAL 1 DAY < h.trans_date
+  LEFT JOIN listed l ON l.passport_num = h.passport_num
+  LEFT JOIN first_kind f ON h.passport_valid_to + INTERVAL 1 DAY < h.trans_date OR l.first_dt < h.trans_date
   LEFT JOIN second_kind s ON h.trans_date > h.account_valid_to + INTERVAL 1 DAY
-  JOIN kinds k ON k.event_type IN (f.event_type, s.event_type)""",
+  LEFT JOIN third_kind t ON t.trans_id = h.trans_id
+  LEFT JOIN fourth_kind g ON g.trans_id = h.trans_id
+  JOIN kinds k ON k.event_type IN (f.event_type, s.event_type, t.event_type, g.event_type)""",
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per transaction and rule that holds, by flags instead of joins to constants."""
     b = bank(spark, sf_dir)
-    held = fraud.asof_chain(
-        b.transactions.select("trans_id", "trans_date", "card_num"), b.cards, b.accounts, b.clients
+    near = moments.two_places(
+        fraud.locate(b.transactions, b.terminals), key="card_num", ts="trans_date", place="city_code"
+    ).select(F.col("trans_id").alias("near_id"))
+    ends = moments.chain_ends(b.transactions, **CHAIN_OPTIONS).select("end_order")
+    held = (
+        fraud.at_time(
+            b.transactions.select("trans_id", "trans_date", "card_num"),
+            fraud.holder_spans(b.cards, b.accounts, b.clients, b.blacklist),
+        )
+        .join(near, F.col("trans_id") == F.col("near_id"), "left")
+        .join(ends, id_order("trans_id") == F.col("end_order"), "left")
     )
+    passport = past_last_day("passport_valid_to", "trans_date") | F.col("entries").isNotNull()
     return explode_present(
         held,
         "event_type",
-        F.when(past_last_day("passport_valid_to", "trans_date"), fraud.PASSPORT),
+        F.when(passport, fraud.PASSPORT),
         F.when(past_last_day("account_valid_to", "trans_date"), fraud.CONTRACT),
+        F.when(F.col("near_id").isNotNull(), fraud.CITIES),
+        F.when(F.col("end_order").isNotNull(), fraud.GUESSING),
     ).select("trans_id", "event_type")
 
 
@@ -462,9 +489,45 @@ CHAIN_OPTIONS = dict(
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = testbank.transactions(spark, sf_dir)
     hits = moments.chain_ends(tx, **CHAIN_OPTIONS).select(
-        "trans_id", F.lit(fraud.GUESSING).alias("event_type")
+        "end_order", F.lit(fraud.GUESSING).alias("event_type")
     )
-    return as_text(tx.select("trans_id").join(hits, "trans_id", "left"), "event_type")
+    flagged = tx.select("trans_id").join(hits, id_order("trans_id") == F.col("end_order"), "left")
+    return as_text(flagged.drop("end_order"), "event_type")
+
+
+# The default chain over the same events, with 15 days in the place of one: minutes apart at most.
+DENSE_TX = TX.replace(
+    "date_trunc('second', ts) AS trans_date",
+    "TIMESTAMP '2024-01-01' + to_seconds(epoch(ts)::BIGINT % 86400 // 60) AS trans_date",
+)
+STEP = "lag({0}, {1}) OVER w AS {0}_{1}"
+DEFAULT_CHAIN_SQL = f"""stepped AS (
+  SELECT *, {', '.join(STEP.format(c, k) for c in ('oper_type', 'oper_result', 'trans_date', 'amt') for k in (1, 2, 3))}
+  FROM transactions WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, CAST(trans_id AS BIGINT))),
+default_chains AS (
+  SELECT trans_id, card_num, trans_date FROM stepped
+  WHERE oper_result = 'SUCCESS' AND oper_type IN ('PAYMENT', 'WITHDRAW')
+    AND {' AND '.join(f"oper_result_{k} = 'REJECT' AND oper_type_{k} IN ('PAYMENT', 'WITHDRAW')" for k in (1, 2, 3))}
+    AND trans_date_1 < trans_date AND trans_date_2 < trans_date_1 AND trans_date_3 < trans_date_2
+    AND amt_1 > amt AND amt_2 > amt_1 AND amt_3 > amt_2 AND trans_date_3 >= trans_date - INTERVAL 20 MINUTE)"""
+
+
+@query(
+    "decreasing_chain_defaults",
+    with_tables(DENSE_TX, DEFAULT_CHAIN_SQL, select="SELECT trans_id, card_num, trans_date FROM default_chains"),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rejects in 20 minutes, over events whose times are pressed into some minutes."""
+    second = F.unix_seconds(F.col("ts").cast("timestamp")) % 86_400
+    pressed = table(spark, sf_dir, "events").select("event_id", F.floor(second / 60).cast("int").alias("pressed"))
+    pressed = pressed.select(F.col("event_id").cast("string").alias("trans_id"), "pressed")
+    start = ntz("2024-01-01 00:00:00")
+    tx = testbank.transactions(spark, sf_dir).join(pressed, "trans_id").withColumn(
+        "trans_date", start + F.make_dt_interval(secs=F.col("pressed"))
+    )
+    return moments.decreasing_chain(
+        tx.drop("pressed"), key="card_num", ts="trans_date", tie="trans_id", amount="amt"
+    ).select("trans_id", "card_num", "trans_date")
 
 
 @query(
@@ -490,7 +553,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{'CAST(' * (c == 'amt')}lag({c}, {k}) OVER w{' AS VARCHAR)' * (c == 'amt')} AS {c}_back_{k}"
             for c in ("oper_type", "oper_result", "trans_date", "amt") for k in (1, 2, 3)
         )
-        + " FROM transactions WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id)",
+        + " FROM transactions WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, CAST(trans_id AS BIGINT))",
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -506,26 +569,24 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     "chain_exists_selfjoin",
     with_tables(
         TX,
-        "spending AS (SELECT * FROM transactions WHERE oper_type IN ('PAYMENT', 'WITHDRAW'))",
-        "tries AS (SELECT * FROM spending WHERE oper_result = 'REJECT')",
-        """found AS (
-  SELECT f.trans_id, f.card_num, f.trans_date AS dt, f.amt, a.trans_id AS id_1, a.trans_date AS dt_1,
-    b.trans_id AS id_2, b.trans_date AS dt_2, b.amt AS amt_2, c.trans_id AS id_3, c.trans_date AS dt_3, c.amt AS amt_3
-  FROM spending f
-  JOIN tries c ON c.card_num = f.card_num AND c.trans_date < f.trans_date AND c.amt > f.amt
-    AND c.trans_date >= f.trans_date - INTERVAL 5 DAY
-  JOIN tries b ON b.card_num = f.card_num AND b.trans_date < c.trans_date AND b.amt > c.amt
-    AND b.trans_date >= f.trans_date - INTERVAL 5 DAY
-  JOIN tries a ON a.card_num = f.card_num AND a.trans_date < b.trans_date AND a.amt > b.amt
-    AND a.trans_date >= f.trans_date - INTERVAL 5 DAY
-  WHERE f.oper_result = 'SUCCESS')""",
-        select="""SELECT DISTINCT trans_id FROM found f WHERE NOT EXISTS (
-  SELECT 1 FROM transactions x WHERE x.card_num = f.card_num AND x.trans_date > f.dt_1 AND x.trans_date < f.dt
-    AND x.trans_id NOT IN (f.id_1, f.id_2, f.id_3, f.trans_id)
-    AND (x.oper_type NOT IN ('PAYMENT', 'WITHDRAW') OR x.oper_result <> 'REJECT'
-      OR (x.amt < f.amt_2 AND x.trans_date BETWEEN f.dt_1 - INTERVAL 5 DAY AND f.dt_2)
-      OR (x.amt < f.amt_3 AND x.trans_date BETWEEN f.dt_2 - INTERVAL 5 DAY AND f.dt_3)
-      OR (x.amt < f.amt AND x.trans_date BETWEEN f.dt_3 - INTERVAL 5 DAY AND f.dt)))""",
+        """operations AS (
+  SELECT trans_id, card_num, trans_date AS at, amt, oper_type IN ('PAYMENT', 'WITHDRAW') AS counted,
+    oper_result = 'REJECT' AS rejected FROM transactions)""",
+        """attempts AS (SELECT * FROM operations WHERE counted AND rejected)""",
+        """chains_of_three AS (
+  SELECT p.card_num, p.at AS begun, q.at AS middle, q.amt AS middle_amt, r.at AS final, r.amt AS final_amt
+  FROM attempts p
+  JOIN attempts q ON q.card_num = p.card_num AND q.at > p.at AND q.amt < p.amt AND q.at <= p.at + INTERVAL 5 DAY
+  JOIN attempts r ON r.card_num = p.card_num AND r.at > q.at AND r.amt < q.amt AND r.at <= p.at + INTERVAL 5 DAY)""",
+        select="""SELECT DISTINCT e.trans_id FROM operations e JOIN chains_of_three k
+    ON k.card_num = e.card_num AND e.at > k.final AND e.at <= k.begun + INTERVAL 5 DAY AND e.amt < k.final_amt
+  WHERE e.counted AND NOT e.rejected AND NOT EXISTS (
+    SELECT 1 FROM operations between_them
+    WHERE between_them.card_num = e.card_num AND between_them.at > k.begun AND between_them.at < e.at AND CASE
+      WHEN NOT (counted AND rejected) OR between_them.amt < e.amt THEN TRUE
+      WHEN between_them.at <= k.middle THEN between_them.amt < k.middle_amt
+      WHEN between_them.at <= k.final THEN between_them.amt < k.final_amt
+      ELSE FALSE END)""",
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -552,10 +613,12 @@ stage AS (
   SELECT 'K' || c_custkey AS client_id,
     CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment || '*' WHEN c_custkey % 37 = 0 THEN NULL ELSE c_mktsegment END AS segment,
     c_nationkey AS nation, TIMESTAMP '2023-12-01' AS create_dt,
-    CASE WHEN c_custkey % 35 = 0 THEN TIMESTAMP '2023-12-15' WHEN c_custkey % 3 = 0 THEN NULL
+    CASE WHEN c_custkey % 41 = 7 THEN TIMESTAMP '2024-03-01'
+         WHEN c_custkey % 35 = 0 THEN TIMESTAMP '2023-12-15' WHEN c_custkey % 3 = 0 THEN NULL
          ELSE TIMESTAMP '2024-01-31 12:00:00' END AS update_dt
   FROM customer WHERE c_custkey % 13 <> 0),
-active AS (SELECT 'K' || c_custkey AS client_id FROM customer WHERE c_custkey % 13 <> 0),
+active AS (
+  SELECT 'K' || c_custkey AS client_id FROM customer WHERE c_custkey % 13 <> 0 AND c_custkey % 41 <> 7),
 gone AS (
   SELECT h.client_id, h.segment, h.nation, TIMESTAMP '{LOAD_DT}' AS create_dt, TIMESTAMP '{LOAD_DT}' AS update_dt
   FROM history h LEFT JOIN active a ON a.client_id = h.client_id
@@ -844,13 +907,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "src_incremental",
-    """SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '1997-06-30 12:00:00'""",
+    """WITH dated AS (SELECT o_orderkey, o_custkey, o_orderdate,
+    CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 400 DAY END AS changed FROM orders)
+SELECT o_orderkey, o_custkey, o_orderdate FROM dated
+WHERE o_orderdate > TIMESTAMP '1997-06-30 12:00:00' OR changed > TIMESTAMP '1997-06-30 12:00:00'""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return src_incremental(
-        orders, "1997-06-30 12:00:00.5", created="o_orderdate", updated="o_orderdate"
+    """Orders created or changed since; every third was changed later, the others never."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "o_orderdate",
+        "case when o_orderkey % 3 = 0 then o_orderdate + interval 400 day end as changed",
     )
+    return src_incremental(
+        orders, "1997-06-30 12:00:00.5", created="o_orderdate", updated="changed"
+    ).drop("changed")
 
 
 @query("src_active_keys", "SELECT DISTINCT o_custkey FROM orders")
@@ -1023,12 +1093,38 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'P' || user_id as passport",
         "date",
     )
-    return workbook_rows(
-        as_workbooks(rows.repartition(32, "extra"), "blacklist"), "blacklist",
-        {"passport": "string", "date": "timestamp_ntz", "note": "string"},
+    folder = qualified(spark, scratch_dir(spark, "workbooks"))
+    write_workbooks(rows.repartition("extra"), "blacklist", folder).count()
+    return scan_workbook(
+        spark, folder, "blacklist", {"passport": "string", "date": "timestamp_ntz", "note": "string"}
     )
 
 
+@query(
+    "file_batch_rows",
+    with_tables(
+        FILE_SQL,
+        select="""SELECT CAST(transaction_id AS VARCHAR) AS trans_id, upper(oper_type) AS oper_type,
+  CAST(CAST(replace(amount, ',', '.') AS DECIMAL(14,4)) AS VARCHAR) AS amt
+  FROM file WHERE event_id % 100 <> 0 AND oper_type <> 'view' AND card_num NOT LIKE '%7'""",
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file's rows through a validator and converters of columns."""
+    path = scratch_dir(spark, "delimited")
+    _write_files(_file_rows(spark, sf_dir).drop("event_id", "day"), path)
+    rows = file_batch_rows(
+        scan_delimited(spark, path, TRANSACTION_FILE_COLUMNS),
+        valid=(F.col("oper_type") != "view") & ~F.col("card_num").endswith("7"),
+        converted={
+            "trans_id": F.col("transaction_id"),
+            "oper_type": F.upper("oper_type"),
+            "amt": decimal_comma("amount"),
+        },
+    )
+    return as_text(rows, "amt")
+
+
 DAYS_SQL = "days AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS file_dt FROM events)"
 FILE_NAME_SQL = "'transactions_' || strftime(file_dt, '%d%m%Y') || '.txt' AS file_name, file_dt"
 
@@ -1081,11 +1177,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "file_ledger",
-    with_tables(DAYS_SQL, select=f"SELECT {FILE_NAME_SQL} FROM days WHERE day(file_dt) % 3 <> 0"),
+    with_tables(DAYS_SQL, select=f"SELECT {FILE_NAME_SQL} FROM days WHERE file_dt > (SELECT min(file_dt) FROM days)"),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drops = _named_drops(spark, sf_dir)
-    return file_ledger(drops, drops.filter(F.dayofmonth("file_dt") % 3 == 0)).drop("path")
+    """The ledger is in the commits of a store; a load that died before its commit is not in it."""
+    drops, store = _named_drops(spark, sf_dir), Store(spark, scratch_dir(spark, "store"))
+    first = drops.agg(F.min("file_dt")).first()[0]
+    store.append_fact("fact", spark.range(1), load_date=first, file_name=f"transactions_{first:%d%m%Y}.txt")
+    store.write_loads("fact", spark.range(1), "never committed")
+    return file_ledger(drops, store.commits("fact")).drop("path")
 
 
 @query(
@@ -1143,12 +1243,18 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days at once, then the later half again."""
-    path = scratch_dir(spark, "fact")
-    tx = testbank.transactions(spark, sf_dir).withColumn("load_date", F.to_date("trans_date"))
-    fact_append(tx, path)
-    fact_append(tx.filter("load_date >= date'2024-01-16'"), path)
-    return as_text(spark.read.schema(tx.schema).parquet(path), "amt", "load_date")
+    """All days at once and the later half again; a day of wrong rows that was then found to be
+    empty, and a load that died before its commit."""
+    store = Store(spark, scratch_dir(spark, "store"))
+    tx = testbank.transactions(spark, sf_dir)
+    dated = tx.withColumn("load_date", F.to_date("trans_date"))
+    store.append_fact("fact", dated)
+    store.append_fact("fact", dated.filter("load_date >= date'2024-01-16'"))
+    wrong = datetime(2023, 1, 1)
+    store.append_fact("fact", tx.filter("oper_type = 'DEPOSIT'"), load_date=wrong)
+    store.append_fact("fact", tx.filter("false"), load_date=wrong)
+    store.write_loads("fact", tx, "2024-01-20")
+    return as_text(store.read_fact("fact", TRANSACTIONS_DDL), "amt", "load_date")
 
 
 @query(
@@ -1156,28 +1262,43 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_tables(BLACKLIST_SQL, select="SELECT passport_num, entry_dt, '2024-01-31' AS load_date FROM blacklist"),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "fact")
+    """Loaded twice for the same day, and once more without a commit."""
+    store = Store(spark, scratch_dir(spark, "store"))
+    listed = testbank.blacklist(spark, sf_dir)
     for _again in range(2):
-        fact_append(testbank.blacklist(spark, sf_dir), path, "2024-01-31")
-    return as_text(spark.read.schema(f"{BLACKLIST_DDL}, load_date date").parquet(path), "load_date")
+        store.append_fact("fact", listed, load_date=datetime(2024, 1, 31))
+    store.write_loads("fact", listed, "2024-01-30")
+    return as_text(store.read_fact("fact", BLACKLIST_DDL), "load_date")
 
 
-@query("report_sink", with_tables(*HOLDERS, BLACKLIST_SQL, select=RULE_1 + "\nUNION ALL\n" + RULE_2))
+@query(
+    "report_sink",
+    with_tables(
+        *EVERYTHING,
+        f"report AS ({REPORT_SQL})",
+        select=f"""SELECT * FROM report
+  UNION ALL
+  SELECT * REPLACE (TIMESTAMP '{REPORT_DT}' + INTERVAL 8 HOUR AS report_dt) FROM report WHERE event_type = 2""",
+    ),
+)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "report")
-    b = bank(spark, sf_dir)
-    contract = fraud.fraud_contract(
-        b.transactions, b.cards, b.accounts, b.clients, report_dt=REPORT_DT
-    )
-    report_sink(contract, path)
-    both = fraud.report_union(
-        fraud.fraud_passport(
-            b.transactions, b.cards, b.accounts, b.clients, b.blacklist, report_dt=REPORT_DT
-        ),
-        contract,
-    )
-    report_sink(both, path)
-    return read_report(spark, path)
+    """Two reports of one day stay both; of one built again the later counts, also if it is empty, and
+    one that died before its commit does not."""
+    store, table_name = Store(spark, scratch_dir(spark, "store")), "report"
+    rules = each_rule(spark, sf_dir)
+    first = datetime.fromisoformat(REPORT_DT)
+
+    def at(rows: DataFrame, report_dt: datetime) -> DataFrame:
+        return rows.withColumn("report_dt", ntz(report_dt))
+
+    second, third = first.replace(hour=8), first.replace(hour=18)
+    store.write_report(table_name, rules[1], first)
+    store.write_report(table_name, at(rules[1], second), second)
+    store.write_report(table_name, at(rules[1], third), third)
+    store.write_report(table_name, fraud.report_union(*rules), first)
+    store.write_report(table_name, at(rules[1], third).filter("false"), third)
+    store.write_loads(table_name, rules[0], "never committed")
+    return store.read_report(table_name)
 
 
 # --- expressions ------------------------------------------------------------------------

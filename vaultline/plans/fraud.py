@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from vaultline.functions.columns import explode_present, full_name, past_last_day
 from vaultline.operators.asof import asof_dim_join, overlay
-from vaultline.operators.blacklist import entry_counts, first_entries
+from vaultline.operators.blacklist import entry_counts
 from vaultline.operators.moments import (
     DAY,
     HOUR,
@@ -54,7 +54,8 @@ def holder_spans(
     """Per card and span of time: the account's end, the client and the passport.
 
     ``card_num, effective_from, effective_to, account_num, client_id, account_valid_to``
-    and the client's attributes; with ``blacklist`` also ``first_entry_dt``.
+    and the client's attributes; with ``blacklist`` also ``entries``, how many entries the
+    passport has had before the span, NULL if none.
     """
     spans = cards.filter((F.col("deleted_flg") == "N") & F.col("card_num").isNotNull()).select(
         "card_num", "account_num", "effective_from", "effective_to"
@@ -64,7 +65,14 @@ def holder_spans(
     )
     spans = overlay(spans, clients, base_key="client_id", dim_key="client_id", attrs=CLIENT_ATTRS)
     if blacklist is not None:
-        spans = spans.join(first_entries(blacklist), "passport_num", "left")
+        listed = entry_counts(blacklist).select(
+            "passport_num",
+            "entries",
+            F.col("listed_from").alias("effective_from"),
+            F.col("listed_to").alias("effective_to"),
+            F.lit("N").alias("deleted_flg"),
+        )
+        spans = overlay(spans, listed, base_key="passport_num", dim_key="passport_num", attrs=["entries"])
     return spans
 
 
@@ -75,11 +83,11 @@ def suspects(spans: DataFrame, latest: Column) -> DataFrame:
     small enough to broadcast. ``spans`` must have been built with the blacklist.
     """
     trouble = F.least(
-        F.col("first_entry_dt"),
         F.col("passport_valid_to") + F.make_dt_interval(days=F.lit(1)),
         F.col("account_valid_to") + F.make_dt_interval(days=F.lit(1)),
     )
-    return spans.filter(trouble < F.least(F.col("effective_to"), latest))
+    listed = F.col("entries").isNotNull() & (F.col("effective_from") <= latest)
+    return spans.filter(listed | (trouble < F.least(F.col("effective_to"), latest)))
 
 
 def at_time(
@@ -136,11 +144,13 @@ def locate(tx: DataFrame, terminals: DataFrame) -> DataFrame:
 
 
 def _repeat(rows: DataFrame, copies: str) -> DataFrame:
-    """Each row ``copies`` times. In two steps, so no row ever holds a long array."""
+    """Each row ``copies`` times. In two steps, so no row ever holds a long array, and a row
+    with very many copies is spread over tasks in between."""
     step = 1_000
     count = F.col(copies)
     return (
         rows.withColumn("_block", F.explode(F.sequence(F.lit(1), F.ceil(count / step))))
+        .hint("rebalance")
         .withColumn(
             "_copy",
             F.explode(
@@ -168,7 +178,7 @@ def _report_rows(rows: DataFrame, event_type: Column | int, report_dt: datetime
 
 
 def _listed() -> Column:
-    return F.col("first_entry_dt") < F.col("trans_date")
+    return F.col("entries").isNotNull()
 
 
 def _expired() -> Column:
@@ -179,21 +189,6 @@ def _contract_ended() -> Column:
     return past_last_day("account_valid_to", "trans_date")
 
 
-def _once_per_entry(rows: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Set ``copies`` of the rows with ``_by_entry`` to the number of earlier entries."""
-    counts = entry_counts(blacklist).withColumnRenamed("passport_num", "_listed_passport")
-    listed_then = (
-        F.col("_by_entry")
-        & (F.col("passport_num") == F.col("_listed_passport"))
-        & F.col("trans_date").between(F.col("listed_from"), F.col("listed_to"))
-    )
-    return (
-        rows.join(counts, listed_then, "left")
-        .withColumn("copies", F.coalesce("entries", "copies"))
-        .drop("_listed_passport", "listed_from", "listed_to", "entries")
-    )
-
-
 def fraud_passport(
     tx: DataFrame,
     cards: DataFrame,
@@ -208,9 +203,7 @@ def fraud_passport(
     spans = holder_spans(cards, accounts, clients, blacklist)
     flagged = at_time(tx.select("trans_date", "card_num"), spans).filter(_listed() | _expired())
     if not dedupe:
-        by_entry = F.coalesce(_listed(), F.lit(False)).alias("_by_entry")
-        flagged = flagged.select("*", by_entry, F.lit(1).alias("copies"))
-        flagged = _repeat(_once_per_entry(flagged, blacklist), "copies")
+        flagged = _repeat(flagged.withColumn("copies", F.coalesce("entries", F.lit(1))), "copies")
     return _report_rows(flagged, PASSPORT, report_dt)
 
 
@@ -347,7 +340,6 @@ def _all_rules(
 def report_from_spans(
     tx: DataFrame,
     terminals: DataFrame,
-    blacklist: DataFrame,
     spans: DataFrame,
     suspect_spans: DataFrame | None = None,
     *,
@@ -364,8 +356,8 @@ def report_from_spans(
     """
     hits = _all_rules(tx, terminals, spans, suspect_spans, n=n, within=within)
     if not dedupe:
-        by_entry = (F.col("event_type") == PASSPORT) & F.coalesce(_listed(), F.lit(False))
-        hits = _once_per_entry(hits.withColumn("_by_entry", by_entry), blacklist)
+        by_entry = F.when(F.col("event_type") == PASSPORT, F.col("entries"))
+        hits = hits.withColumn("copies", F.coalesce(by_entry, "copies"))
     return _report_rows(_repeat(hits, "copies"), F.col("event_type"), report_dt)
 
 
@@ -384,7 +376,7 @@ def fraud_report(
     """All four rules. Same rows as the union of the four, from one join to the holders."""
     spans = holder_spans(cards, accounts, clients, blacklist)
     return report_from_spans(
-        tx, terminals, blacklist, spans, report_dt=report_dt, n=n, within=within
+        tx, terminals, spans, report_dt=report_dt, n=n, within=within
     )
 
 
@@ -403,7 +395,7 @@ def fraud_combined(
     """One row per transaction and rule: repeated blacklist entries do not repeat rows."""
     spans = holder_spans(cards, accounts, clients, blacklist)
     return report_from_spans(
-        tx, terminals, blacklist, spans, report_dt=report_dt, n=n, within=within, dedupe=True
+        tx, terminals, spans, report_dt=report_dt, n=n, within=within, dedupe=True
     )
 
 

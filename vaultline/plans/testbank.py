@@ -39,8 +39,9 @@ def _versions(rows: DataFrame, *versions: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suppliers = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey") + 1).scalar()
     return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("trans_id"),
+        F.col("event_id").cast("string").alias("trans_id"),
         whole_second("ts").alias("trans_date"),
         F.expr("'C' || user_id as card_num"),
         F.expr(
@@ -51,7 +52,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(
             "case when event_type in ('error', 'view') then 'REJECT' else 'SUCCESS' end as oper_result"
         ),
-        F.expr("'T' || event_id % 10 as terminal"),
+        F.concat(F.lit("T"), F.col("event_id") % suppliers).alias("terminal"),
     )
 
 
@@ -207,21 +208,24 @@ def history_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source at the next load. Some segments change, some become NULL, some keys
-    are gone, and some changes are older than the version they meet."""
+    are gone, and some changes are older than the version they meet. Some keys have died since
+    the extract: they hold the latest time of all and must not count."""
     return table(spark, sf_dir, "customer").filter("c_custkey % 13 <> 0").selectExpr(
         "'K' || c_custkey as client_id",
         "case when c_custkey % 5 = 0 then c_mktsegment || '*'"
         " when c_custkey % 37 = 0 then null else c_mktsegment end as segment",
         "c_nationkey as nation",
         "timestamp_ntz'2023-12-01 00:00:00' as create_dt",
-        "case when c_custkey % 35 = 0 then timestamp_ntz'2023-12-15 00:00:00'"
+        "case when c_custkey % 41 = 7 then timestamp_ntz'2024-03-01 00:00:00'"
+        " when c_custkey % 35 = 0 then timestamp_ntz'2023-12-15 00:00:00'"
         " when c_custkey % 3 = 0 then null"
         " else timestamp_ntz'2024-01-31 12:00:00' end as update_dt",
     )
 
 
 def active_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").filter("c_custkey % 13 <> 0").selectExpr(
+    """Live keys: without those that the snapshot lacks, and without those that died since."""
+    return table(spark, sf_dir, "customer").filter("c_custkey % 13 <> 0 and c_custkey % 41 <> 7").selectExpr(
         "'K' || c_custkey as client_id"
     )
 

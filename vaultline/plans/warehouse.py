@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.operators.checks import enforce, not_null, stage_rules
@@ -38,9 +38,9 @@ from vaultline.schemas import (
     Dimension,
     ntz,
 )
-from vaultline.sources.dated_files import list_dated_files, next_file
+from vaultline.sources.dated_files import file_ledger, list_dated_files, next_file
 from vaultline.sources.delimited import scan_delimited
-from vaultline.sources.store import Store, fact_append, read_report, report_sink, stage_overwrite
+from vaultline.sources.store import Store, stage_overwrite
 from vaultline.sources.tables import src_incremental, staged_keys
 from vaultline.sources.workbook import scan_workbook
 
@@ -77,6 +77,10 @@ class Warehouse:
         and the source may move on in between."""
         return stage_overwrite(rows, self.store.path(table, name))
 
+    def _new_files(self, table: str, folder: str, prefix: str, suffix: str) -> DataFrame:
+        """The drops that no committed load of the table has taken."""
+        return file_ledger(list_dated_files(self.spark, folder, prefix, suffix), self.store.commits(table))
+
     def load_bank_table(self, dim: Dimension, source: DataFrame, *, as_of: datetime) -> Outcome:
         """Accounts, cards or clients from the bank's table."""
         _, watermark = self.store.latest(dim.table)
@@ -92,7 +96,7 @@ class Warehouse:
 
     def load_terminals(self, folder: str) -> Outcome:
         """The next full snapshot of terminals. What it lacks is deleted."""
-        files = list_dated_files(self.spark, folder, "terminals_", ".xlsx")
+        files = self._new_files(TERMINALS.table, folder, "terminals_", ".xlsx")
         _, watermark = self.store.latest(TERMINALS.table)
         file = next_file(files, watermark)
         if file is None:
@@ -110,11 +114,11 @@ class Warehouse:
         """The next day of transactions."""
         return self._load_fact(
             FACT_TRANSACTIONS,
-            list_dated_files(self.spark, folder, "transactions_", ".txt"),
+            self._new_files(FACT_TRANSACTIONS, folder, "transactions_", ".txt"),
             lambda file: stage_transactions(
                 scan_delimited(self.spark, file.path, TRANSACTION_FILE_COLUMNS)
             ),
-            ("trans_id", "trans_date", "terminal"),
+            ("terminal",),
         )
 
     def load_blacklist(self, folder: str) -> Outcome:
@@ -122,7 +126,7 @@ class Warehouse:
         columns = dict(zip(BLACKLIST_FILE_COLUMNS, ("string", "timestamp_ntz"), strict=True))
         return self._load_fact(
             FACT_BLACKLIST,
-            list_dated_files(self.spark, folder, "passport_blacklist_", ".xlsx"),
+            self._new_files(FACT_BLACKLIST, folder, "passport_blacklist_", ".xlsx"),
             lambda file: stage_blacklist(
                 scan_workbook(self.spark, file.path, "blacklist", columns), file.file_dt
             ),
@@ -136,20 +140,13 @@ class Warehouse:
         read: Callable[..., DataFrame],
         required: Iterable[str],
     ) -> Outcome:
-        version, watermark = self.store.latest(table)
+        _, watermark = self.store.latest(table)
         file = next_file(files, watermark)
         if file is None:
             return Outcome(table, NOTHING_TO_LOAD, detail=f"after {watermark}")
         stage = self._staged(read(file), table)
         enforce(stage, not_null(*required))
-        seen = Observation()
-        fact_append(
-            stage.observe(seen, F.count(F.lit(1)).alias("rows")),
-            self.store.path(table, "rows"),
-            f"{file.file_dt:%Y-%m-%d}",
-        )
-        rows = seen.get["rows"]
-        self.store.commit(table, version + 1, file.file_dt, rows, file.file_name)
+        rows = self.store.append_fact(table, stage, load_date=file.file_dt, file_name=file.file_name)
         return Outcome(table, LOADED, rows, file.file_name)
 
     def build_fraud_report(self, *, report_dt: datetime) -> DataFrame:
@@ -169,15 +166,11 @@ class Warehouse:
         )
         latest = tx.agg(F.max("trans_date")).scalar()
         suspect_spans = stage_overwrite(suspects(spans, latest), store.path(table, "suspects"))
-        report_sink(
-            report_from_spans(
-                tx, store.history(TERMINALS), blacklist, spans, suspect_spans, report_dt=report_dt
-            ),
-            store.path(table, "rows"),
-        )
-        return read_report(self.spark, store.path(table, "rows")).filter(
-            F.col("report_dt") == ntz(report_dt)
+        report = report_from_spans(
+            tx, store.history(TERMINALS), spans, suspect_spans, report_dt=report_dt
         )
+        store.write_report(table, report, report_dt)
+        return store.read_report(table).filter(F.col("report_dt") == ntz(report_dt))
 
     def run(
         self,

@@ -45,13 +45,34 @@ def workbook(sheet: str, header: Sequence[str], rows: Sequence[Sequence[object]]
     return target.getvalue()
 
 
+def write_workbooks(rows: DataFrame, sheet: str, folder: str) -> DataFrame:
+    """Write the rows as workbooks into a folder, a URI that every task reaches; gives their paths."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base, recursive=True)
+        for batch in batches:
+            name = f"{batch['path'][0]}.xlsx"
+            with store.open_output_stream(f"{base}/.{name}.part") as out:
+                out.write(batch["content"][0])
+            store.move(f"{base}/.{name}.part", f"{base}/{name}")
+            yield pd.DataFrame({"path": [name]})
+
+    return as_workbooks(rows, sheet).mapInPandas(write, "path string")
+
+
 def as_workbooks(rows: DataFrame, sheet: str) -> DataFrame:
     """``path, content`` of workbooks that hold the rows: one per Arrow batch, so each has
     a bounded number of rows however the data is spread."""
     header = rows.columns
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        from pyspark import TaskContext
+
+        for number, batch in enumerate(batches):
+            name = f"part-{TaskContext.get().partitionId():06d}-{number:06d}"
             cells = [
                 [
                     value.to_pydatetime() if isinstance(value, pd.Timestamp) else value
@@ -59,6 +80,6 @@ def as_workbooks(rows: DataFrame, sheet: str) -> DataFrame:
                 ]
                 for row in batch.itertuples(index=False, name=None)
             ]
-            yield pd.DataFrame({"path": ["memory"], "content": [workbook(sheet, header, cells)]})
+            yield pd.DataFrame({"path": [name], "content": [workbook(sheet, header, cells)]})
 
     return rows.mapInPandas(write, "path string, content binary")

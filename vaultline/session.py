@@ -31,6 +31,30 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def _on_its_store(spark: SparkSession, path: str):
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own, own.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reaches."""
+    own, store = _on_its_store(spark, path)
+    return store.exists(own)
+
+
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits a pattern; a missing folder has none."""
+    own, store = _on_its_store(spark, pattern)
+    return bool(store.globStatus(own))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI with its file system, as other libraries than Spark need it."""
+    own, store = _on_its_store(spark, path)
+    uri = store.makeQualified(own).toUri().toString()
+    return uri if uri.startswith("file://") else uri.replace("file:/", "file:///", 1)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared folder that ``spark.checkpoint.dir`` names.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.schemas import INITIAL_BEFORE, ntz
+from vaultline.session import any_match
 
 NAME_DATE_FORMAT = "ddMMyyyy"
 
@@ -16,13 +17,13 @@ NAME_DATE_FORMAT = "ddMMyyyy"
 def list_dated_files(spark: SparkSession, folder: str, prefix: str, suffix: str) -> DataFrame:
     """Drops named ``<prefix>DDMMYYYY<suffix>``: path, name and date. Contents are not read.
 
-    A name that matches but holds no date fails, so a misnamed drop is not lost.
+    A folder without such drops gives no rows; a missing folder fails. A name that matches but
+    holds no date fails, so a misnamed drop is not lost.
     """
-    return dated_names(
-        spark.read.format("binaryFile").load(f"{folder}/*{prefix}*{suffix}").select("path"),
-        prefix,
-        suffix,
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    some = any_match(spark, f"{folder}/*{prefix}*{suffix}")
+    found = files.load(f"{folder}/*{prefix}*{suffix}") if some else files.load(folder).filter(F.lit(False))
+    return dated_names(found.select("path"), prefix, suffix)
 
 
 def dated_names(paths: DataFrame, prefix: str, suffix: str) -> DataFrame:

@@ -1,27 +1,34 @@
 """Warehouse tables as Parquet folders.
 
+Every load writes a version of its own and becomes visible with its commit row, which
+also holds the new watermark, so both change at once. A load that dies leaves a folder
+without a commit, which readers ignore and the next attempt overwrites.
+
 A history is kept as versions: the current rows are written anew by each load, the
 settled rows (closed or deleted) are only ever added to. Both are partitions, so reading
-a version prunes the rest. A load becomes visible with its commit row, which also holds the new watermark, so both change at once. A load
-that dies leaves folders without a commit, which readers ignore and the next
-attempt overwrites.
+a version prunes the rest.
+
+Facts and reports are kept by load: the day of a file, the time of a report. Of a load that
+was done again the latest committed version counts, also if it is empty.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import is_current
+from vaultline.operators.checks import ConstraintError, history_rules
 from vaultline.operators.scd2 import scd2_touched
 from vaultline.schemas import NEVER_LOADED, REPORT_DDL, Dimension, ntz
+from vaultline.session import exists
 
 COMMITS_DDL = (
     "sch_name string, tbl_name string, integrated_dt timestamp_ntz, rows_written bigint, "
-    "file_name string, version int"
+    "file_name string, loads array<string>, version int"
 )
 
 
@@ -31,41 +38,10 @@ def stage_overwrite(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def fact_append(rows: DataFrame, path: str, load_date: str | None = None) -> None:
-    """Add one load (or several, if ``load_date`` is a column) to a fact table.
-
-    Loads are partitions, and a load replaces its own partition only, so running it
-    again changes nothing. Several loads are first brought together by date, so no task
-    writes a small file for each; Spark splits a date that is too large for one task.
-    """
-    if load_date is not None:
-        rows = rows.withColumn("load_date", F.lit(load_date).cast("date"))
-    else:
-        rows = rows.hint("rebalance", "load_date")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "load_date"
-    ).parquet(path)
-
-
-def report_sink(report: DataFrame, path: str) -> None:
-    """Write a report; one built again for the same time replaces the earlier one."""
-    dated = report.withColumn("report_date", F.to_date("report_dt")).hint("rebalance")
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "report_date"
-    ).parquet(path)
-
-
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{REPORT_DDL}, report_date date").parquet(path).drop("report_date")
-
-
-def _read_or_empty(spark: SparkSession, ddl: str, *paths: str) -> DataFrame:
-    try:
-        return spark.read.schema(ddl).parquet(*paths)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], ddl)
+def _read_or_empty(spark: SparkSession, ddl: str, path: str) -> DataFrame:
+    if exists(spark, path):
+        return spark.read.schema(ddl).parquet(path)
+    return spark.createDataFrame([], ddl)
 
 
 class Store:
@@ -106,7 +82,13 @@ class Store:
         return row.version, row.integrated_dt
 
     def commit(
-        self, table: str, version: int, watermark: datetime, rows_written: int, file_name: str | None = None
+        self,
+        table: str,
+        version: int,
+        watermark: datetime,
+        rows_written: int,
+        file_name: str | None = None,
+        loads: Sequence[str] = (),
     ) -> None:
         """Make a version visible. Fails if another load has taken the same number."""
         row = self.spark.range(1).select(
@@ -115,15 +97,74 @@ class Store:
             ntz(watermark).alias("integrated_dt"),
             F.lit(rows_written).cast("bigint").alias("rows_written"),
             F.lit(file_name).cast("string").alias("file_name"),
+            F.array(*map(F.lit, loads)).cast("array<string>").alias("loads"),
         )
         row.coalesce(1).write.mode("errorifexists").parquet(
             self.path(table, "commits", f"version={version}")
         )
 
-    # facts
+    # facts and reports
+
+    def write_loads(self, table: str, rows: DataFrame, load: str | None = None) -> tuple[int, int, list[str]]:
+        """Write the next version of a fact or report: one load, or several by the column ``load``.
+
+        Not visible before ``commit``. Gives the version, the number of rows and the loads. Several
+        loads are first brought together by load, so no task writes a small file for each; Spark
+        splits a load that is too large for one task.
+        """
+        version = self.latest(table)[0] + 1
+        rows = rows.hint("rebalance", "load") if load is None else rows.withColumn("load", F.lit(load))
+        path = self.path(table, "rows", f"version={version}")
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy("load").parquet(path)
+        loads = [load]
+        if load is None:
+            written = self.spark.read.schema(rows.schema).parquet(path)
+            loads = sorted(row["load"] for row in written.select("load").distinct().collect())
+        return version, seen.get["rows"], loads
+
+    def read_loads(self, table: str, ddl: str) -> DataFrame:
+        """The rows of the latest committed version of each load, with their ``load``."""
+        visible = self.commits(table).select("version", F.explode("loads").alias("load"))
+        visible = visible.groupBy("load").agg(F.max("version").alias("version"))
+        rows = _read_or_empty(self.spark, f"{ddl}, version int, load string", self.path(table, "rows"))
+        return rows.join(visible, ["version", "load"], "left_semi").drop("version")
+
+    def append_fact(
+        self,
+        table: str,
+        rows: DataFrame,
+        *,
+        load_date: datetime | None = None,
+        watermark: datetime | None = None,
+        file_name: str | None = None,
+    ) -> int:
+        """Add the rows of a day, or of several with the column ``load_date``, and commit them.
+
+        A day that was loaded before is replaced, by nothing if there are no rows.
+        """
+        if load_date is None:
+            load, rows = None, rows.withColumn("load", F.col("load_date").cast("string")).drop("load_date")
+        else:
+            load = f"{load_date:%Y-%m-%d}"
+        _, latest = self.latest(table)
+        version, count, loads = self.write_loads(table, rows, load)
+        self.commit(table, version, max(latest, watermark or load_date or latest), count, file_name, loads)
+        return count
 
     def read_fact(self, table: str, ddl: str) -> DataFrame:
-        return _read_or_empty(self.spark, f"{ddl}, load_date date", self.path(table, "rows"))
+        rows = self.read_loads(table, ddl)
+        return rows.withColumn("load_date", F.col("load").cast("date")).drop("load")
+
+    def write_report(self, table: str, report: DataFrame, report_dt: datetime) -> int:
+        """Write and commit the report of a time; one built again for it replaces the earlier one."""
+        _, latest = self.latest(table)
+        version, count, loads = self.write_loads(table, report, f"{report_dt:%Y-%m-%d %H:%M:%S.%f}")
+        self.commit(table, version, max(latest, report_dt), count, loads=loads)
+        return count
+
+    def read_report(self, table: str) -> DataFrame:
+        return self.read_loads(table, REPORT_DDL).drop("load")
 
     # histories
 
@@ -148,7 +189,8 @@ class Store:
         """Write the next version of a history. Not visible before ``commit``.
 
         Reads the current rows, and of the settled rows only the keys. Gives the
-        version number and the number of rows written.
+        version number and the number of rows written. The constraints of a history are
+        counted as its rows are written; one that is broken fails the load.
         """
         version, _ = self.latest(dim.table)
         rows = self._rows(dim, version)
@@ -161,10 +203,18 @@ class Store:
             key=dim.key,
             tracked=dim.tracked,
             as_of=as_of,
-        ).observe(seen, F.count(F.lit(1)).alias("rows"))
+        ).observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(~rule).alias(name) for name, rule in history_rules(dim.key).items()],
+        )
         touched.withColumn(
             "part", F.when(is_current(), F.lit("current")).otherwise(F.lit("settled"))
         ).write.mode("overwrite").partitionBy("part").parquet(
             self.path(dim.table, "rows", f"version={version + 1}")
         )
-        return version + 1, seen.get["rows"]
+        counts = seen.get
+        rows_written = counts.pop("rows")
+        if broken := [f"{name}: {n}" for name, n in counts.items() if n]:
+            raise ConstraintError(", ".join(broken))
+        return version + 1, rows_written
