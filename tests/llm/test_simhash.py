@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vaultline.llm.simhash import fingerprint, fingerprint_links, kept_documents, simhash_dedup
+from vaultline.llm.simhash import fingerprint, fingerprint_links, kept_documents, most_differing, simhash_dedup
 
 
 def slow_fingerprint(text, width):
@@ -89,5 +89,50 @@ def test_kept_documents(docs):
     rows = docs((1, text + " end"), (2, text), (3, "clean and other words of a text"), (None, text))
     kept = kept_documents(rows)
     assert kept.columns == rows.columns
-    assert {1, 3, None} <= {r["doc_id"] for r in kept.collect()}
+    assert {r["doc_id"] for r in kept.collect()} == {1, 3, None}
     assert kept_documents(rows.limit(0)).count() == 0
+
+
+def jaccard(a, b, width=5):
+    sets = []
+    for text in (a, b):
+        words = text.split()
+        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_similar_documents_are_found_and_others_stay(docs):
+    rng = random.Random(11)
+    texts = {}
+    for i in range(150):
+        words = [f"{i}w{rng.randrange(10**6)}" for _ in range(rng.randrange(80, 400))]
+        texts[i] = " ".join(words)
+        for k in range(rng.choice([0, 0, 1, 2, 3])):
+            near = list(words)
+            for _ in range(rng.randrange(1, max(2, len(words) // 45))):
+                near[rng.randrange(len(near))] = f"edit{rng.random()}"
+            texts[1000 * (k + 1) + i] = " ".join(near)
+    found = simhash_dedup(docs(*texts.items()), width=5, tables=6, similarity=0.8)
+    component = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    assert all(component[i] % 1000 == i % 1000 for i in texts)  # nothing else is linked
+    similar = [i for i in texts if i >= 1000 and jaccard(texts[i], texts[i % 1000]) >= 0.8]
+    assert sum(component[i] == i % 1000 for i in similar) >= 0.85 * len(similar) > 30
+
+
+def test_most_differing():
+    assert most_differing(1.0, 64) == 0
+    assert 0.15 < most_differing(0.8, 384) / 384 < 0.18
+
+
+def test_links_of_few_bits_equal_brute_force(spark):
+    rng = random.Random(2)
+    values = sorted({rng.getrandbits(12) << 52 for _ in range(200)})
+    signed = [int(np.uint64(v).astype(np.int64)) for v in values]
+    points = spark.createDataFrame(list(enumerate(signed)), "id bigint, fingerprint bigint")
+    links = {(r["a"], r["b"]) for r in fingerprint_links(points, 12).collect()}
+    near = {(i, j) for i, a in enumerate(values) for j, b in enumerate(values) if i < j and (a ^ b).bit_count() <= 2}
+    assert links <= near
+    ids = list(range(len(values)))
+    assert components(ids, lambda a, b: (min(a, b), max(a, b)) in links) == components(
+        ids, lambda a, b: (min(a, b), max(a, b)) in near
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,9 @@ from vaultline.llm.common import materialise, none_per_worker
 from vaultline.llm.components import connected_components
 
 SEED = 42
+# For similarity: fingerprints of a document, and the bits each table looks at beyond those that number the documents.
+TABLES = 6
+EXTRA_BITS = 10
 # Shingles hashed at a time: bounds the memory a very long text takes.
 CHUNK = 1 << 16
 # Multiplier of the hashes of further tables.
@@ -85,16 +89,16 @@ def segment_counts(fp: Column) -> Column:
     return low.bitwiseXOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
 
 
-def _around(fp: Column) -> Column:
-    """The fingerprint and the 64 that differ from it in one bit."""
-    flips = [fp.bitwiseXOR(F.shiftleft(F.lit(1).cast("bigint"), b)) for b in range(64)]
+def _around(fp: Column, bits: int) -> Column:
+    """The fingerprint and those that differ from it in one of its upper ``bits``."""
+    flips = [fp.bitwiseXOR(F.shiftleft(F.lit(1).cast("bigint"), b)) for b in range(64 - bits, 64)]
     return F.array(fp, *flips)
 
 
-def fingerprint_links(points: DataFrame) -> DataFrame:
+def fingerprint_links(points: DataFrame, bits: int = 64) -> DataFrame:
     """Links (a, b) of ids, enough to connect all fingerprints that differ in at most two bits.
 
-    ``points`` has a ``fingerprint`` per row, each once, and its ``id``.
+    ``points`` has a ``fingerprint`` per row, each once, and its ``id``. Only the upper ``bits`` may be set.
 
     Bit counts of segments are the embedding: the Manhattan distance of two points is at most the
     number of differing bits. Two points within two steps both lie within one step of some
@@ -108,40 +112,74 @@ def fingerprint_links(points: DataFrame) -> DataFrame:
     fp = F.col("fingerprint")
     # A point becomes up to 49 rows, so the points are dealt over all tasks first.
     tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = points.repartition(tasks, "fingerprint").select("fingerprint", F.explode(F.array_distinct(F.transform(_around(fp), segment_counts))).alias("cell"))
+    cells = points.repartition(tasks, "fingerprint").select("fingerprint", F.explode(F.array_distinct(F.transform(_around(fp, bits), segment_counts))).alias("cell"))
     crowded = cells.groupBy("cell").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
     crowded = materialise(crowded.filter("low < high").select("cell"), "crowded")
     entered = materialise(cells.join(crowded, "cell"), "entered")
-    reached = entered.join(points, "fingerprint").select("id", "cell", F.explode(_around(fp)).alias("value"))
+    reached = entered.join(points, "fingerprint").select("id", "cell", F.explode(_around(fp, bits)).alias("value"))
     reached = reached.filter(segment_counts(F.col("value")) == F.col("cell")).select("id", "value")
     met = reached.groupBy("value").agg(F.collect_set("id").alias("ids")).filter(F.size("ids") > 1)
     return met.select(F.array_min("ids").alias("a"), F.explode("ids").alias("b")).filter("a < b").distinct()
 
 
+def most_differing(similarity: float, bits: int) -> int:
+    """How many of so many bits may differ in documents of this Jaccard similarity of shingles.
+
+    The share of differing bits is the angle between the vectors of shingles over pi; one standard
+    deviation of that share is allowed for.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(bits * share + math.sqrt(bits * share * (1 - share)))
+
+
+def _close(links: DataFrame, classes: DataFrame, names: list[str], most: int) -> DataFrame:
+    """The links (a, b) whose documents differ in at most ``most`` bits of all their fingerprints."""
+    for end in ("a", "b"):
+        prints = classes.select(F.col("id").alias(end), *(F.col(name).alias(f"{end}_{name}") for name in names))
+        links = links.join(prints, end)
+    differing = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names), F.lit(0))
+    return links.filter(differing <= most).select("a", "b")
+
+
 def simhash_dedup(
-    docs: DataFrame, width: int = 3, tables: int = 1, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    width: int = 3,
+    tables: int = 1,
+    similarity: float | None = None,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
     """(doc_id, fingerprint_0, ..., component_id) of every row; fingerprints link at two or fewer differing bits.
 
     Fingerprints are signed 64-bit numbers, ``component_id`` the smallest id reachable over
-    links, the own one included. With more than one table, documents link if any of their fingerprints do; this
-    finds copies that differ more. Equal fingerprints are one point, so copies cost nothing. Null texts
+    links, the own one included. Equal fingerprints are one point, so copies cost nothing. Null texts
     count as empty and have fingerprint zero, which links like any other. Rows without an id get the
     component of their fingerprints, null if no row with an id has them. Repeated rows each get a row.
+
+    With ``similarity``, documents that differ more are found, too: each table looks at the upper bits of its
+    fingerprint alone, ten more than number the documents, and what differs there in at most two bits is
+    a candidate. Candidates are verified by all bits of all tables: they link if so few differ
+    as documents of this Jaccard similarity do (:func:`most_differing`).
     """
     names = [f"fingerprint_{table}" for table in range(tables)]
     prints = materialise(fingerprints(docs, width, tables, id_column, text_column), "fingerprints")
     classes = materialise(prints.groupBy(*names).agg(F.min("doc_id").cast("bigint").alias("id")), "classes")
     named = classes.filter("id is not null")
+    bits = 64
+    if similarity is not None:
+        bits = min(64, max(1, named.count()).bit_length() + EXTRA_BITS)
     links = None
     for name in names:
-        points = named.groupBy(F.col(name).alias("fingerprint")).agg(F.min("id").alias("id"))
-        points = materialise(points, "points")
-        found = materialise(fingerprint_links(points), "links")
-        links = found if links is None else links.union(found)
-        if tables > 1:
+        value = F.col(name).bitwiseAND(F.lit(-(1 << (64 - bits))))
+        points = materialise(named.groupBy(value.alias("fingerprint")).agg(F.min("id").alias("id")), "points")
+        found = materialise(fingerprint_links(points, bits), "links")
+        if tables > 1 or bits < 64:
             heads = points.toDF("fingerprint", "head")
-            links = links.union(named.join(heads, named[name] == heads["fingerprint"]).select("head", "id"))
+            same = named.select("id", value.alias("own")).join(heads, F.col("own") == F.col("fingerprint"))
+            found = found.union(same.filter("head <> id").select("head", "id"))
+        links = found if links is None else links.union(found)
+    if similarity is not None:
+        links = _close(links.distinct(), named, names, most_differing(similarity, 64 * tables))
     found = connected_components(links)
     groups = classes.join(found, classes["id"] == found["node"], "left")
     groups = groups.select(*names, F.coalesce("component", "id").alias("component_id"))
@@ -150,13 +188,18 @@ def simhash_dedup(
 
 
 def kept_documents(
-    docs: DataFrame, width: int = 5, tables: int = 4, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    width: int = 5,
+    similarity: float = 0.8,
+    tables: int = TABLES,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
     """The documents that stay, with all their columns: of each component the one with the smallest id.
 
     Rows with that id all stay, and so do rows without an id, which cannot be told apart.
     """
-    found = simhash_dedup(docs, width, tables, id_column, text_column)
+    found = simhash_dedup(docs, width, tables, similarity, id_column, text_column)
     dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
     dropped = materialise(dropped, "dropped")
     return docs.join(dropped, docs[id_column] == dropped["_dropped"], "left_anti")

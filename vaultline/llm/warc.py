@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import materialise
-from vaultline.session import scratch_dir
+from vaultline.session import qualified, scratch_dir
 
 # Fixed values of the format: the magic number of the skippable frame that holds the dictionary.
 DICTIONARY_MAGIC = (0x184D2A5D).to_bytes(4, "little")
@@ -233,9 +233,7 @@ def read_archives(spark: SparkSession, folder: str, id_type: str = "bigint") ->
 def archived_pages(pages: DataFrame) -> DataFrame:
     """Write ``pages`` to archives in the shared folder and read them back."""
     spark = pages.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, "warc"))
-    folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
-    folder = folder.replace("file:/", "file:///", 1) if not folder.startswith("file://") else folder
+    folder = qualified(spark, scratch_dir(spark, "warc"))
     if write_archives(pages, folder).isEmpty():
         schema = f"page_id bigint, {ROWS}, refers_to bigint"
         return spark.createDataFrame([], schema)
