@@ -134,10 +134,29 @@ def with_decreasing_chain(
     )
 
 
+def _stored(few: DataFrame, store: str | None) -> DataFrame:
+    """Few rows, written to ``store`` if there is one: then Spark knows their size when it plans
+    the join with all rows, and if that allows a broadcast, those are not shuffled again."""
+    if store is None:
+        return few
+    few.write.mode("overwrite").parquet(store)
+    return few.sparkSession.read.schema(few.schema).parquet(store)
+
+
 def two_places(
-    tx: DataFrame, *, key: str, ts: str, place: str, within: int = HOUR, width: int = DAY
+    tx: DataFrame,
+    *,
+    key: str,
+    ts: str,
+    place: str,
+    within: int = HOUR,
+    width: int = DAY,
+    store: str | None = None,
 ) -> DataFrame:
-    """The rows that have a place and, at most ``within`` earlier, one with another place."""
+    """The rows that have a place and, at most ``within`` earlier, one with another place.
+
+    ``store`` is a folder for the flagged moments, which are few.
+    """
     placed = tx.filter(F.col(key).isNotNull() & F.col(place).isNotNull())
     moments = placed.groupBy(key, ts).agg(*place_facts(place))
     flagged = (
@@ -145,7 +164,7 @@ def two_places(
         .filter(F.col("_home") & F.col("two_places"))
         .select(key, ts)
     )
-    return placed.join(flagged, [key, ts], "left_semi").select(*tx.columns)
+    return placed.join(_stored(flagged, store), [key, ts], "left_semi").select(*tx.columns)
 
 
 def chain_ends(
@@ -177,11 +196,17 @@ def chain_ends(
     )
 
 
-def decreasing_chain(tx: DataFrame, *, key: str, ts: str, tie: str, **options) -> DataFrame:
-    """The rows that end a chain; takes the options of ``chain_ends``."""
+def decreasing_chain(
+    tx: DataFrame, *, key: str, ts: str, tie: str, store: str | None = None, **options
+) -> DataFrame:
+    """The rows that end a chain; takes the options of ``chain_ends``.
+
+    ``store`` is a folder for the ends of chains, which are few.
+    """
     ends = chain_ends(tx, key=key, ts=ts, tie=tie, **options).select(
         F.col(key).alias("_key"), F.col(ts).alias("_ts"), "end_order"
     )
+    ends = _stored(ends, store)
     same = F.col("_key").eqNullSafe(tx[key]) & (F.col("_ts") == tx[ts]) & (F.col("end_order") == id_order(tie))
     return tx.join(ends, same, "left_semi")
 

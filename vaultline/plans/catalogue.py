@@ -425,7 +425,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = fraud.locate(testbank.transactions(spark, sf_dir), testbank.terminals(spark, sf_dir))
     return moments.two_places(
         located.select("trans_id", "card_num", "trans_date", "city", "city_code"),
-        key="card_num", ts="trans_date", place="city_code",
+        key="card_num", ts="trans_date", place="city_code", store=scratch_dir(spark, "flagged"),
     ).drop("city_code")
 
 
@@ -491,6 +491,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = moments.chain_ends(tx, **CHAIN_OPTIONS).select(
         "end_order", F.lit(fraud.GUESSING).alias("event_type")
     )
+    hits = stage_overwrite(hits, scratch_dir(spark, "ends"))
     flagged = tx.select("trans_id").join(hits, id_order("trans_id") == F.col("end_order"), "left")
     return as_text(flagged.drop("end_order"), "event_type")
 
@@ -540,7 +541,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(
-        moments.decreasing_chain(testbank.transactions(spark, sf_dir), **CHAIN_OPTIONS), "amt"
+        moments.decreasing_chain(
+            testbank.transactions(spark, sf_dir), store=scratch_dir(spark, "ends"), **CHAIN_OPTIONS
+        ),
+        "amt",
     )
 
 
