@@ -139,3 +139,15 @@ def test_a_hot_second_is_written_by_many_tasks(spark):
         tasks = written.groupBy("task").count().collect()
     assert sum(row["count"] for row in tasks) == 200_000
     assert len(tasks) > 1
+
+
+def test_lag_windows_of_a_hot_card_are_cut(spark):
+    """The windows of ``lag_back`` are per card and slot of its default width."""
+    tx = hot_transactions(spark).select("trans_id", "card_num", "trans_date", "amt")
+    slot = F.floor(F.unix_timestamp(F.col("trans_date").cast("timestamp")) / moments.MINUTE)
+    largest = tx.groupBy("card_num", slot).count().agg(F.max("count")).first()[0]
+    assert largest < tx.count() / 3_000
+    lagged = moments.lag_back(tx, key="card_num", ts="trans_date", tie="trans_id", columns=["amt"], n=1)
+    hot = lagged.filter("card_num = 'C7'").select("trans_date", "trans_id", "amt", "amt_back_1").collect()
+    hot.sort(key=lambda r: (r.trans_date, int(r.trans_id)))
+    assert [r.amt_back_1 for r in hot] == [None, *[r.amt for r in hot[:-1]]]

@@ -23,6 +23,7 @@ from vaultline.schemas import ACCEPTED, REJECTED, SPENDING_TYPES
 
 DAY = 86_400
 HOUR = 3_600
+MINUTE = 60
 
 
 def in_slots(rows: DataFrame, *, ts: str, reach: int, width: int = DAY) -> DataFrame:
@@ -219,13 +220,14 @@ def lag_back(
     tie: str,
     columns: Sequence[str],
     n: int = 3,
-    width: int = HOUR,
+    width: int = MINUTE,
 ) -> DataFrame:
     """Add ``{column}_back_{k}``: the value of the key's k-th operation before, k = 1..n.
 
     There is no time limit here, so each slot receives the last ``n`` operations of the
     slots before it. These come from a summary with one small row per key and slot; the
-    only window that sees a whole key runs over that summary.
+    only window that sees a whole key runs over that summary. A slot is a minute, so a window over
+    raw rows sees what one key does in a minute, however much of all rows it holds.
     """
     slot = F.floor(seconds_since_beginning(ts) / F.lit(width)).alias("_slot")
     tx = tx.withColumn("_order", id_order(tie))
@@ -332,6 +334,12 @@ def loose_chain(
     rows = rows.withColumn(
         "_past", F.collect_list(F.struct(*facts, "_attempt_low", "_start_3")).over(ordered)
     ).filter(F.col("_home") & F.col("_accepted"))
+    # Only what follows the first chain still in time can decide; few moments have one at all.
+    in_time = F.filter("_past", lambda m: m["_start_3"] >= F.col("_second") - within)
+    rows = rows.withColumn("_since", F.try_element_at(in_time, F.lit(1))["_second"]).filter(
+        F.col("_since").isNotNull()
+    )
+    rows = rows.withColumn("_past", F.filter("_past", lambda m: m["_second"] >= F.col("_since")))
 
     ends = tx.filter(accepted).join(
         rows.select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), "_second", "_past"),
