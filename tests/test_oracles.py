@@ -20,7 +20,7 @@ pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables")
 
 
 # Finds nothing in the smallest tables.
-LARGER = {"chain_exists_selfjoin": SF_DIR.with_name("sf0.01")}
+LARGER = {name: SF_DIR.with_name("sf0.01") for name in ("chain_exists_selfjoin", "decreasing_chain_defaults")}
 
 
 @lru_cache
@@ -40,7 +40,7 @@ def bag(columns: list[str], rows) -> Counter:
     return Counter(tuple(shown(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     sf_dir = LARGER.get(name, SF_DIR)
     result = QUERIES[name](spark, str(sf_dir))
@@ -52,6 +52,12 @@ def test_query_equals_sql(spark, name):
     assert bag(result.columns, result.collect()) == expected
 
 
+def test_every_query_of_the_catalogue_has_its_sql():
+    from vaultline.plans.catalogue import CATALOGUE
+
+    assert set(CATALOGUE) <= set(SQL) <= set(QUERIES)
+
+
 def test_entry(spark):
     assert contract.entry(spark).columns == [
         "event_dt", "passport", "fio", "phone", "event_type", "report_dt",
