@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vaultline.llm.simhash import fingerprint, fingerprint_links, kept_documents, most_differing, simhash_dedup
+from vaultline.llm.simhash import _spread, fingerprint, fingerprint_links, kept_documents, most_differing, simhash_dedup
 
 
 def slow_fingerprint(text, width):
@@ -112,13 +112,18 @@ def test_similar_documents_are_found_and_others_stay(docs):
             for _ in range(rng.randrange(1, max(2, len(words) // 45))):
                 near[rng.randrange(len(near))] = f"edit{rng.random()}"
             texts[1000 * (k + 1) + i] = " ".join(near)
-    found = simhash_dedup(docs(*texts.items()), width=5, tables=6, similarity=0.8)
+    found = simhash_dedup(docs(*texts.items()), width=5, similarity=0.8)
     component = {r["doc_id"]: r["component_id"] for r in found.collect()}
     assert all(component[i] % 1000 == i % 1000 for i in texts)  # nothing else is linked
     similar = [i for i in texts if i >= 1000 and jaccard(texts[i], texts[i % 1000]) >= 0.8]
     assert sum(component[i] == i % 1000 for i in similar) >= 0.85 * len(similar) > 30
 
 
+def test_tables_have_counts_of_their_own():
+    counts = {tuple((_spread(t) >> 2 * i) & 3 for i in range(4)) for t in range(8)}
+    assert len(counts) == 8
+
+
 def test_most_differing():
     assert most_differing(1.0, 64) == 0
     assert 0.15 < most_differing(0.8, 384) / 384 < 0.18

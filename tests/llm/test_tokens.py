@@ -19,7 +19,7 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     "", " ", "  ", "a ", "a  b", "  a  ", "\n", "a\n\nb", " \n ", "▁", "a▁b", "</s> <s>", "\t\x0b\x0c", "x" * 5000,
     "é é e ́", "<|endoftext|> <|ENDOFTEXT|>X", "foo<|startoftext|>bar, Baz. don't DON'T", "Σας ΣΑΣ İ ß", "１２ 中文",
-    "a b　c", "​ x", "K.", "..", "a.,", "A,", "word " * 3000,
+    "a b　c", "​ x", "K.", "..", "a.,", "A,", "é!!", "é´!", "²!", "x_!", "ﬁ?", "don'", "a's", "é's", "word " * 3000,
 ]
 
 library = sentencepiece.SentencePieceProcessor(model_file=PIECES)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -18,8 +19,12 @@ CAPACITY = 2048
 # The id after the last token of each document, as its four bytes.
 END = bytes(4)
 # Words whose ids a worker remembers, so that frequent words are encoded once.
-REMEMBERED = 500_000
-BATCH_BYTES = 4 << 20
+REMEMBERED = 400_000
+# Text and words in one call: bounds what a task holds besides.
+BATCH_BYTES = 1 << 20
+BATCH_WORDS = 4096
+# Letters with marks of ASCII behind.
+MARKED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -42,10 +47,11 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(item.ids, "<u4").tobytes() for item in found]
+        packed: list[bytes] = []
+        for start in range(0, len(texts), BATCH_WORDS):
+            found = self.tokenizer.encode_batch_fast(texts[start : start + BATCH_WORDS], add_special_tokens=False)
+            packed += [struct.pack(f"<{len(ids)}I", *ids) for ids in (item.ids for item in found)]
+        return packed
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian, four bytes each."""
@@ -53,17 +59,23 @@ class Encoder:
             return self._ids(texts)
         raw = [text.encode("utf-8") for text in texts]
         words = [(text if b"<|" in text else text.lower()).split() for text in raw]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
         known = self.known
         new = {word for text in words for word in text if word not in known}
-        # A mark at the end of a plain word is a token of its own; so both are looked up alone.
-        ends = {word: (word[:-1], word[-1:]) for word in new if re.fullmatch(rb"[a-z]+[.,]", word)}
+        # Marks after letters are tokens of their own; so both are looked up alone.
+        ends: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in new:
+            found = MARKED.fullmatch(word.decode("utf-8"))
+            if found and found[1].isalpha():
+                ends[word] = (found[1].encode("utf-8"), found[2].encode("utf-8"))
         parts = {part for pair in ends.values() for part in pair if part not in known}
         plain = list((new - ends.keys()) | parts)
         known.update(zip(plain, self._ids([word.decode("utf-8") for word in plain]), strict=True))
         known.update((word, known[stem] + known[mark]) for word, (stem, mark) in ends.items())
-        return [b"".join(map(known.__getitem__, text)) for text in words]
+        encoded = [b"".join(map(known.__getitem__, text)) for text in words]
+        if len(known) > REMEMBERED:  # frequent words came first; the new ones are rare
+            for word in new | parts:
+                del known[word]
+        return encoded
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:

@@ -98,7 +98,8 @@ def _around(fp: Column, bits: int) -> Column:
 def fingerprint_links(points: DataFrame, bits: int = 64) -> DataFrame:
     """Links (a, b) of ids, enough to connect all fingerprints that differ in at most two bits.
 
-    ``points`` has a ``fingerprint`` per row, each once, and its ``id``. Only the upper ``bits`` may be set.
+    ``points`` has a ``fingerprint`` per row, each once, and its ``id``. Two only link if they differ in none
+    but the upper ``bits``.
 
     Bit counts of segments are the embedding: the Manhattan distance of two points is at most the
     number of differing bits. Two points within two steps both lie within one step of some
@@ -132,6 +133,11 @@ def most_differing(similarity: float, bits: int) -> int:
     return math.floor(bits * share + math.sqrt(bits * share * (1 - share)))
 
 
+def _spread(table: int) -> int:
+    """The number of a table with its bits in segments of their own, so that no two have the same counts."""
+    return sum((table >> i & 1) << 2 * i for i in range(table.bit_length()))
+
+
 def _close(links: DataFrame, classes: DataFrame, names: list[str], most: int) -> DataFrame:
     """The links (a, b) whose documents differ in at most ``most`` bits of all their fingerprints."""
     for end in ("a", "b"):
@@ -144,8 +150,8 @@ def _close(links: DataFrame, classes: DataFrame, names: list[str], most: int) ->
 def simhash_dedup(
     docs: DataFrame,
     width: int = 3,
-    tables: int = 1,
     similarity: float | None = None,
+    tables: int = TABLES,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -156,30 +162,29 @@ def simhash_dedup(
     count as empty and have fingerprint zero, which links like any other. Rows without an id get the
     component of their fingerprints, null if no row with an id has them. Repeated rows each get a row.
 
-    With ``similarity``, documents that differ more are found, too: each table looks at the upper bits of its
+    With ``similarity``, documents that differ more are found, too, by several tables. Each looks at the upper bits of its
     fingerprint alone, ten more than number the documents, and what differs there in at most two bits is
-    a candidate. Candidates are verified by all bits of all tables: they link if so few differ
+    a candidate; the number of the table stands in the lower bits, so all tables are one pass. Candidates are verified by all bits of all tables: they link if so few differ
     as documents of this Jaccard similarity do (:func:`most_differing`).
     """
+    tables = 1 if similarity is None else tables
     names = [f"fingerprint_{table}" for table in range(tables)]
     prints = materialise(fingerprints(docs, width, tables, id_column, text_column), "fingerprints")
     classes = materialise(prints.groupBy(*names).agg(F.min("doc_id").cast("bigint").alias("id")), "classes")
     named = classes.filter("id is not null")
-    bits = 64
-    if similarity is not None:
-        bits = min(64, max(1, named.count()).bit_length() + EXTRA_BITS)
-    links = None
-    for name in names:
-        value = F.col(name).bitwiseAND(F.lit(-(1 << (64 - bits))))
-        points = materialise(named.groupBy(value.alias("fingerprint")).agg(F.min("id").alias("id")), "points")
-        found = materialise(fingerprint_links(points, bits), "links")
-        if tables > 1 or bits < 64:
-            heads = points.toDF("fingerprint", "head")
-            same = named.select("id", value.alias("own")).join(heads, F.col("own") == F.col("fingerprint"))
-            found = found.union(same.filter("head <> id").select("head", "id"))
-        links = found if links is None else links.union(found)
-    if similarity is not None:
-        links = _close(links.distinct(), named, names, most_differing(similarity, 64 * tables))
+    if similarity is None:
+        points = named.select("id", F.col(names[0]).alias("fingerprint"))
+        links = fingerprint_links(points)
+    else:
+        bits = min(64 - 2 * tables.bit_length(), max(1, named.count()).bit_length() + EXTRA_BITS)
+        upper = F.lit(-(1 << (64 - bits)))
+        values = [F.col(name).bitwiseAND(upper).bitwiseOR(F.lit(_spread(k))) for k, name in enumerate(names)]
+        entries = named.select("id", F.explode(F.array(*values)).alias("fingerprint"))
+        points = materialise(entries.groupBy("fingerprint").agg(F.min("id").alias("id")), "points")
+        heads = points.toDF("own", "head")
+        same = entries.join(heads, entries["fingerprint"] == heads["own"]).filter("head <> id").select("head", "id")
+        links = materialise(fingerprint_links(points, bits).union(same).distinct(), "candidates")
+        links = _close(links, named, names, most_differing(similarity, 64 * tables))
     found = connected_components(links)
     groups = classes.join(found, classes["id"] == found["node"], "left")
     groups = groups.select(*names, F.coalesce("component", "id").alias("component_id"))
@@ -199,7 +204,7 @@ def kept_documents(
 
     Rows with that id all stay, and so do rows without an id, which cannot be told apart.
     """
-    found = simhash_dedup(docs, width, tables, similarity, id_column, text_column)
+    found = simhash_dedup(docs, width, similarity, tables, id_column, text_column)
     dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
     dropped = materialise(dropped, "dropped")
     return docs.join(dropped, docs[id_column] == dropped["_dropped"], "left_anti")

@@ -73,13 +73,15 @@ class Counter:
     def counts(self, texts: list[str]) -> list[int]:
         if not self.splits:
             return list(self._encode(texts))
-        if len(self.known) > REMEMBERED:
-            self.known = {}
         known = self.known
         new = [unit for unit in {unit for text in texts for unit in units(text)} if unit not in known]
         known.update(zip(new, self._encode(new), strict=True))
         known[""] = len(self.model.encode(" a")) - len(self.model.encode("a"))
-        return [sum(map(known.__getitem__, units(text))) if text else 0 for text in texts]
+        counts = [sum(map(known.__getitem__, units(text))) if text else 0 for text in texts]
+        if len(known) > REMEMBERED:  # frequent units came first; the new ones are rare
+            for unit in new:
+                del known[unit]
+        return counts
 
 
 def token_counts(docs: DataFrame, model_file: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
