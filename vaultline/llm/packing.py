@@ -19,7 +19,7 @@ CAPACITY = 2048
 # The id after the last token of each document, as its four bytes.
 END = bytes(4)
 # Words whose ids a worker remembers, so that frequent words are encoded once.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 # Text and words in one call: bounds what a task holds besides.
 BATCH_BYTES = 1 << 20
 BATCH_WORDS = 4096

@@ -17,7 +17,7 @@ from vaultline.llm.components import connected_components
 SEED = 42
 # For similarity: fingerprints of a document, and the bits each table looks at beyond those that number the documents.
 TABLES = 6
-EXTRA_BITS = 10
+EXTRA_BITS = 12
 # Shingles hashed at a time: bounds the memory a very long text takes.
 CHUNK = 1 << 16
 # Multiplier of the hashes of further tables.
@@ -163,7 +163,7 @@ def simhash_dedup(
     component of their fingerprints, null if no row with an id has them. Repeated rows each get a row.
 
     With ``similarity``, documents that differ more are found, too, by several tables. Each looks at the upper bits of its
-    fingerprint alone, ten more than number the documents, and what differs there in at most two bits is
+    fingerprint alone, twelve more than number the documents, and what differs there in at most two bits is
     a candidate; the number of the table stands in the lower bits, so all tables are one pass. Candidates are verified by all bits of all tables: they link if so few differ
     as documents of this Jaccard similarity do (:func:`most_differing`).
     """

@@ -198,6 +198,7 @@ def _per_text(frame: DataFrame, run, schema: str) -> DataFrame:
     """Rows that ``run`` makes of the batches of (text, toxic, fold), as lists of tuples."""
 
     def batches(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none_per_worker()
         names = [part.split()[0] for part in schema.split(", ")]
         for rows in run((zip(*(c.to_pylist() for c in b.columns), strict=True) for b in items)):
             columns = list(zip(*rows, strict=True)) or [[] for _ in names]
