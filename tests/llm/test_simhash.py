@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vaultline.llm.simhash import _spread, fingerprint, fingerprint_links, kept_documents, most_differing, simhash_dedup
+from vaultline.llm.simhash import _spread, candidate_pairs, fingerprint, fingerprint_links, kept_documents, most_differing, simhash_dedup
 
 
 def slow_fingerprint(text, width):
@@ -141,3 +141,31 @@ def test_links_of_few_bits_equal_brute_force(spark):
     assert components(ids, lambda a, b: (min(a, b), max(a, b)) in links) == components(
         ids, lambda a, b: (min(a, b), max(a, b)) in near
     )
+
+
+def test_candidates_are_all_pairs_of_different_roots(spark):
+    rng = random.Random(3)
+    values = [rng.getrandbits(10) << 54 for _ in range(150)]  # many are equal
+    signed = [int(np.uint64(v).astype(np.int64)) for v in values]
+    roots = [i - i % 3 if rng.random() < 0.5 else i for i in range(150)]
+    members = spark.createDataFrame(list(zip(signed, roots, range(150), strict=True)), "fingerprint bigint, root bigint, id bigint")
+    got = [(r["a"], r["b"]) for r in candidate_pairs(members, 10).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {
+        (i, j) for i in range(150) for j in range(i + 1, 150) if roots[i] != roots[j] and (values[i] ^ values[j]).bit_count() <= 2
+    }
+
+
+def test_pairs_inside_a_loose_family(docs):
+    """Each pair has a similarity of 0.95, all others of the family about 0.6; ids are dealt so that heads are of other pairs."""
+    rng = random.Random(7)
+    shared = [f"s{i}" for i in range(300)]
+    texts = {}
+    for pair in range(400):
+        words = shared + [f"{pair}u{rng.random()}" for _ in range(100)]
+        texts[pair] = " ".join(words)
+        texts[1000 - pair] = " ".join([*words[:-10], *(f"e{rng.random()}" for _ in range(10))])
+    assert all(0.94 < jaccard(texts[p], texts[1000 - p]) < 0.96 for p in range(400))
+    assert 0.55 < jaccard(texts[0], texts[1]) < 0.65
+    found = {r["doc_id"]: r["component_id"] for r in simhash_dedup(docs(*texts.items()), width=5, similarity=0.8).collect()}
+    assert all(found[p] == found[1000 - p] for p in range(400))

@@ -147,6 +147,38 @@ def _close(links: DataFrame, classes: DataFrame, names: list[str], most: int) ->
     return links.filter(differing <= most).select("a", "b")
 
 
+def near_points(points: DataFrame, bits: int) -> DataFrame:
+    """All pairs (p, q), p < q, of ``fingerprint`` values that differ in one or two of their upper ``bits`` and nowhere else.
+
+    Both reach a common value by at most one flip each. Most values are reached by one point or two, whose
+    least and greatest are the pair; only for the others are the points around the value looked up.
+    """
+    fp = F.col("fingerprint")
+    reached = points.select("fingerprint", F.explode(_around(fp, bits)).alias("value"))
+    met = reached.groupBy("value").agg(F.count("*").alias("n"), F.min(fp).alias("p"), F.max(fp).alias("q"))
+    met = materialise(met.filter("n > 1"), "met")
+    crowd = met.filter("n > 2").select("value", F.explode(_around(F.col("value"), bits)).alias("fingerprint"))
+    crowd = crowd.join(points, "fingerprint").groupBy("value").agg(F.collect_set("fingerprint").alias("all"))
+    crowd = crowd.select(F.explode("all").alias("p"), "all").select("p", F.explode("all").alias("q")).filter("p < q")
+    return met.filter("n = 2").select("p", "q").union(crowd).distinct()
+
+
+def candidate_pairs(members: DataFrame, bits: int) -> DataFrame:
+    """All pairs (a, b), a < b, of ids in different ``root`` whose fingerprints differ in at most two of the upper ``bits``.
+
+    ``members`` has rows (fingerprint, root, id). No id stands for others, except that what is in one root
+    is connected already: a fingerprint with one root forms no pairs, however many ids it has.
+    """
+    points = members.select("fingerprint").distinct()
+    mixed = members.groupBy("fingerprint").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    near = near_points(points, bits).union(mixed.select("fingerprint", "fingerprint"))
+    roots = members.select("fingerprint", "root").distinct()
+    met = near.join(roots.toDF("p", "p_root"), "p").join(roots.toDF("q", "q_root"), "q")
+    met = met.filter("p_root <> q_root and (p < q or p_root < q_root)")
+    met = met.join(members.toDF("p", "p_root", "x"), ["p", "p_root"]).join(members.toDF("q", "q_root", "y"), ["q", "q_root"])
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct()
+
+
 def simhash_dedup(
     docs: DataFrame,
     width: int = 3,
@@ -164,7 +196,8 @@ def simhash_dedup(
 
     With ``similarity``, documents that differ more are found, too, by several tables. Each looks at the upper bits of its
     fingerprint alone, twelve more than number the documents, and what differs there in at most two bits is
-    a candidate; the number of the table stands in the lower bits, so all tables are one pass. Candidates are verified by all bits of all tables: they link if so few differ
+    a candidate; the number of the table stands in the lower bits, so all tables are one pass. First all that agree there are
+    held against the smallest id among them; then every pair that is not connected by that. Candidates are verified by all bits of all tables: they link if so few differ
     as documents of this Jaccard similarity do (:func:`most_differing`).
     """
     tables = 1 if similarity is None else tables
@@ -180,11 +213,13 @@ def simhash_dedup(
         upper = F.lit(-(1 << (64 - bits)))
         values = [F.col(name).bitwiseAND(upper).bitwiseOR(F.lit(_spread(k))) for k, name in enumerate(names)]
         entries = named.select("id", F.explode(F.array(*values)).alias("fingerprint"))
-        points = materialise(entries.groupBy("fingerprint").agg(F.min("id").alias("id")), "points")
-        heads = points.toDF("own", "head")
-        same = entries.join(heads, entries["fingerprint"] == heads["own"]).filter("head <> id").select("head", "id")
-        links = materialise(fingerprint_links(points, bits).union(same).distinct(), "candidates")
-        links = _close(links, named, names, most_differing(similarity, 64 * tables))
+        most = most_differing(similarity, 64 * tables)
+        heads = entries.groupBy("fingerprint").agg(F.min("id").alias("head"))
+        stars = entries.join(heads, "fingerprint").filter("head <> id").select(F.col("head").alias("a"), F.col("id").alias("b"))
+        stars = materialise(_close(stars.distinct(), named, names, most), "stars")
+        known = connected_components(stars).withColumnRenamed("node", "id")
+        members = entries.join(known, "id", "left").select("fingerprint", F.coalesce("component", "id").alias("root"), "id")
+        links = _close(candidate_pairs(materialise(members, "members"), bits), named, names, most).union(stars)
     found = connected_components(links)
     groups = classes.join(found, classes["id"] == found["node"], "left")
     groups = groups.select(*names, F.coalesce("component", "id").alias("component_id"))
