@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vaultline.llm.simhash import _spread, candidate_pairs, fingerprint, fingerprint_links, kept_documents, most_differing, simhash_dedup
+from vaultline.llm.simhash import TABLES, _spread, candidate_pairs, fingerprint, fingerprint_links, kept_documents, most_differing, simhash_dedup
 
 
 def slow_fingerprint(text, width):
@@ -169,3 +169,30 @@ def test_pairs_inside_a_loose_family(docs):
     assert 0.55 < jaccard(texts[0], texts[1]) < 0.65
     found = {r["doc_id"]: r["component_id"] for r in simhash_dedup(docs(*texts.items()), width=5, similarity=0.8).collect()}
     assert all(found[p] == found[1000 - p] for p in range(400))
+
+
+def test_keys_find_pairs_of_similarity_080_at_every_size():
+    """The chance that a pair at 0.8 shares a key but for two bits; it does not depend on the number of documents."""
+    rng = random.Random(13)
+    found = 0
+    for i in range(200):
+        words = [f"{i}w{rng.randrange(10**9)}" for _ in range(304)]
+        near = [*words[:-33], *(f"e{rng.random()}" for _ in range(33))]
+        a, b = " ".join(words), " ".join(near)
+        assert 0.8 <= jaccard(a, b) < 0.81
+        halves = [(x ^ y) >> shift & 0xFFFFFFFF for x, y in zip(fingerprint(a, 5, TABLES), fingerprint(b, 5, TABLES), strict=True) for shift in (0, 32)]
+        found += min(half.bit_count() for half in halves) <= 2
+    assert found >= 190
+
+
+def test_recall_of_pairs_at_080(docs):
+    """Above the threshold by a little, among others; the keys are as narrow as in a large table."""
+    rng = random.Random(17)
+    texts = {}
+    for i in range(300):
+        words = [f"{i}w{rng.randrange(10**9)}" for _ in range(304)]
+        texts[i] = " ".join(words)
+        texts[1000 + i] = " ".join([*words[:-28], *(f"e{rng.random()}" for _ in range(28))])
+    assert all(0.82 < jaccard(texts[i], texts[1000 + i]) < 0.84 for i in range(300))
+    found = {r["doc_id"]: r["component_id"] for r in simhash_dedup(docs(*texts.items()), width=5, similarity=0.8).collect()}
+    assert sum(found[1000 + i] == i for i in range(300)) >= 285

@@ -11,13 +11,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import materialise, none_per_worker
+from vaultline.llm.common import free_shuffles, materialise, none_per_worker
 from vaultline.llm.components import connected_components
 
 SEED = 42
-# For similarity: fingerprints of a document, and the bits each table looks at beyond those that number the documents.
-TABLES = 6
-EXTRA_BITS = 12
+# For similarity: fingerprints of a document, and the bits of each of the two keys a fingerprint is cut into.
+TABLES = 16
+KEY_BITS = 32
+# Keys searched at a time: bounds the disk that the search takes.
+KEYS_PER_PASS = 8
 # Shingles hashed at a time: bounds the memory a very long text takes.
 CHUNK = 1 << 16
 # Multiplier of the hashes of further tables.
@@ -138,6 +140,12 @@ def _spread(table: int) -> int:
     return sum((table >> i & 1) << 2 * i for i in range(table.bit_length()))
 
 
+def _keys(fp: Column) -> list[Column]:
+    """The upper and the lower half of a fingerprint, each in the upper bits of a number."""
+    upper = F.lit(-(1 << (64 - KEY_BITS)))
+    return [fp.bitwiseAND(upper), F.shiftleft(fp, 64 - KEY_BITS)]
+
+
 def _close(links: DataFrame, classes: DataFrame, names: list[str], most: int) -> DataFrame:
     """The links (a, b) whose documents differ in at most ``most`` bits of all their fingerprints."""
     for end in ("a", "b"):
@@ -194,10 +202,10 @@ def simhash_dedup(
     count as empty and have fingerprint zero, which links like any other. Rows without an id get the
     component of their fingerprints, null if no row with an id has them. Repeated rows each get a row.
 
-    With ``similarity``, documents that differ more are found, too, by several tables. Each looks at the upper bits of its
-    fingerprint alone, twelve more than number the documents, and what differs there in at most two bits is
-    a candidate; the number of the table stands in the lower bits, so all tables are one pass. First all that agree there are
-    held against the smallest id among them; then every pair that is not connected by that. Candidates are verified by all bits of all tables: they link if so few differ
+    With ``similarity``, documents that differ more are found, too, by the two halves of several fingerprints: keys of 32 bits, whatever
+    the number of documents. What differs in a key in at most two bits is a candidate; the number of the key stands in the lower
+    bits, so several keys are one pass. First all that agree in a key are held against the smallest id among them; then every pair
+    that is not connected by that. Candidates are verified by all bits of all tables: they link if so few differ
     as documents of this Jaccard similarity do (:func:`most_differing`).
     """
     tables = 1 if similarity is None else tables
@@ -209,17 +217,23 @@ def simhash_dedup(
         points = named.select("id", F.col(names[0]).alias("fingerprint"))
         links = fingerprint_links(points)
     else:
-        bits = min(64 - 2 * tables.bit_length(), max(1, named.count()).bit_length() + EXTRA_BITS)
-        upper = F.lit(-(1 << (64 - bits)))
-        values = [F.col(name).bitwiseAND(upper).bitwiseOR(F.lit(_spread(k))) for k, name in enumerate(names)]
+        keys = [key for name in names for key in _keys(F.col(name))]
+        values = [key.bitwiseOR(F.lit(_spread(k))) for k, key in enumerate(keys)]
         entries = named.select("id", F.explode(F.array(*values)).alias("fingerprint"))
         most = most_differing(similarity, 64 * tables)
         heads = entries.groupBy("fingerprint").agg(F.min("id").alias("head"))
         stars = entries.join(heads, "fingerprint").filter("head <> id").select(F.col("head").alias("a"), F.col("id").alias("b"))
         stars = materialise(_close(stars.distinct(), named, names, most), "stars")
         known = connected_components(stars).withColumnRenamed("node", "id")
-        members = entries.join(known, "id", "left").select("fingerprint", F.coalesce("component", "id").alias("root"), "id")
-        links = _close(candidate_pairs(materialise(members, "members"), bits), named, names, most).union(stars)
+        rooted = named.join(known, "id", "left").select("*", F.coalesce("component", "id").alias("root"))
+        rooted = materialise(rooted, "rooted")
+        links = stars
+        for first in range(0, len(values), KEYS_PER_PASS):
+            part = F.explode(F.array(*values[first : first + KEYS_PER_PASS])).alias("fingerprint")
+            pairs = candidate_pairs(rooted.select(part, "root", "id"), KEY_BITS)
+            links = links.union(materialise(_close(pairs, named, names, most), "pairs"))
+            del pairs
+            free_shuffles(docs.sparkSession)
     found = connected_components(links)
     groups = classes.join(found, classes["id"] == found["node"], "left")
     groups = groups.select(*names, F.coalesce("component", "id").alias("component_id"))
