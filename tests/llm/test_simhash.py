@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vaultline.llm.simhash import TABLES, _spread, candidate_pairs, fingerprint, fingerprint_links, kept_documents, most_differing, simhash_dedup
+from vaultline.llm.simhash import TABLES, _spread, candidate_pairs, fingerprint, fingerprint_links, kept_documents, most_differing, similar_pairs, simhash_dedup
 
 
 def slow_fingerprint(text, width):
@@ -196,3 +196,35 @@ def test_recall_of_pairs_at_080(docs):
     assert all(0.82 < jaccard(texts[i], texts[1000 + i]) < 0.84 for i in range(300))
     found = {r["doc_id"]: r["component_id"] for r in simhash_dedup(docs(*texts.items()), width=5, similarity=0.8).collect()}
     assert sum(found[1000 + i] == i for i in range(300)) >= 285
+
+
+def test_components_equal_brute_force_of_exact_similarity(docs):
+    """Pairs above and below the threshold, lines repeated very often, short texts and copies."""
+    rng = random.Random(23)
+    line = " ".join(f"l{i}" for i in range(9))
+    texts = {1: " ".join([line] * 400 + [f"a{i}" for i in range(60)]), 2: " ".join([line] * 400 + [f"b{i}" for i in range(60)])}
+    clean = [f"c{i}" for i in range(200)]
+    texts[3] = " ".join([line, *clean])
+    texts[4] = " ".join([line] * 500 + clean)  # nearly the same set, other counts
+    texts |= {5: line, 6: " ".join([line] * 300), 7: "one two", 8: "one two", 9: None, 10: " "}
+    for i in range(60):
+        words = [f"{i}w{rng.randrange(10**9)}" for _ in range(rng.randrange(60, 300))]
+        texts[100 + i] = " ".join(words)
+        for k in (1, 2):
+            edited = round(len(words) * rng.uniform(0.0, 0.35))
+            texts[100 + 1000 * k + i] = " ".join([*words[: len(words) - edited], *(f"e{rng.random()}" for _ in range(edited))])
+    ids = sorted(texts)
+    near = {(a, b) for a in ids for b in ids if a < b and (a >= 100) == (b >= 100) and (a < 100 or (a - b) % 1000 == 0)}
+    near = {(a, b) for a, b in near if jaccard(texts[a] or "", texts[b] or "") >= 0.8}
+    assert not {(1, 2), (5, 6)} & near and {(3, 4), (7, 8), (9, 10)} <= near
+    found = {r["doc_id"]: r["component_id"] for r in simhash_dedup(docs(*texts.items()), width=5, similarity=0.8).collect()}
+    truth = components(ids, lambda a, b: (min(a, b), max(a, b)) in near)
+    assert not {i for i in ids if found[i] < truth[i]}  # nothing is linked that is not similar
+    assert sum(found[i] == truth[i] for i in ids) >= len(ids) - 2
+
+
+def test_similar_pairs_are_exact_at_the_threshold(docs):
+    texts = {1: " ".join("abcdefghi"), 2: " ".join("abcdefghx"), 3: " ".join("abcdefgh")}  # 5, 5 and 4 shingles
+    pairs = docs(*texts.items()).sparkSession.createDataFrame([(1, 2), (1, 3), (2, 3)], "a bigint, b bigint")
+    found = similar_pairs(pairs, docs(*texts.items()), 5, 0.8)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 3), (2, 3)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -20,6 +22,10 @@ TABLES = 16
 KEY_BITS = 32
 # Keys searched at a time: bounds the disk that the search takes.
 KEYS_PER_PASS = 8
+# Standard deviations that the share of differing bits may exceed the expected one by before shingles are compared.
+SLACK = 6.0
+# Letters of a hexadecimal digest of a set of shingles.
+DIGEST = 32
 # Shingles hashed at a time: bounds the memory a very long text takes.
 CHUNK = 1 << 16
 # Multiplier of the hashes of further tables.
@@ -67,22 +73,82 @@ def fingerprint(text: str | None, width: int = 3, tables: int = 1) -> list[int]:
     return [int.from_bytes(np.packbits(2 * row > total).tobytes(), "big", signed=True) for row in counts]
 
 
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """The distinct shingles of a text, split as in :func:`fingerprint`, as sorted 64-bit hashes; empty if it has no words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    parts = []
+    digest = xxhash.xxh64_digest
+    for start in range(0, max(1, len(words) - width + 1), CHUNK):
+        part = words[start : start + CHUNK + width - 1]
+        shingles = zip(*(part[i:] for i in range(width)), strict=False) if len(words) >= width else [part]
+        digests = b"".join([digest(b" ".join(s), SEED) for s in shingles])
+        parts.append(np.unique(np.frombuffer(digests, ">u8").astype(np.uint64)))
+    return np.unique(np.concatenate(parts))
+
+
+def set_fingerprint(hashes: np.ndarray, tables: int) -> list[int]:
+    """As :func:`fingerprint`, of distinct shingles, so that a line that is repeated counts once."""
+    counts = np.zeros((tables, 64), np.int64)
+    for start in range(0, len(hashes), CHUNK):
+        digests = hashes[start : start + CHUNK].astype(">u8").tobytes()
+        for table in range(tables):
+            counts[table] += bit_counts(_tabled(digests, table))
+    return [int.from_bytes(np.packbits(2 * row > len(hashes)).tobytes(), "big", signed=True) for row in counts]
+
+
 def fingerprints(
-    docs: DataFrame, width: int = 3, tables: int = 1, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    width: int = 3,
+    tables: int = 1,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    distinct: bool = False,
 ) -> DataFrame:
-    """(doc_id, fingerprint_0, ...) of every row, over whole texts, without a shuffle."""
+    """(doc_id, fingerprint_0, ...) of every row, over whole texts, without a shuffle.
+
+    With ``distinct``, fingerprints of distinct shingles, and before them ``digest`` and ``size`` of the set of shingles.
+    """
     names = [f"fingerprint_{table}" for table in range(tables)]
+    extra = ["digest", "size"] if distinct else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none_per_worker()
         for batch in batches:
-            rows = [fingerprint(text.as_py(), width, tables) for text in batch.column(1)]
-            columns = [pa.array([row[table] for row in rows], pa.int64()) for table in range(tables)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
+            columns, rows = [batch.column(0)], []
+            if distinct:
+                keys: list[tuple[str, int]] = []
+                for text in batch.column(1):
+                    hashes = shingle_set(text.as_py(), width)
+                    keys.append((hashlib.sha256(hashes.tobytes()).hexdigest()[:DIGEST], len(hashes)))
+                    rows.append(set_fingerprint(hashes, tables))
+                columns += [pa.array([d for d, _ in keys], pa.string()), pa.array([n for _, n in keys], pa.int64())]
+            else:
+                rows = [fingerprint(text.as_py(), width, tables) for text in batch.column(1)]
+            columns += [pa.array([row[table] for row in rows], pa.int64()) for table in range(tables)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *extra, *names])
 
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, ", ".join([f"doc_id {id_type}", *(f"{name} bigint" for name in names)]))
+    kinds = ["digest string", "size bigint"] if distinct else []
+    return rows.mapInArrow(run, ", ".join([f"doc_id {id_type}", *kinds, *(f"{name} bigint" for name in names)]))
+
+
+def shingle_sets(docs: DataFrame, width: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, shingles) of every row: the distinct shingles as an array of hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none_per_worker()
+        for batch in batches:
+            for at, text in enumerate(batch.column(1)):  # a row each: sets of long texts are large
+                hashes = shingle_set(text.as_py(), width).view(np.int64)
+                offsets = pa.array([0, len(hashes)], pa.int32())
+                sets = pa.ListArray.from_arrays(offsets, pa.array(hashes))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), sets], ["id", "shingles"])
+
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+    return rows.mapInArrow(run, "id bigint, shingles array<bigint>")
 
 
 def segment_counts(fp: Column) -> Column:
@@ -125,14 +191,14 @@ def fingerprint_links(points: DataFrame, bits: int = 64) -> DataFrame:
     return met.select(F.array_min("ids").alias("a"), F.explode("ids").alias("b")).filter("a < b").distinct()
 
 
-def most_differing(similarity: float, bits: int) -> int:
+def most_differing(similarity: float, bits: int, slack: float = 1.0) -> int:
     """How many of so many bits may differ in documents of this Jaccard similarity of shingles.
 
-    The share of differing bits is the angle between the vectors of shingles over pi; one standard
-    deviation of that share is allowed for.
+    The share of differing bits is the angle between the vectors of shingles over pi; ``slack`` standard
+    deviations of that share are allowed for.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(bits * share + math.sqrt(bits * share * (1 - share)))
+    return math.floor(bits * share + slack * math.sqrt(bits * share * (1 - share)))
 
 
 def _spread(table: int) -> int:
@@ -146,13 +212,32 @@ def _keys(fp: Column) -> list[Column]:
     return [fp.bitwiseAND(upper), F.shiftleft(fp, 64 - KEY_BITS)]
 
 
-def _close(links: DataFrame, classes: DataFrame, names: list[str], most: int) -> DataFrame:
-    """The links (a, b) whose documents differ in at most ``most`` bits of all their fingerprints."""
+def _close(pairs: DataFrame, classes: DataFrame, names: list[str], similarity: float) -> DataFrame:
+    """The pairs (a, b) that may reach the similarity by their sizes and by the bits of all fingerprints, with six standard deviations to spare."""
     for end in ("a", "b"):
-        prints = classes.select(F.col("id").alias(end), *(F.col(name).alias(f"{end}_{name}") for name in names))
-        links = links.join(prints, end)
+        prints = classes.select(F.col("id").alias(end), *(F.col(name).alias(f"{end}_{name}") for name in ["size", *names]))
+        pairs = pairs.join(prints, end)
     differing = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names), F.lit(0))
-    return links.filter(differing <= most).select("a", "b")
+    sizes = F.least("a_size", "b_size") >= similarity * F.greatest("a_size", "b_size")
+    return pairs.filter(sizes & (differing <= most_differing(similarity, 64 * len(names), SLACK))).select("a", "b").distinct()
+
+
+def similar_pairs(
+    pairs: DataFrame, docs: DataFrame, width: int, similarity: float, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The pairs (a, b) of ids whose sets of distinct shingles have at least this Jaccard similarity.
+
+    The sets are counted in full, shingles told apart by XXH64. Of rows that share an id any may be the one that is similar.
+    """
+    own = pairs.select(F.explode(F.array("a", "b")).alias(id_column)).distinct()
+    ids = docs[id_column].cast("bigint")
+    texts = docs.select(ids.alias(id_column), text_column).join(own, id_column, "left_semi")
+    sets = materialise(shingle_sets(texts, width, id_column, text_column), "shingles")
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("shingles").alias(f"{end}_shingles")), end)
+    common = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    either = F.size("a_shingles") + F.size("b_shingles") - common
+    return pairs.select("a", "b", common.alias("common"), either.alias("either")).filter(F.col("common") >= similarity * F.col("either")).select("a", "b").distinct()
 
 
 def near_points(points: DataFrame, bits: int) -> DataFrame:
@@ -187,6 +272,32 @@ def candidate_pairs(members: DataFrame, bits: int) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct()
 
 
+def _similar_links(
+    named: DataFrame, docs: DataFrame, names: list[str], width: int, similarity: float, id_column: str, text_column: str
+) -> DataFrame:
+    """Links (a, b) of ids of ``named`` (id, size and fingerprints of each set of shingles): the verified candidates of all keys."""
+    keys = [key for name in names for key in _keys(F.col(name))]
+    values = [key.bitwiseOR(F.lit(_spread(k))) for k, key in enumerate(keys)]
+    entries = named.select("id", F.explode(F.array(*values)).alias("fingerprint"))
+    heads = entries.groupBy("fingerprint").agg(F.min("id").alias("head"))
+    stars = entries.join(heads, "fingerprint").filter("head <> id").select(F.col("head").alias("a"), F.col("id").alias("b"))
+    stars = materialise(_close(stars.distinct(), named, names, similarity), "stars")
+    stars = materialise(similar_pairs(stars, docs, width, similarity, id_column, text_column), "similar")
+    known = connected_components(stars).withColumnRenamed("node", "id")
+    rooted = named.join(known, "id", "left").select(named["*"], F.coalesce("component", named["id"]).alias("root"))
+    rooted = materialise(rooted, "rooted")
+    free_shuffles(docs.sparkSession)
+    found = []
+    for first in range(0, len(values), KEYS_PER_PASS):
+        part = F.explode(F.array(*values[first : first + KEYS_PER_PASS])).alias("fingerprint")
+        pairs = candidate_pairs(rooted.select(part, "root", "id"), KEY_BITS)
+        found.append(materialise(_close(pairs, named, names, similarity), "pairs"))
+        del pairs
+        free_shuffles(docs.sparkSession)
+    pairs = materialise(functools.reduce(DataFrame.union, found).distinct(), "pairs")
+    return similar_pairs(pairs, docs, width, similarity, id_column, text_column).union(stars)
+
+
 def simhash_dedup(
     docs: DataFrame,
     width: int = 3,
@@ -205,40 +316,28 @@ def simhash_dedup(
     With ``similarity``, documents that differ more are found, too, by the two halves of several fingerprints: keys of 32 bits, whatever
     the number of documents. What differs in a key in at most two bits is a candidate; the number of the key stands in the lower
     bits, so several keys are one pass. First all that agree in a key are held against the smallest id among them; then every pair
-    that is not connected by that. Candidates are verified by all bits of all tables: they link if so few differ
-    as documents of this Jaccard similarity do (:func:`most_differing`).
+    that is not connected by that. Candidates whose bits differ by far too
+    much are dropped; the others link if the Jaccard similarity of their distinct shingles, counted in full, is at least ``similarity``.
+    Fingerprints are then of distinct shingles, too, and only equal sets of shingles are one point.
     """
     tables = 1 if similarity is None else tables
     names = [f"fingerprint_{table}" for table in range(tables)]
-    prints = materialise(fingerprints(docs, width, tables, id_column, text_column), "fingerprints")
-    classes = materialise(prints.groupBy(*names).agg(F.min("doc_id").cast("bigint").alias("id")), "classes")
+    prints = fingerprints(docs, width, tables, id_column, text_column, distinct=similarity is not None)
+    prints = materialise(prints, "fingerprints")
+    same = names if similarity is None else ["digest"]
+    first = [F.first(name).alias(name) for name in prints.columns if name not in ("doc_id", *same)]
+    classes = materialise(prints.groupBy(*same).agg(F.min("doc_id").cast("bigint").alias("id"), *first), "classes")
     named = classes.filter("id is not null")
     if similarity is None:
         points = named.select("id", F.col(names[0]).alias("fingerprint"))
         links = fingerprint_links(points)
     else:
-        keys = [key for name in names for key in _keys(F.col(name))]
-        values = [key.bitwiseOR(F.lit(_spread(k))) for k, key in enumerate(keys)]
-        entries = named.select("id", F.explode(F.array(*values)).alias("fingerprint"))
-        most = most_differing(similarity, 64 * tables)
-        heads = entries.groupBy("fingerprint").agg(F.min("id").alias("head"))
-        stars = entries.join(heads, "fingerprint").filter("head <> id").select(F.col("head").alias("a"), F.col("id").alias("b"))
-        stars = materialise(_close(stars.distinct(), named, names, most), "stars")
-        known = connected_components(stars).withColumnRenamed("node", "id")
-        rooted = named.join(known, "id", "left").select("*", F.coalesce("component", "id").alias("root"))
-        rooted = materialise(rooted, "rooted")
-        links = stars
-        for first in range(0, len(values), KEYS_PER_PASS):
-            part = F.explode(F.array(*values[first : first + KEYS_PER_PASS])).alias("fingerprint")
-            pairs = candidate_pairs(rooted.select(part, "root", "id"), KEY_BITS)
-            links = links.union(materialise(_close(pairs, named, names, most), "pairs"))
-            del pairs
-            free_shuffles(docs.sparkSession)
+        links = _similar_links(named, docs, names, width, similarity, id_column, text_column)
     found = connected_components(links)
     groups = classes.join(found, classes["id"] == found["node"], "left")
-    groups = groups.select(*names, F.coalesce("component", "id").alias("component_id"))
+    groups = groups.select(*same, F.coalesce("component", "id").alias("component_id"))
     groups = materialise(groups, "groups")
-    return prints.join(groups, names).select("doc_id", *names, "component_id")
+    return prints.join(groups, same).select("doc_id", *names, "component_id")
 
 
 def kept_documents(
