@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from urllib.parse import urlsplit
 
-from vaultline.llm.url_filter import judged_urls, rule_for
+from vaultline.llm.url_filter import fit, host_of, judged_urls, path_of, rule_for
 
 from pyspark.sql import functions as F  # noqa: I001
 
@@ -83,3 +83,15 @@ def test_hosts_agree_with_the_standard_library(spark):
     for url, row in zip(urls, judged(spark, *urls), strict=True):
         parts = urlsplit(url)
         assert row[:2] == (parts.netloc.lower(), parts.path)
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    """Two URLs crawled many times, differing in the query alone; the limit has room for all different ones, not for copies."""
+    urls = [f"https://a.com/good{i % 2}?q={i}" for i in range(60)]
+    urls += [f"https://b.net/es/bad{i}" for i in range(8)]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    split = rows.select(host_of("url").alias("host"), path_of("url").alias("path"))
+    split = split.withColumn("verdict", rule_for(F.col("host"), F.col("path"))[1]).filter("verdict is not null")
+    model = fit(split, limit=10)
+    assert not isinstance(model, str)
+    assert model.summary.predictions.select("host", "path").distinct().count() == 10

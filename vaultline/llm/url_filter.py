@@ -19,7 +19,7 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-# Labelled URLs the regression is fitted on, at most; the first by hash.
+# Labelled URLs the regression is fitted on, at most; the first different ones by hash.
 LABELLED = 5000
 FEATURES = 1 << 12
 GRAMS = (2, 3, 4)
@@ -66,9 +66,10 @@ def hasher() -> HashingTF:
 def fit(labelled: DataFrame, limit: int = LABELLED) -> LogisticRegressionModel | str:
     """A regression for ``block``, or the verdict of all if there is one only.
 
-    ``labelled`` has host, path and verdict; at most ``limit`` rows, the first by hash, are used.
+    ``labelled`` has host, path and verdict; of its distinct rows at most ``limit``, the first by hash, are used, so
+    a URL that is there many times, or with many query strings, counts once for each of its verdicts.
     """
-    sample = labelled.select("host", "path", (F.col("verdict") == "block").cast("double").alias("label"))
+    sample = labelled.select("host", "path", (F.col("verdict") == "block").cast("double").alias("label")).distinct()
     sample = sample.orderBy(F.xxhash64("host", "path"), "host", "path", "label").limit(limit)
     sample = materialise(sample, "labelled-urls").coalesce(1)
     verdicts = [row["label"] for row in sample.select("label").distinct().limit(2).collect()]
@@ -86,7 +87,8 @@ def judged_urls(
     ``labelled`` is a small table (url, verdict) to learn from; without it the URLs that a rule decides
     are taken. If it knows one verdict only, that is everyone's; if it is empty, the others are allowed. A null URL
     or one without ``://`` has an empty host and path, fits no rule and is judged like any other. Rows may repeat;
-    each gets its row. Only SQL functions and Spark's own learning run; no page is shuffled.
+    each gets its row. Only SQL functions and Spark's own learning run; no page is shuffled, only
+    the hosts and paths to learn from are, to take each once.
     """
     split = pages.select("page_id", host_of("url").alias("host"), path_of("url").alias("path"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
