@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import toxicity
+from vaultline.llm.common import WORD, text_of
 from vaultline.llm.exact_dedup import exact_dedup
 from vaultline.llm.mixing import fair_mix
 from vaultline.llm.packing import packed_documents
+from vaultline.llm.periodic_runs import periodic_runs
 from vaultline.llm.pq_dedup import embedding_dedup
 from vaultline.llm.simhash import simhash_dedup
 from vaultline.llm.substring_dedup import substring_dedup
@@ -199,3 +201,32 @@ left_words AS (
   GROUP BY k.doc_id)
 SELECT k.doc_id, len(k.words) AS n_words, len(k.places) AS n_removed, sha256(coalesce(l.text, '')) AS kept_sha256
 FROM kept AS k LEFT JOIN left_words AS l ON l.doc_id = k.doc_id"""
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by the checksum of its id, repeats a stretch of its words up to its end; the rest stays as it is."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    g = F.floor(h / 10)
+    words = docs.select("doc_id", "text", F.when(h % 10 == 0, F.regexp_extract_all(text_of("text"), F.lit(WORD), F.lit(0))).alias("words"))
+    n = F.size("words")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    changed = F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), a), repeated), F.lit(1), n), " ")
+    return words.select("doc_id", F.when(n > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words with at least four periods, the strongest of them, and the texts without the repeats."""
+    found = periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    runs = F.col("runs")
+    stronger = lambda best, x: x["length"] * best["period"] > best["length"] * x["period"]
+    best = F.aggregate(runs, F.get(runs, 0), lambda best, x: F.when(stronger(best, x), x).otherwise(best))
+    line = F.transform(runs, lambda x: F.concat(x["start"], F.lit(","), x["length"], F.lit(","), x["period"], F.lit("\n")))
+    found = found.select("doc_id", "collapsed", "runs", best.alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
