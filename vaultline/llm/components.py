@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vaultline.llm.common import materialise
 
 
-def _compressed(parents: DataFrame) -> DataFrame:
+def compressed(parents: DataFrame) -> DataFrame:
     """Follow (node, parent) up to the roots; each step halves the way."""
     while True:
         up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
@@ -39,7 +39,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     rounds: list[DataFrame] = []
     while not links.isEmpty():
         hooks = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
-        parents = _compressed(materialise(hooks, "hooks"))
+        parents = compressed(materialise(hooks, "hooks"))
         rounds.append(parents)
         for end in ("a", "b"):
             roots = parents.select(F.col("node").alias(end), F.col("parent").alias("root"))

@@ -16,6 +16,7 @@ from vaultline.llm.packing import packed_documents
 from vaultline.llm.periodic_runs import periodic_runs
 from vaultline.llm.pq_dedup import embedding_dedup
 from vaultline.llm.simhash import simhash_dedup
+from vaultline.llm.spelling_variants import letter_runs, spelling_variants, word_counts
 from vaultline.llm.substring_dedup import substring_dedup
 from vaultline.llm.token_counts import token_counts
 from vaultline.llm.url_filter import judged_urls
@@ -230,3 +231,65 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def with_slips(words: DataFrame) -> DataFrame:
+    """Some words of some documents, by the checksum of both, lose a letter."""
+    h = F.crc32(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "word"))
+    at = (h % F.char_length("word")).cast("int")
+    shorter = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.char_length("word")))
+    return words.select(F.when(h % 199 == 0, shorter).otherwise(F.col("word")).alias("word"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of at least six letters and five occurrences, and the more frequent forms they may be variants of."""
+    return spelling_variants(word_counts(with_slips(letter_runs(table(spark, sf_dir, "documents")))))
+
+
+# DuckDB has no CRC-32: the usual table of 256 numbers, then one step per byte. Levenshtein there counts bytes, so neighbours are
+# found by deleting code points: one of the longer word, or one at the same place of both.
+SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT i AS byte, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) AS r(i)
+  UNION ALL
+  SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS BIGINT)) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY byte) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)),
+hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+      lambda c, b : xor(c // 256, t[xor(c % 256, b) + 1])), CAST(4294967295 AS BIGINT)) AS h
+  FROM (
+    SELECT run, times, list_transform(range(0, len(code), 2), lambda i : CAST('0x' || code[i + 1 : i + 2] AS BIGINT)) AS bytes
+    FROM (
+      SELECT run, hex(concat(doc_id, ':', run)) AS code, times FROM (
+        SELECT doc_id, run, count(*) AS times FROM runs GROUP BY doc_id, run))), crc),
+counts AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, times
+    FROM hashed)
+  WHERE len(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+shorter AS (
+  SELECT word, place, left(word, place - 1) || substr(word, place + 1) AS rest
+  FROM (SELECT word, unnest(range(1, len(word) + 1)) AS place FROM counts)),
+near AS (
+  SELECT a.word, b.word AS other FROM shorter AS a JOIN shorter AS b
+    ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word AND len(a.word) = len(b.word)
+  UNION SELECT s.word, c.word FROM shorter AS s JOIN counts AS c ON s.rest = c.word
+  UNION SELECT c.word, s.word FROM shorter AS s JOIN counts AS c ON s.rest = c.word),
+ranked AS (
+  SELECT n.word, n.other, c.n AS other_n, count(*) OVER (PARTITION BY n.word) AS n_near,
+    row_number() OVER (PARTITION BY n.word ORDER BY c.n DESC, n.other) AS place
+  FROM near AS n JOIN counts AS c ON c.word = n.other),
+forms AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+    CASE WHEN r.other_n >= 5 * w.n THEN r.other END AS form, CASE WHEN r.other_n >= 5 * w.n THEN r.other_n END AS form_n
+  FROM counts AS w LEFT JOIN ranked AS r ON r.word = w.word AND r.place = 1),
+followed AS (
+  SELECT word, word AS root, 0 AS step FROM forms
+  UNION ALL
+  SELECT f.word, g.form, step + 1 FROM followed AS f JOIN forms AS g ON g.word = f.root WHERE g.form IS NOT NULL),
+roots AS (SELECT word, max_by(root, step) AS root FROM followed GROUP BY word)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms AS f JOIN roots AS r ON r.word = f.word"""
