@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vaultline.llm import toxicity
 from vaultline.llm.common import WORD, text_of
+from vaultline.llm.curve_packing import curve_packing
 from vaultline.llm.exact_dedup import exact_dedup
 from vaultline.llm.mixing import fair_mix
 from vaultline.llm.packing import packed_documents
@@ -293,3 +294,9 @@ followed AS (
   SELECT f.word, g.form, step + 1 FROM followed AS f JOIN forms AS g ON g.word = f.root WHERE g.form IS NOT NULL),
 roots AS (SELECT word, max_by(root, step) AS root FROM followed GROUP BY word)
 SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms AS f JOIN roots AS r ON r.word = f.word"""
+
+
+@query
+def op11_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 2048 tokens along a Hilbert curve."""
+    return curve_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
