@@ -6,6 +6,7 @@ import bisect
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -26,14 +27,19 @@ BATCH_WORDS = 4096
 # Letters with marks of ASCII behind.
 MARKED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
+# The normaliser and the pattern of words that words may be encoded apart with.
+NORMALIZER = r'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"), content=" "), Lowercase()])'
+PATTERN = r"""Split(pattern=Regex("'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), behavior=Removed, invert=True)"""
+WORDS_APART = f"Sequence(pretokenizers=[{PATTERN}, ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])"
+
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 class Encoder:
     """Token ids of texts, as bytes, for tokenizers that treat words apart.
 
-    White space of ASCII separates words; the tokenizer must drop it and merge nothing across it.
-    Upper-case A-Z are folded before words are looked up, as the tokenizer folds them anyway; only a text
+    White space of ASCII separates words; a tokenizer that is known to drop it and to merge nothing across it encodes each
+    word once, any other gets whole texts. Upper-case A-Z are folded before words are looked up, as the tokenizer folds them anyway; only a text
     that may spell a special token stays as it is.
     """
 
@@ -42,8 +48,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        probe = [self._ids([text])[0] for text in ("Ab, c", "ab,", "c")]
-        self.by_word = probe[0] == probe[1] + probe[2]
+        self.by_word = (repr(self.tokenizer.normalizer), repr(self.tokenizer.pre_tokenizer)) == (NORMALIZER, WORDS_APART)
         self.known: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -65,7 +70,7 @@ class Encoder:
         ends: dict[bytes, tuple[bytes, bytes]] = {}
         for word in new:
             found = MARKED.fullmatch(word.decode("utf-8"))
-            if found and found[1].isalpha():
+            if found and only_letters(found[1]):
                 ends[word] = (found[1].encode("utf-8"), found[2].encode("utf-8"))
         parts = {part for pair in ends.values() for part in pair if part not in known}
         plain = list((new - ends.keys()) | parts)
@@ -78,6 +83,13 @@ class Encoder:
         return encoded
 
 
+def only_letters(stem: str) -> bool:
+    """Whether a stem is letters alone once it is normalised; a mark of its own would join the marks behind it."""
+    if stem.isascii():
+        return stem.isalpha()
+    return all(unicodedata.category(c)[0] == "L" for c in unicodedata.normalize("NFC", stem).lower())
+
+
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
     """(piece, start, length, crc32 of the ids' bytes); all pieces but the last are full."""
     width = 4 * capacity
