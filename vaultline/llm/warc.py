@@ -18,7 +18,7 @@ from vaultline.session import qualified, scratch_dir
 DICTIONARY_MAGIC = (0x184D2A5D).to_bytes(4, "little")
 # Payloads below this size are never revisits.
 SMALL = 100
-# The dictionary is built from the first records by digest, at most so many and so many bytes of each.
+# The dictionary is built from the first responses by digest, at most so many and so many bytes of each.
 SAMPLES = 512
 SAMPLE_BYTES = 8 << 10
 DICTIONARY_BYTES = 32 << 10
@@ -131,6 +131,22 @@ def judged_pages(pages: DataFrame, small: int = SMALL) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", refers.alias("refers_to"))
 
 
+def sampled_pages(keyed: DataFrame, known: DataFrame, samples: int = SAMPLES) -> DataFrame:
+    """The start of at most ``samples`` responses of ``keyed`` (page_id, url, html, digest), one of each payload, the first by digest.
+
+    The pages are chosen by their ids and digests in ``known``: a filter on the digest leaves about four times as many as
+    needed, so no task gets many from each of the others. Only of those is the html read, and cut before anything is collected.
+    """
+    chosen = known.filter("refers_to is null").groupBy("payload_digest").agg(F.min("id").alias("id"))
+    share = min(1.0, 4 * samples / max(1, known.count()))
+    below = F.conv(F.substring("payload_digest", 1, 8), 16, 10).cast("bigint") <= int(share * 0xFFFFFFFF)
+    chosen = materialise(chosen.filter(below).orderBy("payload_digest").limit(samples), "sampled")
+    same = (keyed["digest"] == chosen["payload_digest"]) & keyed["page_id"].eqNullSafe(chosen["id"])
+    pages = keyed.join(F.broadcast(chosen), same).select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html"), "digest")
+    # Repeated rows have one id and digest.
+    return materialise(pages, "samples").dropDuplicates(["digest"]).orderBy("digest")
+
+
 def write_archives(pages: DataFrame, folder: str, small: int = SMALL, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write a record per row of ``pages`` (page_id, url, html); returns (path, records) of the archives.
 
@@ -150,8 +166,7 @@ def write_archives(pages: DataFrame, folder: str, small: int = SMALL, archive_by
     )
     # In a fixed order, a task that runs again writes the same archives.
     records = records.sortWithinPartitions("page_id", "payload_digest", "url")
-    sample = keyed.orderBy("digest", "page_id").limit(SAMPLES)
-    sample = sample.select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html"), "digest").collect()
+    sample = sampled_pages(keyed, known).collect()
     dictionary = build_dictionary(
         [record(r["page_id"], r["url"], r["html"].encode(), r["digest"], len(r["html"]), None) for r in sample]
     )
