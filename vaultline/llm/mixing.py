@@ -111,17 +111,15 @@ def mixed_documents(docs: DataFrame, id_column: str = "doc_id", **options: objec
     taken = materialise(taken.filter("_copies > 0"), "taken")
     columns = [docs[f"`{c}`"] for c in docs.columns]
 
-    def of(keys: DataFrame, copies: Column) -> DataFrame:
-        found = docs.join(keys, docs[id_column].eqNullSafe(keys["_id"]))
-        found = found.select(F.struct(*columns).alias("_row"), copies.alias("_times"))
-        return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select("_row.*")
+    def of(keys: DataFrame, times: Column) -> DataFrame:
+        """The documents of the keys, each so many times. Columns of both sides are told apart by their frame."""
+        found = docs.join(keys, docs[id_column].eqNullSafe(keys["_id"])).select(F.struct(*columns).alias("_row"), times.alias("_times"))
+        return found.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))).select("_row.*")
 
     repeated = taken.filter("_rows > 1")
     if repeated.isEmpty():
-        return of(taken, F.col("_copies"))
+        return of(taken, taken["_copies"])
+    single = taken.filter("_rows = 1")
     place = F.row_number().over(Window.partitionBy(docs[id_column]).orderBy(F.struct(*columns)))
-    share = F.floor(F.col("_copies") / F.col("_rows")) + (place <= F.col("_copies") % F.col("_rows")).cast("int")
-    rest = docs.join(repeated, docs[id_column].eqNullSafe(repeated["_id"]))
-    rest = rest.select(F.struct(*columns).alias("_row"), share.alias("_times")).filter("_times > 0")
-    rest = rest.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select("_row.*")
-    return of(taken.filter("_rows = 1"), F.col("_copies")).union(rest)
+    share = F.floor(repeated["_copies"] / repeated["_rows"]) + (place <= repeated["_copies"] % repeated["_rows"]).cast("int")
+    return of(single, single["_copies"]).union(of(repeated, share))
