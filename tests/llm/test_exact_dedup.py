@@ -68,3 +68,41 @@ def test_many_copies(spark, docs):
     found = exact_dedup(rows)
     assert found.filter("kept").count() == 2001
     assert found.filter("group_size = 1000").count() == 1000
+
+
+def test_a_batch_that_runs_again_keeps_the_same(spark, docs):
+    index = DigestIndex(spark, buckets=4)
+    index.add(docs((1, "a"), (2, "b")), batch="day-1")
+    later = docs((5, "b"), (6, "c"), (7, "c"), (8, None))
+    first = verdicts(index.add(later, batch="day-2"))
+    assert first == [(5, 2, 2, False), (6, 7, 2, False), (7, 7, 2, True), (8, 8, 1, True)]
+    assert verdicts(index.add(later, batch="day-2")) == first
+    assert index.rows().count() == index.rows().select("digest").distinct().count() == 4
+    assert verdicts(index.add(docs((9, "c"), (10, "")), batch="day-3")) == [(9, 7, 3, False), (10, 8, 2, False)]
+    index.drop()
+
+
+def test_two_batches_equal_one(spark, docs):
+    rows = [(i, f"t{i % 7}" if i % 3 else None) for i in range(60)] + [(None, "t1"), (None, "n"), (59, "t4"), (59, "t4")]
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(text or "", []).append(i)
+    tables = spark.catalog.listTables()
+    expected = []
+    for own in groups.values():
+        best = max((i for i in own if i is not None), default=None)
+        first = True
+        for i in own:
+            expected.append((i, best, len(own), i == best and first))
+            first = first and i != best
+    assert sorted(map(str, verdicts_of(exact_dedup(docs(*rows))))) == sorted(map(str, expected))
+    assert len(spark.catalog.listTables()) == len(tables)
+
+
+def test_text_ids_and_long_texts(spark):
+    rows = spark.createDataFrame([("a", "x " * 500_000), ("b", "x " * 500_000), (None, "x")], "doc_id string, text string")
+    assert sorted(map(str, verdicts_of(exact_dedup(rows)))) == ["('a', 'b', 2, False)", "('b', 'b', 2, True)", "(None, None, 1, True)"]
+
+
+def verdicts_of(frame):
+    return [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in frame.collect()]

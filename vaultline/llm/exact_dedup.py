@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from vaultline.llm.common import materialise, text_of
-from vaultline.session import scratch_dir
+from vaultline.session import exists, scratch_dir
 
 
 class DigestIndex:
@@ -18,7 +20,8 @@ class DigestIndex:
     not shuffled for it, and the digests that are new are appended. Texts are never shuffled.
 
     A new index goes to the shared folder. With ``name`` and ``location`` it can be kept
-    and opened again; the number of buckets belongs to the table and must stay.
+    and opened again; the number of buckets belongs to the table and must stay. Each batch is a
+    partition named by its id, so a batch that is added again replaces what it has brought.
     """
 
     def __init__(
@@ -34,14 +37,22 @@ class DigestIndex:
         self.location = location or scratch_dir(spark, "digest-index")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type}, copies BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.location}'"
+            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type}, copies BIGINT, batch STRING) USING parquet "
+            f"PARTITIONED BY (batch) CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.location}'"
         )
+        if location and exists(spark, location):
+            spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def add(self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    def drop(self) -> None:
+        """Take the table out of the catalogue; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def add(
+        self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batch: str | None = None
+    ) -> DataFrame:
         """Judge a batch and add its new texts to the index.
 
         One row per row of the batch: ``doc_id``, ``keep_id`` (the document of this text that
@@ -53,13 +64,20 @@ class DigestIndex:
         document, and nothing of the later batch stays. A null text counts as empty. Rows without
         an id take part, and one stays only if no row of that text has an id. Of whole
         rows that repeat, one stays. An empty batch gives no rows.
+
+        ``batch`` names the batch. A load that died after the digests were added may add the same rows under the same
+        name: they are judged without what they brought themselves, so the same rows stay. Without a name
+        each call is a batch of its own.
         """
+        batch = batch or uuid.uuid4().hex
+        if not re.fullmatch(r"[\w.-]+", batch):
+            raise ValueError(f"a batch is named by letters, digits, dots and dashes, not {batch!r}")
         rows = docs.select(F.col(id_column).alias("doc_id"), F.unhex(F.sha2(text_of(text_column), 256)).alias("digest"))
         rows = materialise(rows.groupBy("digest", "doc_id").agg(F.count("*").alias("repeats")), "digests")
-        batch = rows.groupBy("digest").agg(F.max("doc_id").alias("batch_id"), F.sum("repeats").alias("size"))
+        groups = rows.groupBy("digest").agg(F.max("doc_id").alias("batch_id"), F.sum("repeats").alias("size"))
         # Partitioned as the index is, so that the index stays in place.
-        keyed = materialise(batch, "batch").repartition(self.buckets, "digest")
-        index = self.rows().select("digest", "keep_id", "copies")
+        keyed = materialise(groups, "batch").repartition(self.buckets, "digest")
+        index = self.rows().filter(F.col("batch") != batch).select("digest", "keep_id", "copies")
         new = keyed.join(index.hint("merge"), "digest", "left_anti").select(
             "digest", F.col("batch_id").alias("keep_id"), F.col("size").alias("group_size"), F.lit(True).alias("new")
         )
@@ -67,16 +85,10 @@ class DigestIndex:
             "digest", "keep_id", (F.col("size") + F.col("copies")).alias("group_size"), F.lit(False).alias("new")
         )
         groups = materialise(new.unionByName(seen), "groups")
-        (
-            groups.filter("new")
-            .select("digest", "keep_id", F.col("group_size").alias("copies"))
-            .repartition(self.buckets, "digest")
-            .write.format("parquet")
-            .bucketBy(self.buckets, "digest")
-            .sortBy("digest")
-            .mode("append")
-            .option("path", self.location)
-            .saveAsTable(self.name)
+        added = groups.filter("new").select("digest", "keep_id", F.col("group_size").alias("copies"))
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.name} PARTITION (batch = '{batch}') SELECT digest, keep_id, copies FROM {{added}}",
+            added=added.repartition(self.buckets, "digest"),
         )
         # Both sides are plain tables here, so Spark splits a digest that a third of all rows have.
         judged = rows.join(groups, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "repeats")))
@@ -85,9 +97,30 @@ class DigestIndex:
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The verdicts of :meth:`DigestIndex.add` for a corpus that is its own only batch."""
-    id_type = docs.select(id_column).schema[0].dataType.simpleString()
-    return DigestIndex(docs.sparkSession, id_type=id_type).add(docs, id_column, text_column)
+    """The verdicts of :meth:`DigestIndex.add` for a whole corpus, whose largest id of each text stays.
+
+    If ids are numbers, the rows come in two batches, first the upper half of the ids: a text of the
+    first keeps its document, which has the larger id. Rows without an id come last. Here ``group_size`` counts all rows of the text.
+    """
+    kind = docs.select(id_column).schema[0].dataType
+    index = DigestIndex(docs.sparkSession, id_type=kind.simpleString())
+    own = docs[id_column]
+    middle = docs.agg(F.percentile_approx(own, 0.5)).first()[0] if isinstance(kind, NumericType) else None
+    if middle is None:
+        batches = [docs]
+    else:
+        upper = F.coalesce(own > middle, F.lit(False))
+        batches = [docs.filter(upper), docs.filter(~upper)]
+    judged = [index.add(batch, id_column, text_column) for batch in batches]
+    index.drop()
+    if len(judged) == 1:
+        return judged[0]
+    found = judged[0].unionByName(judged[1])
+    # The later batch's groups count the copies of the earlier one, too, so the largest count of a text is of all its rows.
+    sizes = judged[1].filter(~F.col("kept")).select("digest", "group_size").distinct().withColumnRenamed("group_size", "_all")
+    sizes = materialise(sizes, "sizes")
+    found = found.join(sizes, "digest", "left").withColumn("group_size", F.greatest("group_size", "_all"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "digest", "repeats")
 
 
 def kept_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
