@@ -23,7 +23,7 @@ def test_stages_work_on_what_the_one_before_kept(spark):
             assert docs.columns == columns
             assert docs.select("doc_id").exceptAll(before.select("doc_id")).count() == 0 or name == "source_mixing"
     assert exact_dedup(seen["exact_dedup"]).filter("group_size > 1").count() == 0
-    left = simhash_dedup(seen["simhash_dedup"], width=5)
+    left = simhash_dedup(seen["simhash_dedup"], width=3)
     assert left.filter("doc_id <> component_id").count() == 0
     copies = Counter(r["doc_id"] for r in seen["source_mixing"].select("doc_id").collect())
     assert max(copies.values()) <= 3

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vaultline.llm.simhash import TABLES, _spread, candidate_pairs, fingerprint, fingerprint_links, kept_documents, most_differing, similar_pairs, simhash_dedup
+from vaultline.llm.simhash import fingerprint, fingerprint_links, kept_documents, simhash_dedup
 
 
 def slow_fingerprint(text, width):
@@ -37,14 +37,14 @@ def test_fingerprint_equals_the_definition(width):
     words = "the cat Sat ON mat é É \x0b x".split(" ")
     for seed in range(30):
         text = " ".join(random.Random(seed).choices(words, k=seed * 3))
-        assert fingerprint(text, width)[0] % (1 << 64) == slow_fingerprint(text, width)
-    assert fingerprint(None) == fingerprint("") == fingerprint(" \n") == [0]
+        assert fingerprint(text, width) % (1 << 64) == slow_fingerprint(text, width)
+    assert fingerprint(None) == fingerprint("") == fingerprint(" \n") == 0
 
 
 def test_fingerprint_of_spark_hashes(spark):
     """A shingle's hash is the one Spark's own function gives."""
     value = spark.range(1).select(F.xxhash64(F.lit("a b c"))).first()[0]
-    assert fingerprint("A b C")[0] == value
+    assert fingerprint("A b C") == value
 
 
 def test_long_texts_are_counted_in_chunks(monkeypatch):
@@ -91,140 +91,3 @@ def test_kept_documents(docs):
     assert kept.columns == rows.columns
     assert {r["doc_id"] for r in kept.collect()} == {1, 3, None}
     assert kept_documents(rows.limit(0)).count() == 0
-
-
-def jaccard(a, b, width=5):
-    sets = []
-    for text in (a, b):
-        words = text.split()
-        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))})
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def test_similar_documents_are_found_and_others_stay(docs):
-    rng = random.Random(11)
-    texts = {}
-    for i in range(150):
-        words = [f"{i}w{rng.randrange(10**6)}" for _ in range(rng.randrange(80, 400))]
-        texts[i] = " ".join(words)
-        for k in range(rng.choice([0, 0, 1, 2, 3])):
-            near = list(words)
-            for _ in range(rng.randrange(1, max(2, len(words) // 45))):
-                near[rng.randrange(len(near))] = f"edit{rng.random()}"
-            texts[1000 * (k + 1) + i] = " ".join(near)
-    found = simhash_dedup(docs(*texts.items()), width=5, similarity=0.8)
-    component = {r["doc_id"]: r["component_id"] for r in found.collect()}
-    assert all(component[i] % 1000 == i % 1000 for i in texts)  # nothing else is linked
-    similar = [i for i in texts if i >= 1000 and jaccard(texts[i], texts[i % 1000]) >= 0.8]
-    assert sum(component[i] == i % 1000 for i in similar) >= 0.85 * len(similar) > 30
-
-
-def test_tables_have_counts_of_their_own():
-    counts = {tuple((_spread(t) >> 2 * i) & 3 for i in range(4)) for t in range(8)}
-    assert len(counts) == 8
-
-
-def test_most_differing():
-    assert most_differing(1.0, 64) == 0
-    assert 0.15 < most_differing(0.8, 384) / 384 < 0.18
-
-
-def test_links_of_few_bits_equal_brute_force(spark):
-    rng = random.Random(2)
-    values = sorted({rng.getrandbits(12) << 52 for _ in range(200)})
-    signed = [int(np.uint64(v).astype(np.int64)) for v in values]
-    points = spark.createDataFrame(list(enumerate(signed)), "id bigint, fingerprint bigint")
-    links = {(r["a"], r["b"]) for r in fingerprint_links(points, 12).collect()}
-    near = {(i, j) for i, a in enumerate(values) for j, b in enumerate(values) if i < j and (a ^ b).bit_count() <= 2}
-    assert links <= near
-    ids = list(range(len(values)))
-    assert components(ids, lambda a, b: (min(a, b), max(a, b)) in links) == components(
-        ids, lambda a, b: (min(a, b), max(a, b)) in near
-    )
-
-
-def test_candidates_are_all_pairs_of_different_roots(spark):
-    rng = random.Random(3)
-    values = [rng.getrandbits(10) << 54 for _ in range(150)]  # many are equal
-    signed = [int(np.uint64(v).astype(np.int64)) for v in values]
-    roots = [i - i % 3 if rng.random() < 0.5 else i for i in range(150)]
-    members = spark.createDataFrame(list(zip(signed, roots, range(150), strict=True)), "fingerprint bigint, root bigint, id bigint")
-    got = [(r["a"], r["b"]) for r in candidate_pairs(members, 10).collect()]
-    assert len(got) == len(set(got))
-    assert set(got) == {
-        (i, j) for i in range(150) for j in range(i + 1, 150) if roots[i] != roots[j] and (values[i] ^ values[j]).bit_count() <= 2
-    }
-
-
-def test_pairs_inside_a_loose_family(docs):
-    """Each pair has a similarity of 0.95, all others of the family about 0.6; ids are dealt so that heads are of other pairs."""
-    rng = random.Random(7)
-    shared = [f"s{i}" for i in range(300)]
-    texts = {}
-    for pair in range(400):
-        words = shared + [f"{pair}u{rng.random()}" for _ in range(100)]
-        texts[pair] = " ".join(words)
-        texts[1000 - pair] = " ".join([*words[:-10], *(f"e{rng.random()}" for _ in range(10))])
-    assert all(0.94 < jaccard(texts[p], texts[1000 - p]) < 0.96 for p in range(400))
-    assert 0.55 < jaccard(texts[0], texts[1]) < 0.65
-    found = {r["doc_id"]: r["component_id"] for r in simhash_dedup(docs(*texts.items()), width=5, similarity=0.8).collect()}
-    assert all(found[p] == found[1000 - p] for p in range(400))
-
-
-def test_keys_find_pairs_of_similarity_080_at_every_size():
-    """The chance that a pair at 0.8 shares a key but for two bits; it does not depend on the number of documents."""
-    rng = random.Random(13)
-    found = 0
-    for i in range(200):
-        words = [f"{i}w{rng.randrange(10**9)}" for _ in range(304)]
-        near = [*words[:-33], *(f"e{rng.random()}" for _ in range(33))]
-        a, b = " ".join(words), " ".join(near)
-        assert 0.8 <= jaccard(a, b) < 0.81
-        halves = [(x ^ y) >> shift & 0xFFFFFFFF for x, y in zip(fingerprint(a, 5, TABLES), fingerprint(b, 5, TABLES), strict=True) for shift in (0, 32)]
-        found += min(half.bit_count() for half in halves) <= 2
-    assert found >= 190
-
-
-def test_recall_of_pairs_at_080(docs):
-    """Above the threshold by a little, among others; the keys are as narrow as in a large table."""
-    rng = random.Random(17)
-    texts = {}
-    for i in range(300):
-        words = [f"{i}w{rng.randrange(10**9)}" for _ in range(304)]
-        texts[i] = " ".join(words)
-        texts[1000 + i] = " ".join([*words[:-28], *(f"e{rng.random()}" for _ in range(28))])
-    assert all(0.82 < jaccard(texts[i], texts[1000 + i]) < 0.84 for i in range(300))
-    found = {r["doc_id"]: r["component_id"] for r in simhash_dedup(docs(*texts.items()), width=5, similarity=0.8).collect()}
-    assert sum(found[1000 + i] == i for i in range(300)) >= 285
-
-
-def test_components_equal_brute_force_of_exact_similarity(docs):
-    """Pairs above and below the threshold, lines repeated very often, short texts and copies."""
-    rng = random.Random(23)
-    line = " ".join(f"l{i}" for i in range(9))
-    texts = {1: " ".join([line] * 400 + [f"a{i}" for i in range(60)]), 2: " ".join([line] * 400 + [f"b{i}" for i in range(60)])}
-    clean = [f"c{i}" for i in range(200)]
-    texts[3] = " ".join([line, *clean])
-    texts[4] = " ".join([line] * 500 + clean)  # nearly the same set, other counts
-    texts |= {5: line, 6: " ".join([line] * 300), 7: "one two", 8: "one two", 9: None, 10: " "}
-    for i in range(60):
-        words = [f"{i}w{rng.randrange(10**9)}" for _ in range(rng.randrange(60, 300))]
-        texts[100 + i] = " ".join(words)
-        for k in (1, 2):
-            edited = round(len(words) * rng.uniform(0.0, 0.35))
-            texts[100 + 1000 * k + i] = " ".join([*words[: len(words) - edited], *(f"e{rng.random()}" for _ in range(edited))])
-    ids = sorted(texts)
-    near = {(a, b) for a in ids for b in ids if a < b and (a >= 100) == (b >= 100) and (a < 100 or (a - b) % 1000 == 0)}
-    near = {(a, b) for a, b in near if jaccard(texts[a] or "", texts[b] or "") >= 0.8}
-    assert not {(1, 2), (5, 6)} & near and {(3, 4), (7, 8), (9, 10)} <= near
-    found = {r["doc_id"]: r["component_id"] for r in simhash_dedup(docs(*texts.items()), width=5, similarity=0.8).collect()}
-    truth = components(ids, lambda a, b: (min(a, b), max(a, b)) in near)
-    assert not {i for i in ids if found[i] < truth[i]}  # nothing is linked that is not similar
-    assert sum(found[i] == truth[i] for i in ids) >= len(ids) - 2
-
-
-def test_similar_pairs_are_exact_at_the_threshold(docs):
-    texts = {1: " ".join("abcdefghi"), 2: " ".join("abcdefghx"), 3: " ".join("abcdefgh")}  # 5, 5 and 4 shingles
-    pairs = docs(*texts.items()).sparkSession.createDataFrame([(1, 2), (1, 3), (2, 3)], "a bigint, b bigint")
-    found = similar_pairs(pairs, docs(*texts.items()), 5, 0.8)
-    assert sorted(tuple(r) for r in found.collect()) == [(1, 3), (2, 3)]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import math
 import sys
 import types
@@ -28,12 +27,6 @@ def materialise(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of frames that nobody holds any more; else they stay until the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def per_worker(key: str, make: Callable[[], Any]) -> Any:
     """A value that the tasks of one Python worker share, such as a loaded tokenizer and what it remembers.
 

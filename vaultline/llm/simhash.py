@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,23 +10,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import free_shuffles, materialise, none_per_worker
+from vaultline.llm.common import materialise, none_per_worker
 from vaultline.llm.components import connected_components
 
 SEED = 42
-# For similarity: fingerprints of a document, and the bits of each of the two keys a fingerprint is cut into.
-TABLES = 16
-KEY_BITS = 32
-# Keys searched at a time: bounds the disk that the search takes.
-KEYS_PER_PASS = 8
-# Standard deviations that the share of differing bits may exceed the expected one by before shingles are compared.
-SLACK = 6.0
-# Letters of a hexadecimal digest of a set of shingles.
-DIGEST = 32
 # Shingles hashed at a time: bounds the memory a very long text takes.
 CHUNK = 1 << 16
-# Multiplier of the hashes of further tables.
-ODD = np.uint64(0x9E3779B97F4A7C15)
 # Every other bit: the lower bits of the segments of two bits.
 LOWER = 0x5555555555555555
 
@@ -42,113 +28,36 @@ def bit_counts(digests: bytes) -> np.ndarray:
     return partial.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
 
 
-def _tabled(digests: bytes, table: int) -> bytes:
-    """The hashes themselves for table 0, else others made from them."""
-    if not table:
-        return digests
-    values = np.frombuffer(digests, ">u8").astype(np.uint64) * np.uint64(2 * table + 1) * ODD
-    values = (values ^ (values >> np.uint64(29))) * ODD
-    return (values ^ (values >> np.uint64(32))).astype(">u8").tobytes()
-
-
-def fingerprint(text: str | None, width: int = 3, tables: int = 1) -> list[int]:
-    """The SimHashes of a text as signed 64-bit numbers: a bit is set if over half the shingles set it.
+def fingerprint(text: str | None, width: int = 3) -> int:
+    """The SimHash of a text as a signed 64-bit number: a bit is set if over half the shingles set it.
 
     A-Z are lower-cased; words are split at white space of ASCII. Fewer words than
-    ``width`` are one shingle; no words give zero. The first is made of XXH64 with seed 42, the others of
-    hashes derived from it.
+    ``width`` are one shingle; no words give zero. Shingles are hashed by XXH64 with seed 42.
     """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return [0] * tables
+        return 0
     total = max(1, len(words) - width + 1)
-    counts = np.zeros((tables, 64), np.int64)
+    counts = np.zeros(64, np.int64)
     digest = xxhash.xxh64_digest
     for start in range(0, total, CHUNK):
         part = words[start : start + CHUNK + width - 1]
         shingles = zip(*(part[i:] for i in range(width)), strict=False) if len(words) >= width else [part]
-        digests = b"".join([digest(b" ".join(s), SEED) for s in shingles])
-        for table in range(tables):
-            counts[table] += bit_counts(_tabled(digests, table))
-    return [int.from_bytes(np.packbits(2 * row > total).tobytes(), "big", signed=True) for row in counts]
-
-
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """The distinct shingles of a text, split as in :func:`fingerprint`, as sorted 64-bit hashes; empty if it has no words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    parts = []
-    digest = xxhash.xxh64_digest
-    for start in range(0, max(1, len(words) - width + 1), CHUNK):
-        part = words[start : start + CHUNK + width - 1]
-        shingles = zip(*(part[i:] for i in range(width)), strict=False) if len(words) >= width else [part]
-        digests = b"".join([digest(b" ".join(s), SEED) for s in shingles])
-        parts.append(np.unique(np.frombuffer(digests, ">u8").astype(np.uint64)))
-    return np.unique(np.concatenate(parts))
+        counts += bit_counts(b"".join([digest(b" ".join(s), SEED) for s in shingles]))
+    return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big", signed=True)
 
 
-def set_fingerprint(hashes: np.ndarray, tables: int) -> list[int]:
-    """As :func:`fingerprint`, of distinct shingles, so that a line that is repeated counts once."""
-    counts = np.zeros((tables, 64), np.int64)
-    for start in range(0, len(hashes), CHUNK):
-        digests = hashes[start : start + CHUNK].astype(">u8").tobytes()
-        for table in range(tables):
-            counts[table] += bit_counts(_tabled(digests, table))
-    return [int.from_bytes(np.packbits(2 * row > len(hashes)).tobytes(), "big", signed=True) for row in counts]
-
-
-def fingerprints(
-    docs: DataFrame,
-    width: int = 3,
-    tables: int = 1,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    distinct: bool = False,
-) -> DataFrame:
-    """(doc_id, fingerprint_0, ...) of every row, over whole texts, without a shuffle.
-
-    With ``distinct``, fingerprints of distinct shingles, and before them ``digest`` and ``size`` of the set of shingles.
-    """
-    names = [f"fingerprint_{table}" for table in range(tables)]
-    extra = ["digest", "size"] if distinct else []
+def fingerprints(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, fingerprint) of every row, over whole texts, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none_per_worker()
         for batch in batches:
-            columns, rows = [batch.column(0)], []
-            if distinct:
-                keys: list[tuple[str, int]] = []
-                for text in batch.column(1):
-                    hashes = shingle_set(text.as_py(), width)
-                    keys.append((hashlib.sha256(hashes.tobytes()).hexdigest()[:DIGEST], len(hashes)))
-                    rows.append(set_fingerprint(hashes, tables))
-                columns += [pa.array([d for d, _ in keys], pa.string()), pa.array([n for _, n in keys], pa.int64())]
-            else:
-                rows = [fingerprint(text.as_py(), width, tables) for text in batch.column(1)]
-            columns += [pa.array([row[table] for row in rows], pa.int64()) for table in range(tables)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *extra, *names])
+            prints = pa.array([fingerprint(text.as_py(), width) for text in batch.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "fingerprint"])
 
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    kinds = ["digest string", "size bigint"] if distinct else []
-    return rows.mapInArrow(run, ", ".join([f"doc_id {id_type}", *kinds, *(f"{name} bigint" for name in names)]))
-
-
-def shingle_sets(docs: DataFrame, width: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, shingles) of every row: the distinct shingles as an array of hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none_per_worker()
-        for batch in batches:
-            for at, text in enumerate(batch.column(1)):  # a row each: sets of long texts are large
-                hashes = shingle_set(text.as_py(), width).view(np.int64)
-                offsets = pa.array([0, len(hashes)], pa.int32())
-                sets = pa.ListArray.from_arrays(offsets, pa.array(hashes))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), sets], ["id", "shingles"])
-
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, "id bigint, shingles array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fingerprint bigint")
 
 
 def segment_counts(fp: Column) -> Column:
@@ -157,17 +66,16 @@ def segment_counts(fp: Column) -> Column:
     return low.bitwiseXOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
 
 
-def _around(fp: Column, bits: int) -> Column:
-    """The fingerprint and those that differ from it in one of its upper ``bits``."""
-    flips = [fp.bitwiseXOR(F.shiftleft(F.lit(1).cast("bigint"), b)) for b in range(64 - bits, 64)]
+def _around(fp: Column) -> Column:
+    """The fingerprint and those that differ from it in one bit."""
+    flips = [fp.bitwiseXOR(F.shiftleft(F.lit(1).cast("bigint"), b)) for b in range(64)]
     return F.array(fp, *flips)
 
 
-def fingerprint_links(points: DataFrame, bits: int = 64) -> DataFrame:
+def fingerprint_links(points: DataFrame) -> DataFrame:
     """Links (a, b) of ids, enough to connect all fingerprints that differ in at most two bits.
 
-    ``points`` has a ``fingerprint`` per row, each once, and its ``id``. Two only link if they differ in none
-    but the upper ``bits``.
+    ``points`` has a ``fingerprint`` per row, each once, and its ``id``.
 
     Bit counts of segments are the embedding: the Manhattan distance of two points is at most the
     number of differing bits. Two points within two steps both lie within one step of some
@@ -181,178 +89,39 @@ def fingerprint_links(points: DataFrame, bits: int = 64) -> DataFrame:
     fp = F.col("fingerprint")
     # A point becomes up to 49 rows, so the points are dealt over all tasks first.
     tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = points.repartition(tasks, "fingerprint").select("fingerprint", F.explode(F.array_distinct(F.transform(_around(fp, bits), segment_counts))).alias("cell"))
+    cells = points.repartition(tasks, "fingerprint").select("fingerprint", F.explode(F.array_distinct(F.transform(_around(fp), segment_counts))).alias("cell"))
     crowded = cells.groupBy("cell").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
     crowded = materialise(crowded.filter("low < high").select("cell"), "crowded")
     entered = materialise(cells.join(crowded, "cell"), "entered")
-    reached = entered.join(points, "fingerprint").select("id", "cell", F.explode(_around(fp, bits)).alias("value"))
+    reached = entered.join(points, "fingerprint").select("id", "cell", F.explode(_around(fp)).alias("value"))
     reached = reached.filter(segment_counts(F.col("value")) == F.col("cell")).select("id", "value")
     met = reached.groupBy("value").agg(F.collect_set("id").alias("ids")).filter(F.size("ids") > 1)
     return met.select(F.array_min("ids").alias("a"), F.explode("ids").alias("b")).filter("a < b").distinct()
 
 
-def most_differing(similarity: float, bits: int, slack: float = 1.0) -> int:
-    """How many of so many bits may differ in documents of this Jaccard similarity of shingles.
-
-    The share of differing bits is the angle between the vectors of shingles over pi; ``slack`` standard
-    deviations of that share are allowed for.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(bits * share + slack * math.sqrt(bits * share * (1 - share)))
-
-
-def _spread(table: int) -> int:
-    """The number of a table with its bits in segments of their own, so that no two have the same counts."""
-    return sum((table >> i & 1) << 2 * i for i in range(table.bit_length()))
-
-
-def _keys(fp: Column) -> list[Column]:
-    """The upper and the lower half of a fingerprint, each in the upper bits of a number."""
-    upper = F.lit(-(1 << (64 - KEY_BITS)))
-    return [fp.bitwiseAND(upper), F.shiftleft(fp, 64 - KEY_BITS)]
-
-
-def _close(pairs: DataFrame, classes: DataFrame, names: list[str], similarity: float) -> DataFrame:
-    """The pairs (a, b) that may reach the similarity by their sizes and by the bits of all fingerprints, with six standard deviations to spare."""
-    for end in ("a", "b"):
-        prints = classes.select(F.col("id").alias(end), *(F.col(name).alias(f"{end}_{name}") for name in ["size", *names]))
-        pairs = pairs.join(prints, end)
-    differing = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names), F.lit(0))
-    sizes = F.least("a_size", "b_size") >= similarity * F.greatest("a_size", "b_size")
-    return pairs.filter(sizes & (differing <= most_differing(similarity, 64 * len(names), SLACK))).select("a", "b").distinct()
-
-
-def similar_pairs(
-    pairs: DataFrame, docs: DataFrame, width: int, similarity: float, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """The pairs (a, b) of ids whose sets of distinct shingles have at least this Jaccard similarity.
-
-    The sets are counted in full, shingles told apart by XXH64. Of rows that share an id any may be the one that is similar.
-    """
-    own = pairs.select(F.explode(F.array("a", "b")).alias(id_column)).distinct()
-    ids = docs[id_column].cast("bigint")
-    texts = docs.select(ids.alias(id_column), text_column).join(own, id_column, "left_semi")
-    sets = materialise(shingle_sets(texts, width, id_column, text_column), "shingles")
-    for end in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("shingles").alias(f"{end}_shingles")), end)
-    common = F.size(F.array_intersect("a_shingles", "b_shingles"))
-    either = F.size("a_shingles") + F.size("b_shingles") - common
-    return pairs.select("a", "b", common.alias("common"), either.alias("either")).filter(F.col("common") >= similarity * F.col("either")).select("a", "b").distinct()
-
-
-def near_points(points: DataFrame, bits: int) -> DataFrame:
-    """All pairs (p, q), p < q, of ``fingerprint`` values that differ in one or two of their upper ``bits`` and nowhere else.
-
-    Both reach a common value by at most one flip each. Most values are reached by one point or two, whose
-    least and greatest are the pair; only for the others are the points around the value looked up.
-    """
-    fp = F.col("fingerprint")
-    reached = points.select("fingerprint", F.explode(_around(fp, bits)).alias("value"))
-    met = reached.groupBy("value").agg(F.count("*").alias("n"), F.min(fp).alias("p"), F.max(fp).alias("q"))
-    met = materialise(met.filter("n > 1"), "met")
-    crowd = met.filter("n > 2").select("value", F.explode(_around(F.col("value"), bits)).alias("fingerprint"))
-    crowd = crowd.join(points, "fingerprint").groupBy("value").agg(F.collect_set("fingerprint").alias("all"))
-    crowd = crowd.select(F.explode("all").alias("p"), "all").select("p", F.explode("all").alias("q")).filter("p < q")
-    return met.filter("n = 2").select("p", "q").union(crowd).distinct()
-
-
-def candidate_pairs(members: DataFrame, bits: int) -> DataFrame:
-    """All pairs (a, b), a < b, of ids in different ``root`` whose fingerprints differ in at most two of the upper ``bits``.
-
-    ``members`` has rows (fingerprint, root, id). No id stands for others, except that what is in one root
-    is connected already: a fingerprint with one root forms no pairs, however many ids it has.
-    """
-    points = members.select("fingerprint").distinct()
-    mixed = members.groupBy("fingerprint").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    near = near_points(points, bits).union(mixed.select("fingerprint", "fingerprint"))
-    roots = members.select("fingerprint", "root").distinct()
-    met = near.join(roots.toDF("p", "p_root"), "p").join(roots.toDF("q", "q_root"), "q")
-    met = met.filter("p_root <> q_root and (p < q or p_root < q_root)")
-    met = met.join(members.toDF("p", "p_root", "x"), ["p", "p_root"]).join(members.toDF("q", "q_root", "y"), ["q", "q_root"])
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct()
-
-
-def _similar_links(
-    named: DataFrame, docs: DataFrame, names: list[str], width: int, similarity: float, id_column: str, text_column: str
-) -> DataFrame:
-    """Links (a, b) of ids of ``named`` (id, size and fingerprints of each set of shingles): the verified candidates of all keys."""
-    keys = [key for name in names for key in _keys(F.col(name))]
-    values = [key.bitwiseOR(F.lit(_spread(k))) for k, key in enumerate(keys)]
-    entries = named.select("id", F.explode(F.array(*values)).alias("fingerprint"))
-    heads = entries.groupBy("fingerprint").agg(F.min("id").alias("head"))
-    stars = entries.join(heads, "fingerprint").filter("head <> id").select(F.col("head").alias("a"), F.col("id").alias("b"))
-    stars = materialise(_close(stars.distinct(), named, names, similarity), "stars")
-    stars = materialise(similar_pairs(stars, docs, width, similarity, id_column, text_column), "similar")
-    known = connected_components(stars).withColumnRenamed("node", "id")
-    rooted = named.join(known, "id", "left").select(named["*"], F.coalesce("component", named["id"]).alias("root"))
-    rooted = materialise(rooted, "rooted")
-    free_shuffles(docs.sparkSession)
-    found = []
-    for first in range(0, len(values), KEYS_PER_PASS):
-        part = F.explode(F.array(*values[first : first + KEYS_PER_PASS])).alias("fingerprint")
-        pairs = candidate_pairs(rooted.select(part, "root", "id"), KEY_BITS)
-        found.append(materialise(_close(pairs, named, names, similarity), "pairs"))
-        del pairs
-        free_shuffles(docs.sparkSession)
-    pairs = materialise(functools.reduce(DataFrame.union, found).distinct(), "pairs")
-    return similar_pairs(pairs, docs, width, similarity, id_column, text_column).union(stars)
-
-
-def simhash_dedup(
-    docs: DataFrame,
-    width: int = 3,
-    similarity: float | None = None,
-    tables: int = TABLES,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """(doc_id, fingerprint_0, ..., component_id) of every row; fingerprints link at two or fewer differing bits.
+def simhash_dedup(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row; fingerprints link at two or fewer differing bits.
 
     Fingerprints are signed 64-bit numbers, ``component_id`` the smallest id reachable over
     links, the own one included. Equal fingerprints are one point, so copies cost nothing. Null texts
     count as empty and have fingerprint zero, which links like any other. Rows without an id get the
     component of their fingerprints, null if no row with an id has them. Repeated rows each get a row.
-
-    With ``similarity``, documents that differ more are found, too, by the two halves of several fingerprints: keys of 32 bits, whatever
-    the number of documents. What differs in a key in at most two bits is a candidate; the number of the key stands in the lower
-    bits, so several keys are one pass. First all that agree in a key are held against the smallest id among them; then every pair
-    that is not connected by that. Candidates whose bits differ by far too
-    much are dropped; the others link if the Jaccard similarity of their distinct shingles, counted in full, is at least ``similarity``.
-    Fingerprints are then of distinct shingles, too, and only equal sets of shingles are one point.
+    Other columns are ignored; an empty table gives no rows.
     """
-    tables = 1 if similarity is None else tables
-    names = [f"fingerprint_{table}" for table in range(tables)]
-    prints = fingerprints(docs, width, tables, id_column, text_column, distinct=similarity is not None)
-    prints = materialise(prints, "fingerprints")
-    same = names if similarity is None else ["digest"]
-    first = [F.first(name).alias(name) for name in prints.columns if name not in ("doc_id", *same)]
-    classes = materialise(prints.groupBy(*same).agg(F.min("doc_id").cast("bigint").alias("id"), *first), "classes")
-    named = classes.filter("id is not null")
-    if similarity is None:
-        points = named.select("id", F.col(names[0]).alias("fingerprint"))
-        links = fingerprint_links(points)
-    else:
-        links = _similar_links(named, docs, names, width, similarity, id_column, text_column)
-    found = connected_components(links)
-    groups = classes.join(found, classes["id"] == found["node"], "left")
-    groups = groups.select(*same, F.coalesce("component", "id").alias("component_id"))
-    groups = materialise(groups, "groups")
-    return prints.join(groups, same).select("doc_id", *names, "component_id")
+    prints = materialise(fingerprints(docs, width, id_column, text_column), "fingerprints")
+    points = materialise(prints.groupBy("fingerprint").agg(F.min("doc_id").cast("bigint").alias("id")), "points")
+    found = connected_components(fingerprint_links(points.filter("id is not null")))
+    groups = points.join(found, points["id"] == found["node"], "left")
+    groups = materialise(groups.select("fingerprint", F.coalesce("component", "id").alias("component_id")), "groups")
+    return prints.join(groups, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def kept_documents(
-    docs: DataFrame,
-    width: int = 5,
-    similarity: float = 0.8,
-    tables: int = TABLES,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
+def kept_documents(docs: DataFrame, width: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents that stay, with all their columns: of each component the one with the smallest id.
 
     Rows with that id all stay, and so do rows without an id, which cannot be told apart.
     """
-    found = simhash_dedup(docs, width, similarity, tables, id_column, text_column)
+    found = simhash_dedup(docs, width, id_column, text_column)
     dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
     dropped = materialise(dropped, "dropped")
     return docs.join(dropped, docs[id_column] == dropped["_dropped"], "left_anti")
