@@ -22,8 +22,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints of five-word shingles are linked."""
-    return simhash.kept_documents(docs, width=5)
+    """One document of each group whose SimHashes of three-word shingles are linked within two bits."""
+    return simhash.kept_documents(docs, width=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
