@@ -1,0 +1,189 @@
+"""Loads that overlap: no committed row is lost, no half version is read."""
+
+from __future__ import annotations
+
+import threading
+from datetime import datetime, timedelta
+
+import pytest
+from frames import ts
+from pyspark.sql import functions as F
+
+from vaultline import schemas, session
+from vaultline.plans.warehouse import LOADED, NOTHING_TO_LOAD, Warehouse
+from vaultline.sources.store import Overtaken, Store
+
+DATES = "create_dt timestamp_ntz, update_dt timestamp_ntz"
+FIRST, SECOND = datetime(2021, 3, 1), datetime(2021, 3, 2)
+
+
+def rows(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "v bigint")
+
+
+def values(store):
+    return sorted(r.v for r in store.read_fact("fact", "v bigint").collect())
+
+
+def card_stage(spark, *cards):
+    return spark.createDataFrame([(c, a, ts(at), None) for c, a, at in cards], f"{schemas.CARDS_DDL}, {DATES}")
+
+
+@pytest.mark.parametrize("way", ["link", "rename"])
+def test_a_name_is_taken_once(spark, tmp_path, way):
+    create = {
+        "link": lambda path, text: session._link_once(path, text),
+        "rename": lambda path, text: session._rename_once(spark, path, text),
+    }[way]
+    path = str(tmp_path / "commits" / "1.json")
+    won = []
+
+    def race(i):
+        if create(path, f"text {i}"):
+            won.append(i)
+
+    threads = [threading.Thread(target=race, args=(i,)) for i in range(8 if way == "link" else 1)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert len(won) == 1
+    assert not create(path, "late")
+    assert open(path).read() == f"text {won[0]}"
+    assert [f.name for f in (tmp_path / "commits").iterdir() if not f.name.startswith(".")] == ["1.json"]
+
+
+def test_facts_of_two_loads_that_overlap_are_both_there(spark, tmp_path):
+    one, two = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    early = one.write_loads("fact", rows(spark, 1, 2), "2021-03-01")  # begins before the other commits
+    two.append_fact("fact", rows(spark, 3), load_date=SECOND)
+    assert values(one) == values(two) == [3]
+    one._commit_next("fact", early, FIRST)
+    assert values(one) == values(two) == [1, 2, 3]
+    assert one.latest("fact") == (2, SECOND)  # the watermark does not go back
+
+
+@pytest.mark.parametrize("step", ["written", "version read"])
+def test_a_version_taken_at_any_step_loses_nothing(spark, tmp_path, monkeypatch, step):
+    """The other load commits after this one has written, or between its look at the versions and its commit."""
+    one, two = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    one.append_fact("fact", rows(spark, 0), load_date=datetime(2021, 2, 28))
+    met = []
+    name = {"written": "_commit_next", "version read": "commit"}[step]
+    own = getattr(one, name)
+
+    def meanwhile(*args, **options):
+        if not met:
+            met.append(two.append_fact("fact", rows(spark, 3), load_date=SECOND))
+        return own(*args, **options)
+
+    monkeypatch.setattr(one, name, meanwhile)
+    one.append_fact("fact", rows(spark, 1, 2), load_date=FIRST)
+    assert met and values(two) == [0, 1, 2, 3]
+    assert [r.version for r in two.commits("fact").orderBy("version").collect()] == [1, 2, 3]
+
+
+def test_many_loads_at_once(spark, tmp_path):
+    threads = [
+        threading.Thread(target=Store(spark, str(tmp_path)).append_fact, args=("fact", rows(spark, i)), kwargs={"load_date": FIRST + timedelta(i)})
+        for i in range(6)
+    ]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    store = Store(spark, str(tmp_path))
+    assert values(store) == list(range(6))
+    assert store.latest("fact") == (6, FIRST + timedelta(5))
+
+
+def test_a_day_loaded_by_two_counts_once(spark, tmp_path):
+    one, two = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    early = one.write_loads("fact", rows(spark, 1, 2), "2021-03-01")
+    two.append_fact("fact", rows(spark, 1, 2, 3), load_date=FIRST, file_name="f")
+    one._commit_next("fact", early, FIRST)
+    assert values(two) == [1, 2]  # the later commit
+
+
+def test_a_history_computed_from_an_older_state_is_refused(spark, tmp_path):
+    one, two = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    stage = card_stage(spark, ("c", "a", "2021-03-01"))
+    mine = one.load_history(schemas.CARDS, stage, stage.select("card_num"), as_of=ts("2021-03-02"))
+    other = card_stage(spark, ("d", "b", "2021-03-01"))
+    theirs = two.load_history(schemas.CARDS, other, other.select("card_num"), as_of=ts("2021-03-02"))
+    two.commit_history(schemas.CARDS, theirs, ts("2021-03-01"))
+    with pytest.raises(Overtaken):
+        one.commit_history(schemas.CARDS, mine, ts("2021-03-01"))
+    assert [r.card_num for r in one.history(schemas.CARDS).collect()] == ["d"]
+
+
+def test_a_load_of_a_history_is_done_again_from_the_new_state(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    source = spark.createDataFrame([(c, "a", ts("2021-03-01"), None) for c in ("c", "d")], f"card_num string, account string, {DATES}")
+    house, other = Warehouse(store), Warehouse(Store(spark, str(tmp_path)))
+    own, met = store.commit, []
+
+    def meanwhile(*args, **options):
+        if not met:
+            met.append(other.load_bank_table(schemas.CARDS, source.filter("card_num = 'c'"), as_of=datetime(2021, 3, 2)))
+        return own(*args, **options)
+
+    monkeypatch.setattr(store, "commit", meanwhile)
+    assert house.load_bank_table(schemas.CARDS, source.withColumn("update_dt", F.lit("2021-03-03").cast("timestamp_ntz")), as_of=datetime(2021, 3, 4)).status == LOADED
+    assert sorted((r.card_num, r.deleted_flg) for r in store.history(schemas.CARDS).collect()) == [("c", "N"), ("d", "N")]
+    assert store.latest(schemas.CARDS.table)[0] == 2
+
+
+def test_a_file_is_taken_by_one_of_two_loads(spark, tmp_path, monkeypatch):
+    files = tmp_path / "files"
+    files.mkdir()
+    header = ";".join(schemas.TRANSACTION_FILE_COLUMNS)
+    (files / "transactions_01032021.txt").write_text(f"{header}\n1;2021-03-01 10:00:00;1;c;PAYMENT;SUCCESS;T1\n")
+    store = Store(spark, str(tmp_path / "store"))
+    house, other = Warehouse(store), Warehouse(Store(spark, str(tmp_path / "store")))
+    own, met = store.commit, []
+
+    def meanwhile(*args, **options):
+        if not met:
+            met.append(other.load_transactions(str(files)).status)
+        return own(*args, **options)
+
+    monkeypatch.setattr(store, "commit", meanwhile)
+    assert house.load_transactions(str(files)).status == NOTHING_TO_LOAD
+    assert met == [LOADED]
+    assert store.read_fact(schemas.FACT_TRANSACTIONS, schemas.TRANSACTIONS_DDL).count() == 1
+
+
+def test_vacuum_removes_what_no_commit_names(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.append_fact("fact", rows(spark, 1), load_date=FIRST)
+    dead = store.write_loads("fact", rows(spark, 9), "2021-03-01")
+    assert store.vacuum("fact", datetime.now() - timedelta(hours=1)) == []
+    assert store.vacuum("fact", datetime.now() + timedelta(hours=1)) == [f"attempt={dead.attempt}"]
+    assert values(store) == [1]
+
+
+def files_of(frame):
+    return frame.select(F.input_file_name()).distinct().count()
+
+
+def test_many_loads_and_compaction(spark, tmp_path):
+    """Settled rows of all versions stay; after compaction a version reads few files; older versions can still be read."""
+    store, dim = Store(spark, str(tmp_path)), schemas.CARDS
+    for day in range(1, 8):
+        stage = card_stage(spark, ("c", f"a{day}", f"2021-03-{day:02d}"), ("d", "b", "2021-03-01"))
+        loaded = store.load_history(dim, stage, stage.select("card_num"), as_of=ts(f"2021-03-{day:02d}"))
+        store.commit_history(dim, loaded, ts(f"2021-03-{day:02d}"))
+    before = sorted(map(tuple, store.history(dim).collect()))
+    assert len(before) == 8
+    files = files_of(store.history(dim))
+    assert store.compact_history(dim) == 8
+    assert sorted(map(tuple, store.history(dim).collect())) == before
+    assert files_of(store.history(dim)) <= 4 < files
+    assert sorted(map(tuple, store.history(dim, 7).collect())) == before
+    assert store.history(dim, 5).count() == 6
+    stage = card_stage(spark, ("c", "new", "2021-04-01"))
+    loaded = store.load_history(dim, stage, stage.select("card_num"), as_of=ts("2021-04-01"))
+    store.commit_history(dim, loaded, ts("2021-04-01"))
+    assert store.history(dim).count() == 10  # a new version of c, and d deleted
+    assert files_of(store.history(dim)) <= 8

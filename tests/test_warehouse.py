@@ -12,7 +12,7 @@ from vaultline import schemas
 from vaultline.operators.checks import ConstraintError
 from vaultline.plans.warehouse import LOADED, NOTHING_TO_LOAD, Warehouse
 from vaultline.plans.workbook_fixture import workbook
-from vaultline.sources.store import Store
+from vaultline.sources.store import Overtaken, Store
 
 HEADER = ";".join(schemas.TRANSACTION_FILE_COLUMNS)
 
@@ -125,11 +125,11 @@ def test_load_without_commit_is_invisible(spark, tmp_path):
     active = stage.select("card_num")
     store.load_history(schemas.CARDS, stage, active, as_of=ts("2021-03-02"))
     assert store.history(schemas.CARDS).count() == 0
-    version, rows = store.load_history(schemas.CARDS, stage, active, as_of=ts("2021-03-02"))
-    store.commit(schemas.CARDS.table, version, ts("2021-03-01"), rows)
-    assert (version, rows, store.history(schemas.CARDS).count()) == (1, 1, 1)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        store.commit(schemas.CARDS.table, version, ts("2021-03-01"), rows)
+    loaded = store.load_history(schemas.CARDS, stage, active, as_of=ts("2021-03-02"))
+    store.commit_history(schemas.CARDS, loaded, ts("2021-03-01"))
+    assert (loaded.version, loaded.rows, store.history(schemas.CARDS).count()) == (1, 1, 1)
+    with pytest.raises(Overtaken, match="version 1 is taken"):
+        store.commit_history(schemas.CARDS, loaded, ts("2021-03-01"))
 
 
 def test_failed_load_stops_no_other(spark, tmp_path):

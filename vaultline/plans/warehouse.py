@@ -40,7 +40,7 @@ from vaultline.schemas import (
 )
 from vaultline.sources.dated_files import file_ledger, list_dated_files, next_file
 from vaultline.sources.delimited import scan_delimited
-from vaultline.sources.store import Store, stage_overwrite
+from vaultline.sources.store import TRIES, Overtaken, Store, new_attempt, stage_overwrite
 from vaultline.sources.tables import src_incremental, staged_keys
 from vaultline.sources.workbook import scan_workbook
 
@@ -72,10 +72,19 @@ class Warehouse:
         self.store = store
         self.spark = store.spark
 
-    def _staged(self, rows: DataFrame, table: str, name: str = "stage") -> DataFrame:
+    def _staged(self, rows: DataFrame, table: str) -> DataFrame:
         """Keep a stage in the store: it is read by the check, the load and the watermark,
-        and the source may move on in between."""
-        return stage_overwrite(rows, self.store.path(table, name))
+        and the source may move on in between. Each has a folder of its own, so loads may overlap."""
+        return stage_overwrite(rows, self.store.path(table, "stages", f"attempt={new_attempt()}"))
+
+    def _until_committed(self, load: Callable[[], Outcome]) -> Outcome:
+        """Do a load again, from its source on, as long as other loads of the table commit first."""
+        for _try in range(TRIES - 1):
+            try:
+                return load()
+            except Overtaken:
+                continue
+        return load()
 
     def _new_files(self, table: str, folder: str, prefix: str, suffix: str) -> DataFrame:
         """The drops that no committed load of the table has taken."""
@@ -83,19 +92,25 @@ class Warehouse:
 
     def load_bank_table(self, dim: Dimension, source: DataFrame, *, as_of: datetime) -> Outcome:
         """Accounts, cards or clients from the bank's table."""
+        return self._until_committed(lambda: self._load_bank_table(dim, source, as_of))
+
+    def _load_bank_table(self, dim: Dimension, source: DataFrame, as_of: datetime) -> Outcome:
         _, watermark = self.store.latest(dim.table)
         increment, keys = db_stage_load(source, dim, watermark)
         stage = self._staged(increment, dim.table)
-        active = self._staged(keys, dim.table, "active")
+        active = self._staged(keys, dim.table)
         enforce(stage, stage_rules(dim.key))
-        version, rows = self.store.load_history(dim, stage, active, as_of=as_of)
+        loaded = self.store.load_history(dim, stage, active, as_of=as_of)
         one = self.spark.range(1).select(ntz(watermark).alias("integrated_dt"))
         latest = max_watermark(stage, active, one, key=dim.key).first().integrated_dt
-        self.store.commit(dim.table, version, latest, rows)
-        return Outcome(dim.table, LOADED, rows)
+        self.store.commit_history(dim, loaded, latest)
+        return Outcome(dim.table, LOADED, loaded.rows)
 
     def load_terminals(self, folder: str) -> Outcome:
         """The next full snapshot of terminals. What it lacks is deleted."""
+        return self._until_committed(lambda: self._load_terminals(folder))
+
+    def _load_terminals(self, folder: str) -> Outcome:
         files = self._new_files(TERMINALS.table, folder, "terminals_", ".xlsx")
         _, watermark = self.store.latest(TERMINALS.table)
         file = next_file(files, watermark)
@@ -106,31 +121,37 @@ class Warehouse:
         stage = self._staged(stage_snapshot(rows, TERMINALS, effective), TERMINALS.table)
         enforce(stage, not_null(TERMINALS.key))
         active = stage.select(TERMINALS.key)
-        version, written = self.store.load_history(TERMINALS, stage, active, as_of=effective)
-        self.store.commit(TERMINALS.table, version, file.file_dt, written, file.file_name)
-        return Outcome(TERMINALS.table, LOADED, written, file.file_name)
+        loaded = self.store.load_history(TERMINALS, stage, active, as_of=effective)
+        self.store.commit_history(TERMINALS, loaded, file.file_dt, file.file_name)
+        return Outcome(TERMINALS.table, LOADED, loaded.rows, file.file_name)
 
     def load_transactions(self, folder: str) -> Outcome:
         """The next day of transactions."""
-        return self._load_fact(
-            FACT_TRANSACTIONS,
-            self._new_files(FACT_TRANSACTIONS, folder, "transactions_", ".txt"),
-            lambda file: stage_transactions(
-                scan_delimited(self.spark, file.path, TRANSACTION_FILE_COLUMNS)
-            ),
-            ("terminal",),
+        return self._until_committed(
+            lambda: self._load_fact(
+                FACT_TRANSACTIONS,
+                self._new_files(FACT_TRANSACTIONS, folder, "transactions_", ".txt"),
+                lambda file: stage_transactions(
+                    scan_delimited(self.spark, file.path, TRANSACTION_FILE_COLUMNS)
+                ),
+                ("terminal",),
+                "trans_date",
+            )
         )
 
     def load_blacklist(self, folder: str) -> Outcome:
         """The next passport blacklist; entries dated before the file are left out."""
         columns = dict(zip(BLACKLIST_FILE_COLUMNS, ("string", "timestamp_ntz"), strict=True))
-        return self._load_fact(
-            FACT_BLACKLIST,
-            self._new_files(FACT_BLACKLIST, folder, "passport_blacklist_", ".xlsx"),
-            lambda file: stage_blacklist(
-                scan_workbook(self.spark, file.path, "blacklist", columns), file.file_dt
-            ),
-            ("passport_num",),
+        return self._until_committed(
+            lambda: self._load_fact(
+                FACT_BLACKLIST,
+                self._new_files(FACT_BLACKLIST, folder, "passport_blacklist_", ".xlsx"),
+                lambda file: stage_blacklist(
+                    scan_workbook(self.spark, file.path, "blacklist", columns), file.file_dt
+                ),
+                ("passport_num",),
+                "entry_dt",
+            )
         )
 
     def _load_fact(
@@ -139,6 +160,7 @@ class Warehouse:
         files: DataFrame,
         read: Callable[..., DataFrame],
         required: Iterable[str],
+        event: str,
     ) -> Outcome:
         _, watermark = self.store.latest(table)
         file = next_file(files, watermark)
@@ -146,7 +168,7 @@ class Warehouse:
             return Outcome(table, NOTHING_TO_LOAD, detail=f"after {watermark}")
         stage = self._staged(read(file), table)
         enforce(stage, not_null(*required))
-        rows = self.store.append_fact(table, stage, load_date=file.file_dt, file_name=file.file_name)
+        rows = self.store.append_fact(table, stage, load_date=file.file_dt, file_name=file.file_name, event=event)
         return Outcome(table, LOADED, rows, file.file_name)
 
     def build_fraud_report(self, *, report_dt: datetime) -> DataFrame:

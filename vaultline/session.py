@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,6 +45,66 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(own)
 
 
+def _link_once(path: str, text: str) -> bool:
+    """On a local disk: a hard link to a complete file, which fails if the name is taken."""
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    draft = f"{os.path.dirname(path)}/.{uuid.uuid4().hex}"
+    with open(draft, "w", encoding="utf-8") as out:
+        out.write(text)
+    try:
+        os.link(draft, path)
+    except FileExistsError:
+        return False
+    finally:
+        os.unlink(draft)
+    return True
+
+
+def _rename_once(spark: SparkSession, path: str, text: str) -> bool:
+    """In any other store: a complete file renamed to a name that must be free, as Spark commits the batches of a stream."""
+    own, store = _on_its_store(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(own.getParent(), f".{uuid.uuid4().hex}")
+    out = store.create(draft, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        hadoop.FileContext.getFileContext(own.toUri(), spark._jsc.hadoopConfiguration()).rename(
+            store.makeQualified(draft), store.makeQualified(own), options
+        )
+    except Py4JJavaError as error:
+        store.delete(draft, False)
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            return False
+        raise
+    return True
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, whole or not at all; false if the name is taken.
+
+    Of several sessions that try at the same time one succeeds. The store must rename files in one step, as
+    local disks, HDFS and the like do.
+    """
+    own, store = _on_its_store(spark, path)
+    if store.getUri().getScheme() == "file":
+        return _link_once(own.toUri().getPath(), text)
+    return _rename_once(spark, path, text)
+
+
+def remove_older(spark: SparkSession, folder: str, keep: set[str], before: datetime) -> list[str]:
+    """Delete the entries of a folder that are neither in ``keep`` nor changed since ``before``; gives their names."""
+    if not exists(spark, folder):
+        return []
+    own, store = _on_its_store(spark, folder)
+    limit = int(before.timestamp() * 1000)
+    gone = [f.getPath() for f in store.listStatus(own) if f.getModificationTime() < limit and f.getPath().getName() not in keep]
+    for path in gone:
+        store.delete(path, True)
+    return sorted(path.getName() for path in gone)
+
+
 def any_match(spark: SparkSession, pattern: str) -> bool:
     """Whether any path fits a pattern; a missing folder has none."""
     own, store = _on_its_store(spark, pattern)

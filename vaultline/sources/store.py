@@ -1,12 +1,15 @@
 """Warehouse tables as Parquet folders.
 
-Every load writes a version of its own and becomes visible with its commit row, which
-also holds the new watermark, so both change at once. A load that dies leaves a folder
-without a commit, which readers ignore and the next attempt overwrites.
+Every load writes a folder of its own attempt, which no other load ever writes to, and becomes visible with its commit: a small
+file, named by the next version, that is created only if the name is free. It names the folder and
+also holds the new watermark, so both change at once. Of two loads that overlap one gets the
+version; the other finds it taken. A load of a fact or a report then takes the next version, as it does not depend on the one before; a load of a
+history was computed from a state that is no longer the latest, so it fails with :class:`Overtaken` and must be
+done again. A load that dies leaves a folder without a commit, which readers ignore and :meth:`Store.vacuum` removes.
 
 A history is kept as versions: the current rows are written anew by each load, the
 settled rows (closed or deleted) are only ever added to. Both are partitions, so reading
-a version prunes the rest.
+a version prunes the rest. :meth:`Store.compact_history` writes all rows as one version, from which later ones count.
 
 Facts and reports are kept by load: the day of a file, the time of a report. Of a load that
 was done again the latest committed version counts, also if it is empty.
@@ -14,22 +17,55 @@ was done again the latest committed version counts, also if it is empty.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import is_current
 from vaultline.operators.checks import ConstraintError, history_rules
 from vaultline.operators.scd2 import scd2_touched
-from vaultline.schemas import NEVER_LOADED, REPORT_DDL, Dimension, ntz
-from vaultline.session import exists
+from vaultline.schemas import NEVER_LOADED, REPORT_DDL, Dimension
+from vaultline.session import create_once, exists, remove_older
 
 COMMITS_DDL = (
     "sch_name string, tbl_name string, integrated_dt timestamp_ntz, rows_written bigint, "
-    "file_name string, loads array<string>, version int"
+    "file_name string, loads array<string>, version int, attempt string, base int, "
+    "events array<struct<load:string,first:timestamp_ntz,last:timestamp_ntz>>, inputs map<string,int>"
 )
+# How often a load that meets others is tried.
+TRIES = 20
+
+
+class Overtaken(RuntimeError):
+    """Another load has committed first; this one must be done again from the new state."""
+
+
+class Written(NamedTuple):
+    """Rows of a load that are written but not yet visible."""
+
+    attempt: str
+    rows: int
+    loads: list[str]
+    # Per load the earliest and latest time of its events, if they were asked for.
+    events: list[tuple[str, str, str]]
+
+
+class Loaded(NamedTuple):
+    """The next version of a history, written but not yet visible, and the version its settled rows count from."""
+
+    version: int
+    rows: int
+    attempt: str
+    base: int
+
+
+def new_attempt() -> str:
+    return f"a{uuid.uuid4().hex}"
 
 
 def stage_overwrite(rows: DataFrame, path: str) -> DataFrame:
@@ -59,7 +95,10 @@ class Store:
 
     def commits(self, table: str) -> DataFrame:
         """One row per load of the table."""
-        return _read_or_empty(self.spark, COMMITS_DDL, self.path(table, "commits"))
+        path = self.path(table, "commits")
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], COMMITS_DDL)
+        return self.spark.read.schema(COMMITS_DDL).json(path)
 
     def meta(self, *tables: str) -> DataFrame:
         """The watermark table: schema, table and time of the latest load."""
@@ -89,46 +128,107 @@ class Store:
         rows_written: int,
         file_name: str | None = None,
         loads: Sequence[str] = (),
+        *,
+        attempt: str | None = None,
+        base: int = 1,
+        events: Sequence[tuple[str, str, str]] = (),
+        inputs: Mapping[str, int] | None = None,
     ) -> None:
-        """Make a version visible. Fails if another load has taken the same number."""
-        row = self.spark.range(1).select(
-            F.lit(self.sch_name).alias("sch_name"),
-            F.lit(table).alias("tbl_name"),
-            ntz(watermark).alias("integrated_dt"),
-            F.lit(rows_written).cast("bigint").alias("rows_written"),
-            F.lit(file_name).cast("string").alias("file_name"),
-            F.array(*map(F.lit, loads)).cast("array<string>").alias("loads"),
-        )
-        row.coalesce(1).write.mode("errorifexists").parquet(
-            self.path(table, "commits", f"version={version}")
-        )
+        """Make the rows of an attempt visible as a version. Fails if another load has taken that number."""
+        row = {
+            "sch_name": self.sch_name,
+            "tbl_name": table,
+            "integrated_dt": f"{watermark:%Y-%m-%dT%H:%M:%S.%f}",
+            "rows_written": rows_written,
+            "file_name": file_name,
+            "loads": list(loads),
+            "version": version,
+            "attempt": attempt,
+            "base": base,
+            "events": [dict(zip(("load", "first", "last"), event, strict=True)) for event in events],
+            "inputs": dict(inputs or {}),
+        }
+        if not create_once(self.spark, self.path(table, "commits", f"{version:010d}.json"), json.dumps(row) + "\n"):
+            raise Overtaken(f"{table}: version {version} is taken")
+
+    def _commit_next(
+        self, table: str, written: Written, watermark: datetime | None, file_name: str | None = None
+    ) -> int:
+        """Commit rows that do not depend on earlier ones, under the next version that is free."""
+        for _try in range(TRIES):
+            version, latest = self.latest(table)
+            if file_name and not self.commits(table).filter(F.col("file_name") == file_name).isEmpty() and _try:
+                raise Overtaken(f"{table}: {file_name} has been loaded meanwhile")
+            try:
+                self.commit(
+                    table, version + 1, max(latest, watermark or latest), written.rows, file_name, written.loads,
+                    attempt=written.attempt, events=written.events,
+                )
+            except Overtaken:
+                continue
+            return version + 1
+        raise Overtaken(f"{table}: no free version in {TRIES} tries")
+
+    def vacuum(self, table: str, before: datetime) -> list[str]:
+        """Remove what attempts have written that no commit names, if it was not changed since ``before``.
+
+        Loads that are still running must have begun later. Gives the names of the folders.
+        """
+        kept = {f"attempt={row.attempt}" for row in self.commits(table).select("attempt").collect()}
+        return [
+            name
+            for part in ("rows", "stages")
+            for name in remove_older(self.spark, self.path(table, part), kept, before)
+        ]
 
     # facts and reports
 
-    def write_loads(self, table: str, rows: DataFrame, load: str | None = None) -> tuple[int, int, list[str]]:
-        """Write the next version of a fact or report: one load, or several by the column ``load``.
+    def write_loads(
+        self, table: str, rows: DataFrame, load: str | None = None, event: str | None = None
+    ) -> Written:
+        """Write rows of a fact or report: one load, or several by the column ``load``.
 
-        Not visible before ``commit``. Gives the version, the number of rows and the loads. Several
-        loads are first brought together by load, so no task writes a small file for each; Spark
-        splits a load that is too large for one task.
+        Not visible before a commit. ``event`` names a time column whose range per load
+        the commit shall hold. Several loads are first brought together by load, so no task writes a small file
+        for each; Spark splits a load that is too large for one task.
         """
-        version = self.latest(table)[0] + 1
+        attempt = new_attempt()
         rows = rows.hint("rebalance", "load") if load is None else rows.withColumn("load", F.lit(load))
-        path = self.path(table, "rows", f"version={version}")
+        path = self.path(table, "rows", f"attempt={attempt}")
         seen = Observation()
-        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy("load").parquet(path)
-        loads = [load]
+        range_of = [F.min(event).cast("string"), F.max(event).cast("string")] if event else [F.lit(None), F.lit(None)]
+        counted = [F.count(F.lit(1)).alias("rows")]
+        if load is not None and event:
+            counted += [range_of[0].alias("first"), range_of[1].alias("last")]
+        rows.observe(seen, *counted).write.partitionBy("load").parquet(path)
+        loads, events, counts = [load], [], seen.get
         if load is None:
             written = self.spark.read.schema(rows.schema).parquet(path)
-            loads = sorted(row["load"] for row in written.select("load").distinct().collect())
-        return version, seen.get["rows"], loads
+            found = written.groupBy("load").agg(range_of[0].alias("first"), range_of[1].alias("last")).collect()
+            loads = sorted(row["load"] for row in found)
+            events = sorted(tuple(row) for row in found if row["first"])
+        elif counts.get("first"):
+            events = [(load, counts["first"], counts["last"])]
+        return Written(attempt, counts["rows"], loads, events)
+
+    def visible_loads(self, table: str) -> DataFrame:
+        """(load, attempt, version, first, last) of each load: its latest committed version."""
+        loads = self.commits(table).select("version", "attempt", "events", F.explode("loads").alias("load"))
+        latest = loads.groupBy("load").agg(
+            F.max("version").alias("version"), F.max_by(F.struct("attempt", "events"), "version").alias("_of")
+        )
+        event = F.get(F.filter("_of.events", lambda e: e["load"] == F.col("load")), 0)
+        return latest.select(
+            "load", "_of.attempt", "version", event["first"].alias("first"), event["last"].alias("last")
+        )
 
-    def read_loads(self, table: str, ddl: str) -> DataFrame:
-        """The rows of the latest committed version of each load, with their ``load``."""
-        visible = self.commits(table).select("version", F.explode("loads").alias("load"))
-        visible = visible.groupBy("load").agg(F.max("version").alias("version"))
-        rows = _read_or_empty(self.spark, f"{ddl}, version int, load string", self.path(table, "rows"))
-        return rows.join(visible, ["version", "load"], "left_semi").drop("version")
+    def read_loads(self, table: str, ddl: str, only: Column | None = None) -> DataFrame:
+        """The rows of the latest committed version of each load, with their ``load``; of some loads by a condition on
+        the columns of :meth:`visible_loads`."""
+        visible = self.visible_loads(table)
+        visible = (visible if only is None else visible.filter(only)).select("attempt", "load")
+        rows = _read_or_empty(self.spark, f"{ddl}, attempt string, load string", self.path(table, "rows"))
+        return rows.join(visible, ["attempt", "load"], "left_semi").drop("attempt")
 
     def append_fact(
         self,
@@ -138,19 +238,20 @@ class Store:
         load_date: datetime | None = None,
         watermark: datetime | None = None,
         file_name: str | None = None,
+        event: str | None = None,
     ) -> int:
         """Add the rows of a day, or of several with the column ``load_date``, and commit them.
 
-        A day that was loaded before is replaced, by nothing if there are no rows.
+        A day that was loaded before is replaced, by nothing if there are no rows. A file that another load has committed since this one
+        began makes it fail with :class:`Overtaken`.
         """
         if load_date is None:
             load, rows = None, rows.withColumn("load", F.col("load_date").cast("string")).drop("load_date")
         else:
             load = f"{load_date:%Y-%m-%d}"
-        _, latest = self.latest(table)
-        version, count, loads = self.write_loads(table, rows, load)
-        self.commit(table, version, max(latest, watermark or load_date or latest), count, file_name, loads)
-        return count
+        written = self.write_loads(table, rows, load, event)
+        self._commit_next(table, written, watermark or load_date, file_name)
+        return written.rows
 
     def read_fact(self, table: str, ddl: str) -> DataFrame:
         rows = self.read_loads(table, ddl)
@@ -158,10 +259,9 @@ class Store:
 
     def write_report(self, table: str, report: DataFrame, report_dt: datetime) -> int:
         """Write and commit the report of a time; one built again for it replaces the earlier one."""
-        _, latest = self.latest(table)
-        version, count, loads = self.write_loads(table, report, f"{report_dt:%Y-%m-%d %H:%M:%S.%f}")
-        self.commit(table, version, max(latest, report_dt), count, loads=loads)
-        return count
+        written = self.write_loads(table, report, f"{report_dt:%Y-%m-%d %H:%M:%S.%f}")
+        self._commit_next(table, written, report_dt)
+        return written.rows
 
     def read_report(self, table: str) -> DataFrame:
         return self.read_loads(table, REPORT_DDL).drop("load")
@@ -172,29 +272,49 @@ class Store:
         """The history as of a version, the latest one by default."""
         if version is None:
             version, _ = self.latest(dim.table)
-        return self._rows(dim, version).select(*dim.columns)
+        return self._rows(dim, version)[0].select(*dim.columns)
+
+    def _rows(self, dim: Dimension, version: int) -> tuple[DataFrame, int]:
+        """The rows of a version, with their part, and the version they count from. The filter is on partitions only.
 
-    def _rows(self, dim: Dimension, version: int) -> DataFrame:
-        """The rows of a version, with their part. The filter is on partitions only."""
+        The driver sees one row per load since the history was compacted.
+        """
         rows = _read_or_empty(
-            self.spark, f"{dim.history_ddl}, version int, part string", self.path(dim.table, "rows")
+            self.spark, f"{dim.history_ddl}, attempt string, part string", self.path(dim.table, "rows")
+        )
+        commits = self.commits(dim.table)
+        base = F.lit(commits.filter(F.col("version") == version).agg(F.max("base")).first()[0] or 1)
+        of = commits.filter(F.col("version").between(base, F.lit(version))).select("version", "attempt", "base").collect()
+        settled = F.col("attempt").isin([row.attempt for row in of]) & (F.col("part") == "settled")
+        current = F.col("attempt").isin([row.attempt for row in of if row.version == version]) & (F.col("part") == "current")
+        return rows.filter(current | settled), next((row.base for row in of if row.version == version), 1)
+
+    def _write_history(self, dim: Dimension, rows: DataFrame) -> tuple[str, int]:
+        """Write rows by part under a new attempt. The constraints of a history are counted as its rows are
+        written; one that is broken fails the load."""
+        attempt, seen = new_attempt(), Observation()
+        rules = history_rules(dim.key)
+        counted = rows.observe(
+            seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(~rule).alias(name) for name, rule in rules.items()]
         )
-        current = (F.col("version") == version) & (F.col("part") == "current")
-        settled = (F.col("version") <= version) & (F.col("part") == "settled")
-        return rows.filter(current | settled)
+        counted.withColumn("part", F.when(is_current(), F.lit("current")).otherwise(F.lit("settled"))).write.partitionBy(
+            "part"
+        ).parquet(self.path(dim.table, "rows", f"attempt={attempt}"))
+        counts = seen.get
+        rows_written = counts.pop("rows")
+        if broken := [f"{name}: {n}" for name, n in counts.items() if n]:
+            raise ConstraintError(", ".join(broken))
+        return attempt, rows_written
 
     def load_history(
         self, dim: Dimension, stage: DataFrame, active: DataFrame, *, as_of: datetime | str
-    ) -> tuple[int, int]:
-        """Write the next version of a history. Not visible before ``commit``.
+    ) -> Loaded:
+        """Write the next version of a history. Not visible before :meth:`commit_history`.
 
-        Reads the current rows, and of the settled rows only the keys. Gives the
-        version number and the number of rows written. The constraints of a history are
-        counted as its rows are written; one that is broken fails the load.
+        Reads the current rows, and of the settled rows only the keys.
         """
         version, _ = self.latest(dim.table)
-        rows = self._rows(dim, version)
-        seen = Observation()
+        rows, base = self._rows(dim, version)
         touched = scd2_touched(
             rows.filter(F.col("part") == "current"),
             rows.filter((F.col("part") == "settled") & (F.col("deleted_flg") == "N")).select(dim.key),
@@ -203,18 +323,32 @@ class Store:
             key=dim.key,
             tracked=dim.tracked,
             as_of=as_of,
-        ).observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            *[F.count_if(~rule).alias(name) for name, rule in history_rules(dim.key).items()],
         )
-        touched.withColumn(
-            "part", F.when(is_current(), F.lit("current")).otherwise(F.lit("settled"))
-        ).write.mode("overwrite").partitionBy("part").parquet(
-            self.path(dim.table, "rows", f"version={version + 1}")
+        attempt, rows_written = self._write_history(dim, touched)
+        return Loaded(version + 1, rows_written, attempt, base)
+
+    def commit_history(
+        self, dim: Dimension, loaded: Loaded, watermark: datetime, file_name: str | None = None
+    ) -> None:
+        """Make a version visible, unless another load has committed since it was computed: then :class:`Overtaken`."""
+        self.commit(
+            dim.table, loaded.version, watermark, loaded.rows, file_name, attempt=loaded.attempt, base=loaded.base
         )
-        counts = seen.get
-        rows_written = counts.pop("rows")
-        if broken := [f"{name}: {n}" for name, n in counts.items() if n]:
-            raise ConstraintError(", ".join(broken))
-        return version + 1, rows_written
+
+    def import_history(self, dim: Dimension, rows: DataFrame, watermark: datetime) -> int:
+        """Commit a whole history, as it is, as the next version. It replaces what was there."""
+        version, _ = self.latest(dim.table)
+        attempt, count = self._write_history(dim, rows.select(*dim.columns))
+        self.commit_history(dim, Loaded(version + 1, count, attempt, version + 1), watermark)
+        return count
+
+    def compact_history(self, dim: Dimension) -> int:
+        """Write the latest state as one version, brought together by key, so that later versions read its files alone.
+
+        The rows stay the same, and so do older versions. A load that commits meanwhile makes this fail with :class:`Overtaken`.
+        """
+        version, watermark = self.latest(dim.table)
+        rows = self.history(dim, version).hint("rebalance", dim.key)
+        attempt, count = self._write_history(dim, rows)
+        self.commit_history(dim, Loaded(version + 1, count, attempt, version + 1), watermark)
+        return count
