@@ -30,7 +30,7 @@ def ids_of(text):
 
 
 def test_ids_equal_the_library(monkeypatch):
-    assert encoder.splits
+    assert encoder.splits and encoder.words
     for text, ids in zip(ODD, encoder.encode(ODD), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)
     monkeypatch.setattr(module, "REMEMBERED", 1)
@@ -46,6 +46,19 @@ def test_any_text_encodes_alike(text):
     assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids_of(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abcdefghijklmnopqrstuvwxyzABCDEFéèÖßøſıİŐ", min_size=1, max_size=30), min_size=1, max_size=30))
+def test_words_encode_alike_in_the_faster_library(words):
+    text = " ".join(words)
+    assert np.frombuffer(ByteEncoder.encode(encoder, [text])[0], "<u4").tolist() == ids_of(text)
+
+
+def test_real_words_encode_alike(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    for text, ids in zip(texts, encoder.encode([text or "" for text in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)
+
+
 @pytest.mark.parametrize("dimensions, bits", [(1, 4), (2, 5), (3, 3), (4, 3)])
 def test_the_curve_visits_every_cell_and_steps_to_neighbours(dimensions, bits):
     points = np.array(list(itertools.product(range(1 << bits), repeat=dimensions)))
