@@ -6,11 +6,12 @@ import random
 from datetime import timedelta
 
 import frames
+from pyspark.sql import functions as F
 from frames import OPEN, START, ts
 
 from vaultline import schemas
 from vaultline.functions.columns import whole_second
-from vaultline.operators.asof import asof_dim_join, without_gaps
+from vaultline.operators.asof import asof_carried, asof_dim_join, without_gaps
 from vaultline.plans import fraud
 
 U = ts("2024-01-15 00:00:00")
@@ -106,3 +107,50 @@ def test_chain_equals_joins_one_by_one(spark):
     expected = sorted(map(repr, step.collect()))
     assert sorted(map(repr, chained.collect())) == expected
     assert any("phone='0" in row for row in expected)
+
+
+CARRIED = dict(fact_key="card_num", dim_key="card_num", ts="at", attrs={"account_num": "account"})
+
+
+def _bag(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+def test_carried_versions_equal_the_join(spark):
+    """Random times around slot ends, gaps, deleted versions, keys without versions, missing keys and times."""
+    rng = random.Random(8)
+    versions = []
+    for key in range(5):
+        at = ts("2024-01-01 00:00:00") + timedelta(seconds=rng.choice([0, rng.randrange(86_400)]))
+        for v in range(rng.randrange(1, 30)):
+            end = at + timedelta(seconds=rng.choice([0, 3_600, 86_399, 86_400 * 3]) + rng.randrange(50))
+            versions.append((f"c{key}", f"v{v}", at, end, rng.choice("NNNY")))
+            at = end + timedelta(seconds=rng.choice([1, 1, 1, 500]))
+    versions.append(("c0", "early", START, ts("2023-12-31 23:59:59"), "N"))
+    cards = spark.createDataFrame(versions, schemas.CARDS.history_ddl)
+    edges = [t + timedelta(seconds=d) for _, _, a, b, _ in versions for t in (a, b) for d in (-1, 0, 1)]
+    facts = [(i, rng.choice(edges + [None]), f"c{rng.randrange(7)}" if i % 9 else None, "x") for i in range(1500)]
+    facts += [facts[3]] * 3 + [(1, ts("2024-01-03 00:00:00") + timedelta(milliseconds=1), "c0", None)]
+    tx = spark.createDataFrame(facts, "id int, at timestamp_ntz, card_num string, effective_to string")
+    expected = _bag(asof_dim_join(tx, cards, **CARRIED))
+    for options in ({}, {"slot": 3_600}, {"rows_of_piece": 3}, {"slot": 1_000, "rows_of_piece": 1}):
+        found = asof_carried(tx, cards, **CARRIED, **options)
+        assert found.columns == [*tx.columns, "account"]
+        assert _bag(found) == expected, options
+    assert _bag(asof_carried(tx, cards.limit(0), **CARRIED)) == _bag(tx.selectExpr("*", "cast(null as string)"))
+    assert asof_carried(tx.limit(0), cards, **CARRIED).count() == 0
+
+
+def test_a_hot_key_with_3000_versions_makes_no_product(spark):
+    day = ts("2024-01-01 00:00:00")
+    versions = [("hot", f"v{i}", day + timedelta(seconds=20 * i), day + timedelta(seconds=20 * i + 19), "N") for i in range(3_000)]
+    cards = spark.createDataFrame(versions, schemas.CARDS.history_ddl)
+    at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") % 60_000).cast("decimal(18,6)"))
+    tx = spark.range(90_000).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("card_num"), at.alias("at"))
+    found = asof_carried(tx, cards, **CARRIED, rows_of_piece=2_000)
+    hot = found.filter("card_num = 'hot'")
+    assert found.count() == 90_000
+    assert hot.filter(F.col("account") == F.concat(F.lit("v"), F.floor(F.col("id") % 60_000 / 20))).count() == 30_000
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Joins are by equal keys alone: no fact meets a range of versions.
+    assert all("<=" not in line and ">=" not in line for line in plan.splitlines() if "Join" in line)

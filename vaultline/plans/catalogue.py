@@ -24,7 +24,7 @@ from vaultline.functions.columns import (
 )
 from vaultline.operators import blacklist as bl
 from vaultline.operators import moments, scd2, watermark
-from vaultline.operators.asof import asof_dim_join
+from vaultline.operators.asof import asof_carried, asof_dim_join
 from vaultline.operators.checks import violations
 from vaultline.operators.stage import (
     blacklist_recent_filter,
@@ -33,16 +33,23 @@ from vaultline.operators.stage import (
     stage_transactions,
 )
 from vaultline.plans import fraud, testbank
+from vaultline.plans.incremental import IncrementalReport
 from vaultline.plans.testbank import LOAD_DT, REPORT_DT, bank, table
 from vaultline.plans.warehouse import db_stage_load
 from vaultline.plans.workbook_fixture import write_workbooks
 from vaultline.schemas import (
+    ACCOUNTS,
     BLACKLIST_DDL,
+    CARDS,
     CLIENTS,
+    FACT_BLACKLIST,
+    FACT_TRANSACTIONS,
     SPENDING_TYPES,
+    TERMINALS,
     TRANSACTION_FILE_COLUMNS,
     TRANSACTIONS_DDL,
     ntz,
+    open_end,
 )
 from vaultline.session import qualified, scratch_dir
 from vaultline.sources.dated_files import (
@@ -278,6 +285,47 @@ query("fraud_report", with_tables(*EVERYTHING, select=REPORT_SQL))(report)
 query("fraud_combined", with_tables(*EVERYTHING, select=COMBINED_SQL))(combined)
 
 
+@query("report_incremental", with_tables(*EVERYTHING, select=REPORT_SQL))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report after three days of loads: first the facts up to the 12th with histories and blacklist as they were
+    known then, and a day of wrong facts; then all histories and entries, facts up to the 21st and the wrong day again, empty; then the other facts.
+    Each time only what the loads touch is computed."""
+    b = bank(spark, sf_dir)
+    store = Store(spark, scratch_dir(spark, "store"))
+    incremental = IncrementalReport(store, n=CHAIN, within=CHAIN_WITHIN)
+    dated = stage_overwrite(b.transactions.withColumn("load_date", F.to_date("trans_date")), scratch_dir(spark, "facts"))
+    known, wrong = datetime(2024, 1, 12), datetime(2024, 1, 31)
+
+    def as_known(history: DataFrame) -> DataFrame:
+        """The versions that had begun by then, the last of them still open."""
+        later = F.col("effective_to") >= ntz(known)
+        return history.filter(F.col("effective_from") < ntz(known)).withColumn(
+            "effective_to", F.when(later, open_end()).otherwise(F.col("effective_to"))
+        )
+
+    def load(first: str, last: str) -> None:
+        days = dated.filter(F.col("load_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        store.append_fact(FACT_TRANSACTIONS, days, event="trans_date")
+
+    histories = {CARDS: b.cards, ACCOUNTS: b.accounts, CLIENTS: b.clients, TERMINALS: b.terminals}
+    for dim, rows in histories.items():
+        store.import_history(dim, as_known(rows), known)
+    store.append_fact(FACT_BLACKLIST, b.blacklist.filter(F.col("entry_dt") < ntz(known)), load_date=known)
+    load("2024-01-01", "2024-01-12")
+    doubtful = b.transactions.filter("oper_type = 'PAYMENT'")
+    store.append_fact(FACT_TRANSACTIONS, doubtful, load_date=wrong, event="trans_date")
+    incremental.refresh()
+    for dim, rows in histories.items():
+        store.import_history(dim, rows, known)
+    store.append_fact(FACT_BLACKLIST, b.blacklist, load_date=known)
+    load("2024-01-13", "2024-01-21")
+    store.append_fact(FACT_TRANSACTIONS, doubtful.filter("false"), load_date=wrong, event="trans_date")
+    incremental.refresh()
+    load("2024-01-22", "2024-12-31")
+    incremental.refresh()
+    return incremental.report(datetime.fromisoformat(REPORT_DT))
+
+
 def each_rule(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The four rules as reports of their own."""
     b = bank(spark, sf_dir)
@@ -350,15 +398,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins of the report ----------------------------------------------------------------
 
 
-@query(
-    "asof_dim_join",
-    with_tables(
-        TX, CARDS_SQL,
-        select="""SELECT t.trans_id, t.trans_date, t.card_num, c.account_num FROM transactions t
+ASOF_SQL = with_tables(
+    TX, CARDS_SQL,
+    select="""SELECT t.trans_id, t.trans_date, t.card_num, c.account_num FROM transactions t
   LEFT JOIN cards c ON t.card_num = c.card_num AND c.deleted_flg = 'N'
     AND t.trans_date BETWEEN c.effective_from AND c.effective_to""",
-    ),
-)
+)
+
+
+@query("asof_dim_join", ASOF_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_dim_join(
         testbank.transactions(spark, sf_dir).select("trans_id", "trans_date", "card_num"),
@@ -367,6 +415,16 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("asof_carried", ASOF_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by versions carried into slots of time, for keys with very many versions."""
+    return asof_carried(
+        testbank.transactions(spark, sf_dir).select("trans_id", "trans_date", "card_num"),
+        testbank.cards(spark, sf_dir),
+        fact_key="card_num", dim_key="card_num", ts="trans_date", attrs=["account_num"],
+    )
+
+
 @query(
     "asof_chain",
     with_tables(

@@ -161,9 +161,12 @@ def _repeat(rows: DataFrame, copies: str) -> DataFrame:
     )
 
 
-def _report_rows(rows: DataFrame, event_type: Column | int, report_dt: datetime | str) -> DataFrame:
+def _report_rows(
+    rows: DataFrame, event_type: Column | int, report_dt: datetime | str, keep: Sequence[str] = ()
+) -> DataFrame:
     kind = F.lit(event_type) if isinstance(event_type, int) else event_type
     return rows.select(
+        *keep,
         F.col("trans_date").alias("event_dt"),
         F.col("passport_num").alias("passport"),
         full_name("last_name", "first_name", "patronymic").alias("fio"),
@@ -347,8 +350,9 @@ def report_from_spans(
     n: int = 3,
     within: int = 1_200,
     dedupe: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """All four rules over holder spans.
+    """All four rules over holder spans. ``keep`` names columns of the holder to add, such as the card.
 
     With ``suspect_spans`` (see ``suspects``) rules 1 and 2 read only these. If they are
     a stored table, Spark knows their size when it plans, and if that allows a broadcast
@@ -358,7 +362,7 @@ def report_from_spans(
     if not dedupe:
         by_entry = F.when(F.col("event_type") == PASSPORT, F.col("entries"))
         hits = hits.withColumn("copies", F.coalesce(by_entry, "copies"))
-    return _report_rows(_repeat(hits, "copies"), F.col("event_type"), report_dt)
+    return _report_rows(_repeat(hits, "copies"), F.col("event_type"), report_dt, keep)
 
 
 def fraud_report(

@@ -22,6 +22,7 @@ from vaultline.operators.stage import (
 )
 from vaultline.operators.watermark import max_watermark, next_snapshot_at
 from vaultline.plans.fraud import holder_spans, report_from_spans, suspects
+from vaultline.plans.incremental import IncrementalReport
 from vaultline.schemas import (
     ACCOUNTS,
     BLACKLIST_DDL,
@@ -186,7 +187,8 @@ class Warehouse:
             ),
             store.path(table, "spans"),
         )
-        latest = tx.agg(F.max("trans_date")).scalar()
+        known = store.latest_event(FACT_TRANSACTIONS)
+        latest = ntz(known) if known else tx.agg(F.max("trans_date")).scalar()
         suspect_spans = stage_overwrite(suspects(spans, latest), store.path(table, "suspects"))
         report = report_from_spans(
             tx, store.history(TERMINALS), spans, suspect_spans, report_dt=report_dt
@@ -194,6 +196,12 @@ class Warehouse:
         store.write_report(table, report, report_dt)
         return store.read_report(table).filter(F.col("report_dt") == ntz(report_dt))
 
+    def refresh_fraud_report(self, *, report_dt: datetime) -> DataFrame:
+        """The same report, of which only what loads since the last refresh touch is computed."""
+        incremental = IncrementalReport(self.store)
+        incremental.refresh()
+        return incremental.report(report_dt)
+
     def run(
         self,
         sources: Mapping[str, DataFrame],

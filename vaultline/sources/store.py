@@ -177,14 +177,19 @@ class Store:
         kept = {f"attempt={row.attempt}" for row in self.commits(table).select("attempt").collect()}
         return [
             name
-            for part in ("rows", "stages")
+            for part in ("rows", "stages", "spans", "moved", "touched")
             for name in remove_older(self.spark, self.path(table, part), kept, before)
         ]
 
     # facts and reports
 
     def write_loads(
-        self, table: str, rows: DataFrame, load: str | None = None, event: str | None = None
+        self,
+        table: str,
+        rows: DataFrame,
+        load: str | None = None,
+        event: str | None = None,
+        attempt: str | None = None,
     ) -> Written:
         """Write rows of a fact or report: one load, or several by the column ``load``.
 
@@ -192,7 +197,7 @@ class Store:
         the commit shall hold. Several loads are first brought together by load, so no task writes a small file
         for each; Spark splits a load that is too large for one task.
         """
-        attempt = new_attempt()
+        attempt = attempt or new_attempt()
         rows = rows.hint("rebalance", "load") if load is None else rows.withColumn("load", F.lit(load))
         path = self.path(table, "rows", f"attempt={attempt}")
         seen = Observation()
@@ -211,9 +216,11 @@ class Store:
             events = [(load, counts["first"], counts["last"])]
         return Written(attempt, counts["rows"], loads, events)
 
-    def visible_loads(self, table: str) -> DataFrame:
-        """(load, attempt, version, first, last) of each load: its latest committed version."""
-        loads = self.commits(table).select("version", "attempt", "events", F.explode("loads").alias("load"))
+    def visible_loads(self, table: str, version: int | None = None) -> DataFrame:
+        """(load, attempt, version, first, last) of each load: its latest committed version, or the latest up to ``version``."""
+        commits = self.commits(table)
+        commits = commits if version is None else commits.filter(F.col("version") <= version)
+        loads = commits.select("version", "attempt", "events", F.explode("loads").alias("load"))
         latest = loads.groupBy("load").agg(
             F.max("version").alias("version"), F.max_by(F.struct("attempt", "events"), "version").alias("_of")
         )
@@ -222,10 +229,17 @@ class Store:
             "load", "_of.attempt", "version", event["first"].alias("first"), event["last"].alias("last")
         )
 
-    def read_loads(self, table: str, ddl: str, only: Column | None = None) -> DataFrame:
+    def latest_event(self, table: str) -> datetime | None:
+        """The latest time of all events that can be read, from the commits; None if they do not hold it for every load."""
+        unknown = self.commits(table).filter((F.size("events") == 0) & (F.col("rows_written") > 0))
+        return self.visible_loads(table).agg(F.max("last")).first()[0] if unknown.isEmpty() else None
+
+    def read_loads(
+        self, table: str, ddl: str, only: Column | None = None, version: int | None = None
+    ) -> DataFrame:
         """The rows of the latest committed version of each load, with their ``load``; of some loads by a condition on
         the columns of :meth:`visible_loads`."""
-        visible = self.visible_loads(table)
+        visible = self.visible_loads(table, version)
         visible = (visible if only is None else visible.filter(only)).select("attempt", "load")
         rows = _read_or_empty(self.spark, f"{ddl}, attempt string, load string", self.path(table, "rows"))
         return rows.join(visible, ["attempt", "load"], "left_semi").drop("attempt")
