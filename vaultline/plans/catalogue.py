@@ -487,6 +487,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("city_code")
 
 
+def _of_hit(card: str, date: str) -> Column:
+    """A transaction is of the card and time of a hit. Its id alone would not do: ids such as 7 and 007 are one number."""
+    return (F.col("card_num") == F.col(card)) & (F.col("trans_date") == F.col(date))
+
+
+def _renamed_ends(ends: DataFrame) -> DataFrame:
+    return ends.select(F.col("card_num").alias("end_card"), F.col("trans_date").alias("end_date"), "end_order")
+
+
 @query(
     "rule_pivot_join",
     with_tables(
@@ -510,15 +519,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = bank(spark, sf_dir)
     near = moments.two_places(
         fraud.locate(b.transactions, b.terminals), key="card_num", ts="trans_date", place="city_code"
-    ).select(F.col("trans_id").alias("near_id"))
-    ends = moments.chain_ends(b.transactions, **CHAIN_OPTIONS).select("end_order")
+    ).select(F.col("trans_id").alias("near_id"), F.col("card_num").alias("near_card"), F.col("trans_date").alias("near_date"))
+    ends = moments.chain_ends(b.transactions, **CHAIN_OPTIONS)
     held = (
         fraud.at_time(
             b.transactions.select("trans_id", "trans_date", "card_num"),
             fraud.holder_spans(b.cards, b.accounts, b.clients, b.blacklist),
         )
-        .join(near, F.col("trans_id") == F.col("near_id"), "left")
-        .join(ends, id_order("trans_id") == F.col("end_order"), "left")
+        .join(near, _of_hit("near_card", "near_date") & (F.col("trans_id") == F.col("near_id")), "left")
+        .join(_renamed_ends(ends), _of_hit("end_card", "end_date") & (id_order("trans_id") == F.col("end_order")), "left")
     )
     passport = past_last_day("passport_valid_to", "trans_date") | F.col("entries").isNotNull()
     return explode_present(
@@ -546,12 +555,11 @@ CHAIN_OPTIONS = dict(
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = testbank.transactions(spark, sf_dir)
-    hits = moments.chain_ends(tx, **CHAIN_OPTIONS).select(
-        "end_order", F.lit(fraud.GUESSING).alias("event_type")
-    )
+    hits = _renamed_ends(moments.chain_ends(tx, **CHAIN_OPTIONS)).withColumn("event_type", F.lit(fraud.GUESSING))
     hits = stage_overwrite(hits, scratch_dir(spark, "ends"))
-    flagged = tx.select("trans_id").join(hits, id_order("trans_id") == F.col("end_order"), "left")
-    return as_text(flagged.drop("end_order"), "event_type")
+    ends = _of_hit("end_card", "end_date") & (id_order("trans_id") == F.col("end_order"))
+    flagged = tx.select("trans_id", "card_num", "trans_date").join(hits, ends, "left")
+    return as_text(flagged.select("trans_id", "event_type"), "event_type")
 
 
 # The default chain over the same events, with 15 days in the place of one: minutes apart at most.
