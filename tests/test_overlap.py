@@ -187,3 +187,46 @@ def test_many_loads_and_compaction(spark, tmp_path):
     store.commit_history(dim, loaded, ts("2021-04-01"))
     assert store.history(dim).count() == 10  # a new version of c, and d deleted
     assert files_of(store.history(dim)) <= 8
+
+
+def test_a_load_does_not_shuffle_the_history(spark, tmp_path):
+    store, dim = Store(spark, str(tmp_path)), schemas.CARDS
+    rows = spark.range(2_000).select(
+        F.format_string("c%05d", "id").alias("card_num"), F.lit("a").alias("account_num"),
+        *[F.lit(t).cast("timestamp_ntz").alias(n) for n, t in (("effective_from", "2021-01-01"), ("effective_to", schemas.OPEN_END))],
+        F.lit("N").alias("deleted_flg"),
+    )
+    store.import_history(dim, rows, ts("2021-01-01"))
+    stage = card_stage(spark, *[(f"c{i:05d}", "b", "2021-03-01") for i in range(0, 2_000, 2)])
+    active = rows.select("card_num")
+    written, base = store._rows(dim, 1)
+    from vaultline.operators.scd2 import scd2_touched
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        touched = scd2_touched(
+            written.filter("part = 'current'"), written.filter("part = 'settled' and deleted_flg = 'N'").select("card_num"),
+            stage, active, key=dim.key, tracked=dim.tracked, as_of=ts("2021-03-02"),
+        )
+        plan = touched._jdf.queryExecution().executedPlan().toString()
+        # Every scan of the history goes into its join without an exchange: those are above the stage and the live keys only.
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+        assert scans and all("Bucketed: true" in line for line in scans)
+        assert plan.count("Exchange hashpartitioning") <= 3, plan
+        loaded = store.load_history(dim, stage, active, as_of=ts("2021-03-02"))
+        store.commit_history(dim, loaded, ts("2021-03-01"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert base == 1 and store.history(dim).count() == 3_000
+    assert files_of(store.history(dim)) <= 16
+
+
+def test_a_warehouse_compacts_its_histories(spark, tmp_path):
+    house = Warehouse(Store(spark, str(tmp_path)), compact_after=2)
+    source = spark.createDataFrame([("c", "a", ts("2021-03-01"), None)], f"card_num string, account string, {DATES}")
+    counts = []
+    for day in range(1, 5):
+        changed = source.withColumn("update_dt", F.lit(f"2021-03-{day:02d}").cast("timestamp_ntz")).withColumn("account", F.lit(f"a{day}"))
+        house.load_bank_table(schemas.CARDS, changed, as_of=datetime(2021, 3, day))
+        counts.append((house.store.loads_since_compaction(schemas.CARDS), house.store.history(schemas.CARDS).count()))
+    assert counts == [(0, 1), (1, 2), (0, 3), (1, 4)]

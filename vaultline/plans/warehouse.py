@@ -7,6 +7,7 @@ says so and changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from contextlib import suppress
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -69,8 +70,10 @@ def db_stage_load(
 class Warehouse:
     """Loads into and reports from the tables of one store."""
 
-    def __init__(self, store: Store):
+    def __init__(self, store: Store, compact_after: int = 50):
+        """A history is compacted once its latest version is read from more than ``compact_after`` loads."""
         self.store = store
+        self.compact_after = compact_after
         self.spark = store.spark
 
     def _staged(self, rows: DataFrame, table: str) -> DataFrame:
@@ -91,6 +94,12 @@ class Warehouse:
         """The drops that no committed load of the table has taken."""
         return file_ledger(list_dated_files(self.spark, folder, prefix, suffix), self.store.commits(table))
 
+    def _compact(self, dim: Dimension) -> None:
+        """Compact a history that is due; if another load commits meanwhile, a later one will do it."""
+        if self.store.loads_since_compaction(dim) >= self.compact_after:
+            with suppress(Overtaken):
+                self.store.compact_history(dim)
+
     def load_bank_table(self, dim: Dimension, source: DataFrame, *, as_of: datetime) -> Outcome:
         """Accounts, cards or clients from the bank's table."""
         return self._until_committed(lambda: self._load_bank_table(dim, source, as_of))
@@ -105,6 +114,7 @@ class Warehouse:
         one = self.spark.range(1).select(ntz(watermark).alias("integrated_dt"))
         latest = max_watermark(stage, active, one, key=dim.key).first().integrated_dt
         self.store.commit_history(dim, loaded, latest)
+        self._compact(dim)
         return Outcome(dim.table, LOADED, loaded.rows)
 
     def load_terminals(self, folder: str) -> Outcome:
@@ -124,6 +134,7 @@ class Warehouse:
         active = stage.select(TERMINALS.key)
         loaded = self.store.load_history(TERMINALS, stage, active, as_of=effective)
         self.store.commit_history(TERMINALS, loaded, file.file_dt, file.file_name)
+        self._compact(TERMINALS)
         return Outcome(TERMINALS.table, LOADED, loaded.rows, file.file_name)
 
     def load_transactions(self, folder: str) -> Outcome:

@@ -9,7 +9,8 @@ done again. A load that dies leaves a folder without a commit, which readers ign
 
 A history is kept as versions: the current rows are written anew by each load, the
 settled rows (closed or deleted) are only ever added to. Both are partitions, so reading
-a version prunes the rest. :meth:`Store.compact_history` writes all rows as one version, from which later ones count.
+a version prunes the rest. The files are bucketed by key, so a load shuffles the stage but neither the current rows nor the keys of
+the settled ones. :meth:`Store.compact_history` writes all rows as one version, from which later ones count.
 
 Facts and reports are kept by load: the day of a file, the time of a report. Of a load that
 was done again the latest committed version counts, also if it is empty.
@@ -17,6 +18,7 @@ was done again the latest committed version counts, also if it is empty.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Mapping, Sequence
@@ -288,32 +290,54 @@ class Store:
             version, _ = self.latest(dim.table)
         return self._rows(dim, version)[0].select(*dim.columns)
 
+    def _table(self, dim: Dimension) -> str:
+        """The catalogue's name of the history's files, bucketed by key; made where the catalogue does not know it yet."""
+        path = self.path(dim.table, "rows")
+        name = f"history_{hashlib.sha256(path.encode()).hexdigest()[:32]}"
+        buckets = self._buckets(dim)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({dim.history_ddl}, attempt STRING, part STRING) USING parquet "
+            f"PARTITIONED BY (attempt, part) CLUSTERED BY ({dim.key}) SORTED BY ({dim.key}) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        return name
+
+    def _buckets(self, dim: Dimension) -> int:
+        """The number of buckets of a history: fixed when it is first written, in a file that is created once."""
+        path = self.path(dim.table, "buckets", "number.json")
+        own = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if create_once(self.spark, path, json.dumps({"buckets": own}) + "\n"):
+            return own
+        return self.spark.read.schema("buckets int").json(path).first().buckets
+
     def _rows(self, dim: Dimension, version: int) -> tuple[DataFrame, int]:
         """The rows of a version, with their part, and the version they count from. The filter is on partitions only.
 
         The driver sees one row per load since the history was compacted.
         """
-        rows = _read_or_empty(
-            self.spark, f"{dim.history_ddl}, attempt string, part string", self.path(dim.table, "rows")
-        )
         commits = self.commits(dim.table)
         base = F.lit(commits.filter(F.col("version") == version).agg(F.max("base")).first()[0] or 1)
         of = commits.filter(F.col("version").between(base, F.lit(version))).select("version", "attempt", "base").collect()
-        settled = F.col("attempt").isin([row.attempt for row in of]) & (F.col("part") == "settled")
-        current = F.col("attempt").isin([row.attempt for row in of if row.version == version]) & (F.col("part") == "current")
-        return rows.filter(current | settled), next((row.base for row in of if row.version == version), 1)
+        parts = [(row.attempt, "settled") for row in of] + [(row.attempt, "current") for row in of if row.version == version]
+        there = [(a, p) for a, p in parts if exists(self.spark, self.path(dim.table, "rows", f"attempt={a}", f"part={p}"))]
+        if not there:
+            return self.spark.createDataFrame([], f"{dim.history_ddl}, part string"), 1
+        name = self._table(dim)
+        added = " ".join(f"PARTITION (attempt = '{a}', part = '{p}')" for a, p in there)
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+        settled = F.col("attempt").isin([a for a, p in there if p == "settled"]) & (F.col("part") == "settled")
+        current = F.col("attempt").isin([a for a, p in there if p == "current"]) & (F.col("part") == "current")
+        return self.spark.table(name).filter(current | settled), next((r.base for r in of if r.version == version), 1)
 
     def _write_history(self, dim: Dimension, rows: DataFrame) -> tuple[str, int]:
-        """Write rows by part under a new attempt. The constraints of a history are counted as its rows are
+        """Write rows by part and bucket under a new attempt. The constraints of a history are counted as its rows are
         written; one that is broken fails the load."""
         attempt, seen = new_attempt(), Observation()
         rules = history_rules(dim.key)
         counted = rows.observe(
             seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(~rule).alias(name) for name, rule in rules.items()]
         )
-        counted.withColumn("part", F.when(is_current(), F.lit("current")).otherwise(F.lit("settled"))).write.partitionBy(
-            "part"
-        ).parquet(self.path(dim.table, "rows", f"attempt={attempt}"))
+        part = F.when(is_current(), F.lit("current")).otherwise(F.lit("settled"))
+        counted.select(*dim.columns, F.lit(attempt).alias("attempt"), part.alias("part")).write.insertInto(self._table(dim))
         counts = seen.get
         rows_written = counts.pop("rows")
         if broken := [f"{name}: {n}" for name, n in counts.items() if n]:
@@ -352,7 +376,7 @@ class Store:
     def import_history(self, dim: Dimension, rows: DataFrame, watermark: datetime) -> int:
         """Commit a whole history, as it is, as the next version. It replaces what was there."""
         version, _ = self.latest(dim.table)
-        attempt, count = self._write_history(dim, rows.select(*dim.columns))
+        attempt, count = self._write_history(dim, rows.select(*dim.columns).hint("rebalance", dim.key))
         self.commit_history(dim, Loaded(version + 1, count, attempt, version + 1), watermark)
         return count
 
@@ -366,3 +390,8 @@ class Store:
         attempt, count = self._write_history(dim, rows)
         self.commit_history(dim, Loaded(version + 1, count, attempt, version + 1), watermark)
         return count
+
+    def loads_since_compaction(self, dim: Dimension) -> int:
+        """How many versions the latest one is read from."""
+        row = self.commits(dim.table).agg(F.max_by(F.col("version") - F.col("base"), "version").alias("n")).first()
+        return row.n or 0
