@@ -20,6 +20,7 @@ from vaultline.llm.common import materialise, per_worker
 CAPACITY = 2048
 # The id after the last token of each document.
 END = 1
+LAST = END.to_bytes(4, "little")
 # Entries of the hashed vector of a document, dimensions it is projected to, and bits of the curve per dimension.
 ENTRIES = 1024
 DIMENSIONS = 4
@@ -67,6 +68,7 @@ class ByteEncoder:
             and not any(re.search(r"\s", t.content) or t.lstrip or t.rstrip or t.single_word for t in added)
         )
         self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
         self.words, self.opens = _merger(json.loads(self.tokenizer.to_str())["model"]) if self.splits else (None, None)
 
     def _word_ids(self, words: list[str]) -> Iterator[bytes]:
@@ -90,21 +92,32 @@ class ByteEncoder:
         """The ids of each text, little-endian, four bytes each."""
         if not self.splits:
             return list(self._ids(texts))
-        known = self.known
-        cut = [_units(text) for text in texts]
-        new = {unit for units in cut for unit in units if unit not in known}
+        known, spaced = self.known, self.spaced
+        # Most texts are parts with one space between, which are looked up without it.
+        parts = [None if UNSAFE.search(text) else text.split(" ") for text in texts]
+        cut = [BOUNDARY.split(text) if own is None else own[:1] for text, own in zip(texts, parts, strict=True)]
+        tails = [own[1:] if own else [] for own in parts]
+        lone = set().union(*cut).difference(known)
+        behind = set().union(*tails).difference(spaced)
+        new = lone.union(" " + part for part in behind)
         ends = {unit: found.groups() for unit in new if (found := MARKED.fullmatch(unit)) and found[1].strip(" ").isalpha()}
-        parts = {part for pair in ends.values() for part in pair if part not in known}
-        plain = (new - ends.keys()) | parts
+        plain = (new - ends.keys()).union(*ends.values())
         words = [unit for unit in plain if LETTERS.fullmatch(unit)] if self.words else []
-        known.update(zip(words, self._word_ids(words), strict=True))
+        found = dict(zip(words, self._word_ids(words), strict=True))
         others = list(plain.difference(words))
-        known.update(zip(others, self._ids(others), strict=True))
-        known.update((unit, known[stem] + known[marks]) for unit, (stem, marks) in ends.items())
-        encoded = [b"".join(map(known.__getitem__, units)) for units in cut]
-        if len(known) > REMEMBERED:  # frequent units came first; the new ones are rare
-            for unit in new | parts:
+        found.update(zip(others, self._ids(others), strict=True))
+        found.update((unit, found[stem] + found[marks]) for unit, (stem, marks) in ends.items())
+        known.update((unit, found[unit]) for unit in lone)
+        spaced.update((part, found[" " + part]) for part in behind)
+        encoded = [
+            b"".join([*map(known.__getitem__, own), *map(spaced.__getitem__, tail)])
+            for own, tail in zip(cut, tails, strict=True)
+        ]
+        if len(known) + len(spaced) > REMEMBERED:  # frequent units came first; the new ones are rare
+            for unit in lone:
                 del known[unit]
+            for part in behind:
+                del spaced[part]
         return encoded
 
 
@@ -132,23 +145,21 @@ def _merger(model: dict[str, object]):
     return tiktoken.Encoding("words", pat_str=r" ?\p{L}+", mergeable_ranks=ranks, special_tokens={}), opens
 
 
-def _units(text: str) -> list[str]:
-    if UNSAFE.search(text):
-        return BOUNDARY.split(text)
-    first, *others = text.split(" ")
-    return [first, *[" " + part for part in others]]
-
-
 def projection(entries: int = ENTRIES, dimensions: int = DIMENSIONS) -> np.ndarray:
     """Random signs, the same on every machine: each entry's direction in the space of few dimensions."""
     return np.random.RandomState(SEED).choice([-1.0, 1.0], (entries, dimensions))
 
 
-def hashed_vector(ids: np.ndarray, entries: int = ENTRIES) -> np.ndarray:
+def slots_of(vocabulary: int, entries: int = ENTRIES) -> np.ndarray:
+    """The entry of the hashed vector that each token id falls in."""
+    ids = np.arange(vocabulary, dtype=np.uint32)
+    return ((ids * ODD) >> np.uint32(32 - (entries - 1).bit_length())).astype(np.intp)
+
+
+def hashed_vector(ids: np.ndarray, slots: np.ndarray, entries: int = ENTRIES) -> np.ndarray:
     """Counts of the tokens by the hash of their id, damped by the root, of length 1; zero without tokens."""
-    slots = (ids.astype(np.uint32) * ODD) >> np.uint32(32 - (entries - 1).bit_length())
-    vector = np.sqrt(np.bincount(slots, minlength=entries)[:entries])
-    return vector / max(np.linalg.norm(vector), 1.0)
+    # The squares of roots are the counts, which add up to the number of tokens.
+    return np.sqrt(np.bincount(slots[ids], minlength=entries) / max(1, len(ids)))
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -194,13 +205,13 @@ def encoded_documents(docs: DataFrame, tokenizer_file: str, id_column: str = "do
 
         encoder = per_worker(f"bytes {tokenizer_file}", lambda: ByteEncoder(tokenizer_file))
         narrow = _narrow(encoder.tokenizer.get_vocab_size())
-        directions = projection()
+        directions, slots = projection(), slots_of(encoder.tokenizer.get_vocab_size())
         row_id = TaskContext.get().partitionId() << 40
 
         def encoded(doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
             nonlocal row_id
-            ids = [np.append(np.frombuffer(found, "<u4"), np.uint32(END)) for found in encoder.encode(texts)]
-            keys = curve_keys(np.array([hashed_vector(own[:-1]) for own in ids]) @ directions)
+            ids = [np.frombuffer(found + LAST, "<u4") for found in encoder.encode(texts)]
+            keys = curve_keys(np.array([hashed_vector(own[:-1], slots) for own in ids]) @ directions)
             arrays = [pa.array(np.arange(row_id, row_id + len(ids))), doc_ids, pa.array(keys)]
             arrays += [pa.array(list(map(len, ids)), pa.int64()), pa.array([own.astype(narrow).tobytes() for own in ids], pa.binary())]
             row_id += len(ids)
