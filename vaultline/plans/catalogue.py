@@ -1355,7 +1355,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two reports of one day stay both; of one built again the later counts, also if it is empty, and
     one that died before its commit does not."""
     store, table_name = Store(spark, scratch_dir(spark, "store")), "report"
-    rules = each_rule(spark, sf_dir)
+    # Each rule is computed once, however often it is written.
+    rules = [stage_overwrite(rule, scratch_dir(spark, "rule")) for rule in each_rule(spark, sf_dir)]
     first = datetime.fromisoformat(REPORT_DT)
 
     def at(rows: DataFrame, report_dt: datetime) -> DataFrame:
