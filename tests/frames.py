@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import datetime
 from decimal import Decimal
 
@@ -53,3 +54,16 @@ def terminals(spark, *rows):
 
 def blacklist(spark, *rows):
     return spark.createDataFrame([(p, ts(t)) for p, t in rows], schemas.BLACKLIST_DDL)
+
+
+@contextmanager
+def settings(spark, **conf):
+    names = {name.replace("__", "."): value for name, value in conf.items()}
+    old = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

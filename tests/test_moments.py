@@ -8,6 +8,7 @@ from decimal import Decimal
 
 import frames
 import pytest
+from frames import settings
 
 from vaultline.operators import moments
 from vaultline.schemas import TRANSACTIONS_DDL
@@ -138,7 +139,9 @@ def test_loose_chain(spark, seed):
     assert {r.trans_id for r in strict.collect()} < set(expected)
 
 
-def test_lag_back(spark):
+@pytest.mark.parametrize("partitions", [1, 8, 200])
+def test_lag_back(spark, tmp_path, partitions):
+    """One slot, some, and as many as a slot for nearly each row."""
     rows = random_rows(5)
     expected = {}
     for operations in by_card(rows).values():
@@ -147,10 +150,13 @@ def test_lag_back(spark):
                 operations[i - k][4] if i >= k else None for k in (1, 2, 3)
             )
     tx = spark.createDataFrame(rows, TRANSACTIONS_DDL)
-    found = moments.lag_back(
-        tx, key="card_num", ts="trans_date", tie="trans_id", columns=["amt"], width=1_800
-    )
-    result = {r.trans_id: (r.amt_back_1, r.amt_back_2, r.amt_back_3) for r in found.collect()}
+    with settings(
+        spark, spark__sql__shuffle__partitions=partitions, spark__sql__adaptive__coalescePartitions__enabled=False
+    ):
+        found = moments.lag_back(
+            tx, key="card_num", ts="trans_date", tie="trans_id", columns=["amt"], store=str(tmp_path / "slots")
+        ).collect()
+    result = {r.trans_id: (r.amt_back_1, r.amt_back_2, r.amt_back_3) for r in found}
     assert result == expected
 
 

@@ -2,31 +2,17 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import pytest
+from frames import settings
 from pyspark.sql import functions as F
 
+from vaultline.functions.columns import id_order
 from vaultline.operators import moments
 from vaultline.operators.asof import asof_dim_join
 from vaultline.plans import fraud, testbank
 
 SF_DIR = "/root/testdata/sf0.1"
 
-
-@contextmanager
-def settings(spark, **conf):
-    names = {name.replace("__", "."): value for name, value in conf.items()}
-    old = {name: spark.conf.get(name, None) for name in names}
-    try:
-        for name, value in names.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in old.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 SMALL_PARTITIONS = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
     "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
@@ -141,13 +127,26 @@ def test_a_hot_second_is_written_by_many_tasks(spark):
     assert len(tasks) > 1
 
 
-def test_lag_windows_of_a_hot_card_are_cut(spark):
-    """The windows of ``lag_back`` are per card and slot of its default width."""
+@pytest.mark.parametrize("span", ["days", "minute", "second"])
+def test_lag_windows_of_a_hot_card_are_cut(spark, tmp_path, span):
+    """A third of all rows are one card's: over days, all in one minute, all in one second."""
+    second = {"days": None, "minute": F.col("trans_id").cast("int") % 60, "second": F.lit(7)}[span]
     tx = hot_transactions(spark).select("trans_id", "card_num", "trans_date", "amt")
-    slot = F.floor(F.unix_timestamp(F.col("trans_date").cast("timestamp")) / moments.MINUTE)
-    largest = tx.groupBy("card_num", slot).count().agg(F.max("count")).first()[0]
-    assert largest < tx.count() / 3_000
-    lagged = moments.lag_back(tx, key="card_num", ts="trans_date", tie="trans_id", columns=["amt"], n=1)
-    hot = lagged.filter("card_num = 'C7'").select("trans_date", "trans_id", "amt", "amt_back_1").collect()
+    if second is not None:
+        pressed = F.expr("timestamp_ntz'2024-01-15 12:00:00'") + F.make_dt_interval(secs=second)
+        tx = tx.withColumn("trans_date", F.when(F.col("card_num") == "C7", pressed).otherwise(F.col("trans_date")))
+    options = {**SMALL_PARTITIONS, "spark__sql__shuffle__partitions": "32"}
+    with settings(spark, **options):
+        slots = moments.in_equal_slots(
+            tx.withColumn("_order", id_order("trans_id")), "card_num", "trans_date", "_order",
+            store=str(tmp_path / "slots"),
+        )
+        largest = slots.groupBy("card_num", "_slot").count().agg(F.max("count")).first()[0]
+        assert largest < slots.count() / 32 * 2
+        lagged = moments.lag_back(
+            tx, key="card_num", ts="trans_date", tie="trans_id", columns=["amt"], n=1, store=str(tmp_path / "lagged")
+        )
+        hot = lagged.filter("card_num = 'C7'").select("trans_date", "trans_id", "amt", "amt_back_1").collect()
+    assert len(hot) > tx.count() / 4
     hot.sort(key=lambda r: (r.trans_date, int(r.trans_id)))
     assert [r.amt_back_1 for r in hot] == [None, *[r.amt for r in hot[:-1]]]

@@ -212,6 +212,17 @@ def decreasing_chain(
     return tx.join(ends, same, "left_semi")
 
 
+def in_equal_slots(rows: DataFrame, *by: str, store: str) -> DataFrame:
+    """Number the rows (``_slot``) by ranges of about equal size in the order of ``by``.
+
+    The ranges come from a sample of all rows, so a key, and a second of a key, that holds many
+    rows lies in many slots; only rows that are equal in all of ``by`` share one. They are
+    written to ``store``, as another sample could cut them elsewhere.
+    """
+    ranged = rows.repartitionByRange(*by).withColumn("_slot", F.spark_partition_id())
+    return _stored(ranged, store)
+
+
 def lag_back(
     tx: DataFrame,
     *,
@@ -219,22 +230,22 @@ def lag_back(
     ts: str,
     tie: str,
     columns: Sequence[str],
+    store: str,
     n: int = 3,
-    width: int = MINUTE,
 ) -> DataFrame:
     """Add ``{column}_back_{k}``: the value of the key's k-th operation before, k = 1..n.
 
     There is no time limit here, so each slot receives the last ``n`` operations of the
-    slots before it. These come from a summary with one small row per key and slot; the
-    only window that sees a whole key runs over that summary. A slot is a minute, so a window over
-    raw rows sees what one key does in a minute, however much of all rows it holds.
+    slots before it. These come from a summary with one row per key and slot. A window over
+    operations sees one slot, and the one over the summary as many rows as there are slots, however
+    much of all rows a key holds and however close in time. ``store`` is a folder for the
+    operations by slot.
     """
-    slot = F.floor(seconds_since_beginning(ts) / F.lit(width)).alias("_slot")
-    tx = tx.withColumn("_order", id_order(tie))
+    tx = in_equal_slots(tx.withColumn("_order", id_order(tie)), key, ts, "_order", store=store)
     carried_columns = list(dict.fromkeys([ts, "_order", *columns]))
     ordered = Window.partitionBy(key, "_slot").orderBy(ts, "_order")
     tails = (
-        tx.select(key, slot, *carried_columns)
+        tx.select(key, "_slot", *carried_columns)
         .withColumn("_more", F.lead(F.lit(True), n).over(ordered))
         .filter(F.col("_more").isNull())
         .groupBy(key, "_slot")
@@ -253,9 +264,7 @@ def lag_back(
         .select(key, "_slot", F.explode("_before").alias("_entry"))
         .select(key, "_slot", "_entry.*", F.lit(False).alias("_home"))
     )
-    rows = tx.select("*", slot, F.lit(True).alias("_home")).unionByName(
-        carried, allowMissingColumns=True
-    )
+    rows = tx.withColumn("_home", F.lit(True)).unionByName(carried, allowMissingColumns=True)
     lagged = [
         F.lag(column, back).over(ordered).alias(f"{column}_back_{back}")
         for column in columns

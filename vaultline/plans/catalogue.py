@@ -630,7 +630,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["oper_type", "oper_result", "trans_date", "amt"]
     lagged = moments.lag_back(
         testbank.transactions(spark, sf_dir), key="card_num", ts="trans_date", tie="trans_id",
-        columns=columns,
+        columns=columns, store=scratch_dir(spark, "slots"),
     ).drop("oper_type", "oper_result", "amt", "terminal")
     return as_text(lagged, "amt_back_1", "amt_back_2", "amt_back_3")
 
