@@ -78,7 +78,7 @@ def stage_snapshot(rows: DataFrame, dim: Dimension, effective: datetime | str) -
     )
 
 
-def stage_transactions(rows: DataFrame, *kept: str) -> DataFrame:
+def stage_transactions(rows: DataFrame, *kept: Column | str) -> DataFrame:
     """Text cells of a transaction file as fact columns, with the ``kept`` columns as they are."""
     return rows.select(
         blank_to_null("transaction_id").alias("trans_id"),

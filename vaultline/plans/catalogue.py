@@ -63,6 +63,7 @@ from vaultline.sources.delimited import header_contract, scan_delimited
 from vaultline.sources.store import Store, stage_overwrite
 from vaultline.sources.tables import src_active_keys, src_incremental, staged_keys
 from vaultline.sources.workbook import scan_workbook
+from vaultline.streaming.intake import TransactionIntake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1258,6 +1259,30 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_ledger(drops, store.commits("fact")).drop("path")
 
 
+@query(
+    "file_intake",
+    with_tables(
+        FILE_SQL,
+        select="""SELECT CAST(transaction_id AS VARCHAR) AS trans_id, CAST(transaction_date AS TIMESTAMP) AS trans_date,
+  card_num, oper_type, CAST(CAST(replace(amount, ',', '.') AS DECIMAL(14,4)) AS VARCHAR) AS amt, oper_result, terminal,
+  CAST(day AS VARCHAR) AS load_date FROM file WHERE event_id % 100 <> 0""",
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as drops of a day, of which parts come later, taken as a stream that archives them; the
+    first run dies before its commit."""
+    folder, store = scratch_dir(spark, "drops"), Store(spark, scratch_dir(spark, "store"))
+    rows = _file_rows(spark, sf_dir).withColumn("drop", _drop_name()).hint("rebalance", "drop")
+    for wave in (F.col("event_id") % 3 < 2, F.col("event_id") % 3 == 2):
+        rows.filter(wave).drop("event_id", "day").write.mode("append").partitionBy("drop").csv(
+            folder, sep=";", header=True, quote="", nullValue="", emptyValue=""
+        )
+        intake = TransactionIntake(store, folder, table="fact", archive=f"{folder}-taken")
+        intake.take()  # A run that dies here leaves its files to the next.
+        intake.run()
+    return as_text(store.read_fact("fact", TRANSACTIONS_DDL), "amt", "load_date")
+
+
 @query(
     "constraints",
     with_tables(

@@ -45,6 +45,7 @@ from vaultline.sources.delimited import scan_delimited
 from vaultline.sources.store import TRIES, Overtaken, Store, new_attempt, stage_overwrite
 from vaultline.sources.tables import src_incremental, staged_keys
 from vaultline.sources.workbook import scan_workbook
+from vaultline.streaming.intake import TransactionIntake
 
 LOADED, NOTHING_TO_LOAD = "loaded", "nothing to load"
 
@@ -92,7 +93,8 @@ class Warehouse:
 
     def _new_files(self, table: str, folder: str, prefix: str, suffix: str) -> DataFrame:
         """The drops that no committed load of the table has taken."""
-        return file_ledger(list_dated_files(self.spark, folder, prefix, suffix), self.store.commits(table))
+        files = self.store.loaded_files(table).select(F.substring_index("file_name", "/", 1).alias("file_name"))
+        return file_ledger(list_dated_files(self.spark, folder, prefix, suffix), files)
 
     def _compact(self, dim: Dimension) -> None:
         """Compact a history that is due; if another load commits meanwhile, a later one will do it."""
@@ -151,6 +153,10 @@ class Warehouse:
             )
         )
 
+    def stream_transactions(self, folder: str, archive: str | None = None, **options) -> list[int]:
+        """All new transaction files of any day, as a stream; gives the versions committed. Takes the options of ``TransactionIntake``."""
+        return TransactionIntake(self.store, folder, archive=archive, **options).run()
+
     def load_blacklist(self, folder: str) -> Outcome:
         """The next passport blacklist; entries dated before the file are left out."""
         columns = dict(zip(BLACKLIST_FILE_COLUMNS, ("string", "timestamp_ntz"), strict=True))

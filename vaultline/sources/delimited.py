@@ -21,6 +21,12 @@ def header_contract(found: Iterable[str], expected: Sequence[str], where: str) -
         raise HeaderError(f"{where}: columns {missing} not in header {found}")
 
 
+def text_options(sep: str) -> dict[str, object]:
+    """How such text is read: quotes and backslashes are ordinary characters, a line with a wrong
+    number of cells fails, and so does a file whose header is not that of the others."""
+    return {"sep": sep, "header": True, "quote": "", "escape": "", "inferSchema": False, "enforceSchema": False, "mode": "FAILFAST"}
+
+
 def scan_delimited(
     spark: SparkSession, path: str, columns: Sequence[str], *, sep: str = ";"
 ) -> DataFrame:
@@ -29,15 +35,6 @@ def scan_delimited(
     ``path`` is one dated file, or a folder of files with the same header. Quotes and
     backslashes are ordinary characters; a line with a wrong number of cells fails.
     """
-    rows = spark.read.csv(
-        path,
-        sep=sep,
-        header=True,
-        quote="",
-        escape="",
-        inferSchema=False,
-        enforceSchema=False,
-        mode="FAILFAST",
-    )
+    rows = spark.read.options(**text_options(sep)).csv(path)
     header_contract(rows.columns, columns, path)
     return skip_empty_rows(rows).select(*[f"`{name}`" for name in columns])

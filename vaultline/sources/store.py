@@ -36,7 +36,7 @@ from vaultline.session import create_once, exists, remove_older
 
 COMMITS_DDL = (
     "sch_name string, tbl_name string, integrated_dt timestamp_ntz, rows_written bigint, "
-    "file_name string, loads array<string>, version int, attempt string, base int, "
+    "file_name string, files array<string>, loads array<string>, version int, attempt string, base int, "
     "events array<struct<load:string,first:timestamp_ntz,last:timestamp_ntz>>, inputs map<string,int>"
 )
 # How often a load that meets others is tried.
@@ -131,6 +131,7 @@ class Store:
         file_name: str | None = None,
         loads: Sequence[str] = (),
         *,
+        files: Sequence[str] = (),
         attempt: str | None = None,
         base: int = 1,
         events: Sequence[tuple[str, str, str]] = (),
@@ -143,6 +144,7 @@ class Store:
             "integrated_dt": f"{watermark:%Y-%m-%dT%H:%M:%S.%f}",
             "rows_written": rows_written,
             "file_name": file_name,
+            "files": list(files),
             "loads": list(loads),
             "version": version,
             "attempt": attempt,
@@ -171,6 +173,31 @@ class Store:
             return version + 1
         raise Overtaken(f"{table}: no free version in {TRIES} tries")
 
+    def loaded_files(self, table: str) -> DataFrame:
+        """The ledger: ``file_name`` of each file that a commit names."""
+        commits = self.commits(table)
+        return (
+            commits.select("file_name").filter(F.col("file_name").isNotNull())
+            .unionByName(commits.select(F.explode("files").alias("file_name")))
+            .distinct()
+        )
+
+    def commit_files(self, table: str, written: Written, watermark: datetime, files: Sequence[str]) -> int:
+        """Commit rows of some files under the next free version, unless another commit names one of the files: then :class:`Overtaken`."""
+        for _try in range(TRIES):
+            version, latest = self.latest(table)
+            if not self.loaded_files(table).filter(F.col("file_name").isin(list(files))).isEmpty():
+                raise Overtaken(f"{table}: some of {len(files)} files have been loaded meanwhile")
+            try:
+                self.commit(
+                    table, version + 1, max(latest, watermark), written.rows, loads=written.loads, files=files,
+                    attempt=written.attempt, events=written.events,
+                )
+            except Overtaken:
+                continue
+            return version + 1
+        raise Overtaken(f"{table}: no free version in {TRIES} tries")
+
     def vacuum(self, table: str, before: datetime) -> list[str]:
         """Remove what attempts have written that no commit names, if it was not changed since ``before``.
 
