@@ -150,3 +150,18 @@ def test_lag_windows_of_a_hot_card_are_cut(spark, tmp_path, span):
     assert len(hot) > tx.count() / 4
     hot.sort(key=lambda r: (r.trans_date, int(r.trans_id)))
     assert [r.amt_back_1 for r in hot] == [None, *[r.amt for r in hot[:-1]]]
+
+
+def test_loose_chains_of_a_hot_card_hold_no_arrays(spark):
+    """A card with an operation each second: windows carry running values, none gathers a frame."""
+    tx = spark.range(60_000).select(
+        F.col("id").cast("string").alias("trans_id"),
+        (F.expr("timestamp_ntz'2024-01-15 00:00:00'") + F.make_dt_interval(secs=F.col("id"))).alias("trans_date"),
+        F.lit("C7").alias("card_num"), F.lit("PAYMENT").alias("oper_type"),
+        F.expr("cast(case when id % 1200 = 1199 then 1 else 5 - floor(id % 1200 / 300) end as decimal(14,4))").alias("amt"),
+        F.when(F.col("id") % 1200 == 1199, "SUCCESS").otherwise("REJECT").alias("oper_result"),
+        F.lit("T").alias("terminal"),
+    )
+    found = moments.loose_chain(tx, key="card_num", ts="trans_date", amount="amt")
+    assert {int(r.trans_id) for r in found.collect()} == set(range(1199, 60_000, 1200))
+    assert "collect_list" not in executed(found)

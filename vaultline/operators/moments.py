@@ -12,7 +12,7 @@ moment (distinct time of a card). So:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -273,9 +273,47 @@ def lag_back(
     return rows.select("*", *lagged).filter("_home").drop("_home", "_slot", "_order")
 
 
-def _latest(history: str, matches: Callable[[Column], Column]) -> Column:
-    """The last element that matches, or NULL."""
-    return F.try_element_at(F.filter(history, matches), F.lit(-1))
+def _with_nearest(
+    rows: DataFrame, *, key: str, candidate: Column, upper: Column, level: Column, carried: Column
+) -> DataFrame:
+    """Add what ``_nearest_above`` needs to find, before each moment, the latest candidate above some bound.
+
+    ``_last`` is the latest candidate before the moment, ``_gap_low`` and ``_gap_spoiled`` sum up what lies between, and ``_above`` is
+    the candidate before the run of equal ones that ends with ``_last``, if nothing in between undercuts or spoils
+    the run. ``level`` is the amount of a candidate whose moment holds no other, else NULL. Each is a running value: one
+    pass per slot, no row looks back over a frame.
+    """
+    ordered = Window.partitionBy(key, "_slot").orderBy("_second")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    known = [name for name in rows.columns if name not in ("_last", "_passed", "_gap_low", "_gap_spoiled", "_above")]
+    facts = F.struct(upper.alias("upper"), level.alias("level"), carried.alias("carried"))
+    rows = rows.select(
+        *known,
+        F.last(F.when(candidate, facts), ignorenulls=True).over(before).alias("_last"),
+        F.coalesce(F.count(F.when(candidate, True)).over(before), F.lit(0)).alias("_passed"),
+    )
+    gap = Window.partitionBy(key, "_slot", "_passed").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select(
+        "*",
+        F.min("_low").over(gap).alias("_gap_low"),
+        F.coalesce(F.max("_spoils").over(gap), F.lit(False)).alias("_gap_spoiled"),
+    )
+    begins = F.coalesce(level != F.col("_last.level"), F.lit(True))
+    broken = F.col("_gap_spoiled") | F.coalesce(F.col("_gap_low") < level, F.lit(False))
+    turn = F.when(candidate & (begins | broken), F.struct(F.when(~broken, F.col("_last")).alias("at")))
+    return rows.select("*", F.last(turn, ignorenulls=True).over(before)["at"].alias("_above"))
+
+
+def _nearest_above(bound: Column) -> Column:
+    """``carried`` of the latest candidate above ``bound``, if no moment after it undercuts the bound or spoils; else NULL.
+
+    That candidate is the latest one of all, or the latest one is equal to the bound and this is the one before its run; any other
+    would undercut.
+    """
+    clean = ~F.col("_gap_spoiled") & F.coalesce(F.col("_gap_low") >= bound, F.lit(True))
+    return F.when(clean & (F.col("_last.upper") > bound), F.col("_last.carried")).when(
+        clean & (F.col("_last.level") == bound) & (F.col("_above.upper") > bound), F.col("_above.carried")
+    )
 
 
 def loose_chain(
@@ -299,14 +337,14 @@ def loose_chain(
 
     An attempt can be the next one of a chain if the latest larger attempt before it is not
     older than the latest operation that spoils it. Taking the latest one never loses a
-    chain: any chain through an older one also fits the later one, and starts no later.
-    So each moment looks once over the moments in reach, at most one per second.
+    chain: any chain through an older one also fits the later one, and starts no later. So every moment
+    carries the start of its latest chain of two, then of three; whether that is in time is asked at the end.
     """
     counted, result, value = F.col(oper_type).isin(*types), F.col(oper_result), F.col(amount)
     attempt = counted & (result == REJECTED)
     accepted = counted & (result == ACCEPTED)
     spoils = F.coalesce(~counted, F.lit(False)) | F.coalesce(result != REJECTED, F.lit(False))
-    moments = tx.groupBy(key, ts).agg(
+    moments = tx.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key, ts).agg(
         F.max(spoils).alias("_spoils"),
         F.min(amount).alias("_low"),
         F.min(F.when(attempt, value)).alias("_attempt_low"),
@@ -316,45 +354,22 @@ def loose_chain(
     rows = in_slots(moments, ts=ts, reach=within, width=width).withColumn(
         "_second", seconds_since_beginning(ts)
     )
-    ordered = Window.partitionBy(key, "_slot").orderBy("_second").rangeBetween(-within, -1)
-    is_attempt = ~F.col("_spoils") & (F.col("_attempt_low") == F.col("_low"))
-
-    def spoiler(history: str, bound: Column) -> Column:
-        found = _latest(history, lambda m: m["_spoils"] | (m["_low"] < bound))
-        return F.coalesce(found["_second"], F.lit(-1))
-
-    def follows(found: Column, history: str, bound: Column) -> Column:
-        return found["_second"] >= spoiler(history, bound)
-
-    facts = ["_second", "_spoils", "_low"]
-    bound = F.col("_attempt_low")
-    rows = rows.withColumn("_past", F.collect_list(F.struct(*facts, "_attempt_high")).over(ordered))
-    first = _latest("_past", lambda m: m["_attempt_high"] > bound)
-    rows = rows.withColumn(
-        "_start_2", F.when(is_attempt & follows(first, "_past", bound), first["_second"])
-    ).drop("_past")
-    rows = rows.withColumn(
-        "_past", F.collect_list(F.struct(*facts, "_attempt_low", "_start_2")).over(ordered)
-    )
-    second = _latest("_past", lambda m: m["_start_2"].isNotNull() & (m["_attempt_low"] > bound))
-    rows = rows.withColumn(
-        "_start_3", F.when(is_attempt & follows(second, "_past", bound), second["_start_2"])
-    ).drop("_past")
-    rows = rows.withColumn(
-        "_past", F.collect_list(F.struct(*facts, "_attempt_low", "_start_3")).over(ordered)
-    ).filter(F.col("_home") & F.col("_accepted"))
-    # Only what follows the first chain still in time can decide; few moments have one at all.
-    in_time = F.filter("_past", lambda m: m["_start_3"] >= F.col("_second") - within)
-    rows = rows.withColumn("_since", F.try_element_at(in_time, F.lit(1))["_second"]).filter(
-        F.col("_since").isNotNull()
-    )
-    rows = rows.withColumn("_past", F.filter("_past", lambda m: m["_second"] >= F.col("_since")))
-
-    ends = tx.filter(accepted).join(
-        rows.select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), "_second", "_past"),
-        (F.col("_key") == tx[key]) & (F.col("_ts") == tx[ts]),
+    low, high = F.col("_attempt_low"), F.col("_attempt_high")
+    is_attempt = ~F.col("_spoils") & (low == F.col("_low"))
+    rows = _with_nearest(
+        rows, key=key, candidate=high.isNotNull(), upper=high,
+        level=F.when(~F.col("_spoils") & (high == F.col("_low")), high), carried=F.col("_second"),
+    )
+    for start in ("_start_2", "_start_3"):
+        rows = rows.withColumn(start, F.when(is_attempt, _nearest_above(low)))
+        rows = _with_nearest(
+            rows, key=key, candidate=F.col(start).isNotNull(), upper=low, level=low, carried=F.col(start)
+        )
+    in_time = F.col("_second") - within
+    started = F.greatest("_last.carried", "_above.carried") >= in_time
+    facts = ["_second", "_gap_low", "_gap_spoiled", "_last", "_above"]
+    rows = rows.filter(F.col("_home") & F.col("_accepted") & started).select(
+        F.col(key).alias("_key"), F.col(ts).alias("_ts"), *facts
     )
-    third = _latest("_past", lambda m: m["_start_3"].isNotNull() & (m["_attempt_low"] > value))
-    return ends.filter(
-        follows(third, "_past", value) & (third["_start_3"] >= F.col("_second") - within)
-    ).select(*tx.columns)
+    ends = tx.filter(accepted).join(rows, (F.col("_key") == tx[key]) & (F.col("_ts") == tx[ts]))
+    return ends.filter(_nearest_above(value) >= in_time).select(*tx.columns)
