@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections import Counter as Tally
 
@@ -11,7 +12,7 @@ import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vaultline.llm.packing import Encoder, packed_documents, place
+from vaultline.llm.packing import Encoder, best_fit_rounds, packed_documents
 from vaultline.llm.token_counts import Counter, splits_before_spaces, token_counts, units
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -69,32 +70,45 @@ def test_token_counts_of_rows(docs):
     assert token_counts(rows.limit(0), PIECES).count() == 0
 
 
-def sequences_of(runs):
-    filled = {}
-    for length, _, number, first, offset in runs:
-        for i in range(number):
-            filled.setdefault(first + i, []).append((offset, length))
-    return filled
-
-
-@settings(max_examples=100, deadline=None)
-@given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), max_size=12))
-def test_place_fills_without_gaps(lengths):
-    runs = place(lengths, 40)
-    assert {n: sum(r[2] for r in runs if r[0] == n) for n in lengths} == lengths
-    for length in lengths:
-        own = sorted((r[1], r[2]) for r in runs if r[0] == length)
-        assert [first for first, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]
-    filled = sequences_of(runs)
-    assert sorted(filled) == list(range(len(filled)))
+def plain_best_fit(lengths, capacity):
+    """The number of sequences that one piece after the other needs, longest first, each in the least gap that holds it."""
+    gaps, opened = [], 0
+    for length in sorted(lengths, reverse=True):
+        for _ in range(lengths[length]):
+            at = bisect.bisect_left(gaps, length)
+            gap = gaps.pop(at) if at < len(gaps) else capacity
+            opened += gap == capacity
+            if gap > length:
+                bisect.insort(gaps, gap - length)
+    return opened
+
+
+@pytest.mark.parametrize(
+    ("lengths", "capacity"),
+    [
+        ({30: 4, 12: 7, 3: 9}, 40),
+        ({37: 2, 25: 9, 18: 30, 17: 4, 11: 13, 7: 21, 4: 8, 1: 3}, 40),
+        ({40: 3, 21: 20, 13: 50, 5: 1}, 40),
+        ({600: 1000, 3: 10_000}, 2048),
+        ({1: 7}, 5),
+        ({}, 40),
+    ],
+)
+def test_rounds_place_every_piece_like_plain_best_fit(spark, lengths, capacity):
+    frame = spark.createDataFrame(list(lengths.items()), "length bigint, number bigint")
+    ranks, filled = {length: [] for length in lengths}, {}
+    for run in best_fit_rounds(frame, capacity).collect():
+        ranks[run["size"]] += range(run["first"], run["first"] + run["per"] * run["number"])
+        for i in range(run["number"]):
+            filled.setdefault(run["sequence"] + i, []).append((run["offset"], run["size"] * run["per"]))
+    assert {length: sorted(own) for length, own in ranks.items()} == {length: list(range(n)) for length, n in lengths.items()}
     for parts in filled.values():
         end = 0
         for offset, length in sorted(parts):
             assert offset == end
             end += length
-        assert end <= 40
-    # No two sequences could be one.
-    assert sum(sum(length for _, length in parts) <= 20 for parts in filled.values()) <= 1
+        assert end <= capacity
+    assert len(filled) <= plain_best_fit(lengths, capacity) + 1
 
 
 def test_packed_documents(docs):

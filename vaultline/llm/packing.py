@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import bisect
 import os
 import re
 import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import materialise, per_worker, running_sums, shuffle_key
@@ -133,72 +133,144 @@ def token_pieces(
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {PIECES}")
 
 
-def place(lengths: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """Runs (length, first rank, number, first sequence, offset): where the pieces of each length go.
+STATE = ("kind", "size", "first", "number", "per", "sequence", "offset")
 
-    ``lengths`` has the number of pieces of each length. Pieces of one length are alike, and so are gaps
-    of one size: both sides are sorted lists of at most ``capacity`` entries with counts, however many
-    documents there are. In rounds from the longest pieces to the shortest, the pieces still without a place
-    take the successor of their length among the gaps, the smallest that holds them. If
-    they are more than the gaps, the first ranks win and the others go on to the next gap; if no gap
-    is left, they open sequences. The gaps are updated before the next match.
+
+def state_row(kind: Column | str, size, first, number, per=0, sequence=0, offset=0) -> Column:
+    """A row of the state of the rounds, as a struct: ``number`` gaps or pieces of one size from ``first`` on, or a run."""
+    values = [F.lit(value).cast("bigint") for value in (size, first, number, per, sequence, offset)]
+    return F.struct(*[value.alias(name) for name, value in zip(STATE, (F.lit(kind), *values), strict=True)])
+
+
+def clipped(value: Column, most: Column) -> Column:
+    return F.least(F.greatest(value, F.lit(0)), most)
+
+
+def fitted(state: DataFrame, low: int, high: int, capacity: int) -> DataFrame:
+    """One round: the pieces of ``low`` < length <= ``high`` are matched with gaps; gaps, pieces and new runs after it.
+
+    ``gap`` rows are ``number`` sequences from ``first`` on with ``size`` free tokens, ``piece`` rows the ranks of a length that
+    have no place yet. A gap offers as many slots as pieces of length ``high`` fit into it, at least one. A sweep over gaps and
+    lengths in order of size hands each length its successor, the least gap that holds it. Of the lengths that ask for one gap
+    the longer ones win, rank by rank, until its slots are taken; the other ranks ask again in the next round. ``run`` rows say
+    where ranks go: from rank ``first`` on, ``per`` each to ``number`` sequences from ``sequence`` on, the first at ``offset``.
+    """
+    is_gap = F.col("kind") == "gap"
+    active = F.col("size") > low
+    active &= is_gap | (F.col("size") <= high)
+    descending = Window.orderBy(F.desc("size"), "kind", "first").rowsBetween(Window.unboundedPreceding, 0)
+    successor = F.when(active, F.last(F.when(is_gap & active, F.col("size")), ignorenulls=True).over(descending))
+    # One task: the rows are counts of sizes, see best_fit_rounds.
+    swept = state.filter("kind <> 'run'").coalesce(1).withColumn("gap", successor)
+    slots = F.when(is_gap, F.greatest(F.floor(F.col("gap") / high), F.lit(1))).otherwise(1).cast("bigint")
+    swept = swept.withColumn("slots", slots).withColumn("n", F.col("number") * F.col("slots"))
+    # Inside a gap size, the slots and those that ask for them are both numbered from 0, and the first ones match.
+    mine = Window.partitionBy("gap", "kind").orderBy(F.desc("size"), "first").rowsBetween(Window.unboundedPreceding, 0)
+    swept = swept.withColumn("from", F.sum("n").over(mine) - F.col("n"))
+    both = Window.partitionBy("gap")
+    offered, asked = (F.sum(F.when(side, F.col("n")).otherwise(0)).over(both) for side in (is_gap, ~is_gap))
+    swept = swept.withColumn("matches", F.when(F.col("gap").isNull(), 0).otherwise(F.least(offered, asked)))
+    # From one start to the next, slots of one row go to ranks of one length.
+    ordered = Window.partitionBy("gap").orderBy("from", "kind")
+    until = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    owner = F.last(F.when(is_gap, F.struct("first", "from", "slots")), ignorenulls=True).over(until)
+    asker = F.last(F.when(~is_gap, F.struct("first", "from", "size")), ignorenulls=True).over(until)
+    end = F.least(F.coalesce(F.lead("from").over(ordered), F.col("matches")), F.col("matches"))
+    swept = swept.select("*", owner.alias("owner"), asker.alias("asker"), end.alias("to"))
+    swept = swept.withColumns({"a": F.col("from") - F.col("owner.from"), "b": F.col("to") - F.col("owner.from")})
+    # Slots a to b of a row are the rest of a sequence, whole sequences, and the start of one.
+    a, b, t = F.col("a"), F.col("b"), F.col("owner.slots")
+    ends = F.least(F.ceil(a / t) * t, b)
+    starts = F.greatest(F.floor(b / t) * t, ends)
+    rank = F.col("asker.first") + F.col("from") - F.col("asker.from") - a
+    valid = F.col("from") < F.col("to")
+
+    def part(x: Column, y: Column, whole: bool) -> Column:
+        number, per = (F.floor((y - x) / t), t) if whole else (F.lit(1), y - x)
+        sequence = F.col("owner.first") + F.floor(x / t)
+        row = state_row("run", F.col("asker.size"), rank + x, F.when(valid & (x < y), number).otherwise(0), per, sequence, x)
+        return F.struct(row.alias("row"), F.col("gap"))
+
+    taken = clipped(F.col("matches") - F.col("from"), F.col("n"))
+    gone = F.ceil(taken / F.col("slots"))
+    rest = F.struct(state_row(F.col("kind"), F.col("size"), F.col("first") + gone, F.col("number") - gone).alias("row"), F.col("gap"))
+    parts = swept.select(F.inline(F.array(rest, part(a, ends, False), part(ends, starts, True), part(starts, b, False))))
+    parts = parts.filter("row.number > 0").select("row.*", "gap")
+    # Parts of one sequence lie one behind the other; so far ``offset`` is the slot.
+    inside = Window.partitionBy("kind", "sequence").orderBy("offset")
+    used = F.col("per") * F.col("size")
+    filled = F.sum(used).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    parts = parts.select("*", filled.alias("filled"), F.lead("kind").over(inside).isNull().alias("last"))
+    is_run = F.col("kind") == "run"
+    offset = F.when(is_run, capacity - F.col("gap") + F.col("filled") - used).otherwise(0)
+    row = state_row(*[F.col(name) for name in STATE[:-1]], offset)
+    left = F.when(is_run & F.col("last"), F.col("gap") - F.col("filled")).otherwise(0)
+    return parts.select(F.inline(F.array(row, state_row("gap", left, F.col("sequence"), F.col("number"))))).filter("size > 0")
+
+
+def best_fit_rounds(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Runs (size, first, number, per, sequence, offset; see :func:`fitted`) that place all pieces of (length, number).
+
+    Pieces of one length are alike, and so are gaps of one size, so each round of matches works on counts: a row per length, and a row per
+    gap size and stretch of sequences, whose number depends on ``capacity`` and the rounds, not on the number of
+    documents. Each round is written, so it is not done again. It begins with as many empty sequences as the tokens need at least. Lengths of the upper half
+    come first, then the next half, and so on; of each, rounds go on until all have a place or no gap holds the shortest one, and
+    then as many sequences are opened as the rest needs at least. The driver sees a row per half.
     """
-    runs: list[tuple[int, int, int, int, int]] = []
-    gaps: dict[int, list[tuple[int, int]]] = {}  # size: (first sequence, number of sequences)
-    sizes: list[int] = []
-    sequences = 0
-
-    def give(gap: int, first: int, number: int) -> None:
-        if gap and number:
-            if gap not in gaps:
-                bisect.insort(sizes, gap)
-                gaps[gap] = []
-            gaps[gap].append((first, number))
-
-    for length in sorted(lengths, reverse=True):
-        rank, left = 0, lengths[length]
-        while left:
-            at = bisect.bisect_left(sizes, length)
-            if at == len(sizes):  # open as many sequences as these pieces need
-                gap, first, number = capacity, sequences, -(-left // (capacity // length))
-                sequences += number
-            else:
-                gap = sizes[at]
-                first, number = gaps[gap].pop()
-                if not gaps[gap]:
-                    del gaps[gap], sizes[at]
-            taken = min(number, left)
-            runs.append((length, rank, taken, first, capacity - gap))
-            give(gap, first + taken, number - taken)
-            give(gap - length, first, taken)
-            rank, left = rank + taken, left - taken
-    return runs
+    spark = lengths.sparkSession
+    halves = [capacity >> k for k in range(capacity.bit_length())]
+    half = sum((F.when(F.col("size") <= high, 1).otherwise(0) for high in halves[1:]), F.lit(0))
+    opened = -(-(lengths.agg(F.sum(F.col("length") * F.col("number")).alias("n")).first()["n"] or 0) // capacity)
+    state = lengths.select(state_row("piece", F.col("length"), 0, F.col("number")).alias("row")).select("row.*")
+
+    def empty(first: int, number: int) -> DataFrame:
+        return spark.range(1).select(state_row("gap", capacity, first, number).alias("row")).select("row.*")
+
+    state = materialise(state.unionByName(empty(0, opened)).filter("number > 0").coalesce(1), "round")
+    rounds = [state]
+    while True:
+        of = F.when(F.col("kind") == "piece", half).otherwise(-1).alias("half")
+        sums = state.filter("kind <> 'run'").coalesce(1).groupBy(of).agg(
+            F.sum("number").alias("n"), F.sum(F.col("size") * F.col("number")).alias("tokens"),
+            F.min("size").alias("least"), F.max("size").alias("most"),
+        )
+        found = {row["half"]: row for row in sums.collect()}
+        widest = found.pop(-1)["most"] if -1 in found else 0
+        if not found:
+            break
+        at = min(found)
+        high, left = halves[at], found[at]
+        if widest < left["least"]:
+            more = max(-(-left["tokens"] // capacity), -(-left["n"] // (capacity // left["least"])))
+            state = state.filter("kind <> 'run'").unionByName(empty(opened, more))
+            opened += more
+        state = materialise(fitted(state, high // 2, high, capacity), "round")
+        rounds.append(state)
+    return reduce(DataFrame.unionByName, rounds).filter("kind = 'run'").drop("kind")
 
 
 def best_fit_packing(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows (doc_id, piece, start, length, ids_crc32).
 
-    The number of pieces of each length, at most ``capacity`` rows, is all the driver sees. It
-    matches lengths with gaps (:func:`place`); a distributed rank inside each length, cut into bins
+    Lengths are matched with gaps in rounds (:func:`best_fit_rounds`); a distributed rank inside each length, cut into bins
     so that no task sees a whole length, then gives each piece its place. The runs that are broadcast depend on
-    ``capacity`` alone.
+    ``capacity`` and the number of rounds.
 
     Every sequence is filled from 0 without gaps and holds at most ``capacity`` tokens. Pieces that are equal in all
     columns are packed each; an empty table gives no rows.
     """
-    spark = pieces.sparkSession
-    lengths = {row["length"]: row["n"] for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    runs = spark.createDataFrame(
-        place(lengths, capacity), "run_length bigint, first bigint, number bigint, sequence bigint, offset bigint"
-    )
+    lengths = materialise(pieces.groupBy("length").agg(F.count("*").alias("number")), "lengths")
+    rows = lengths.agg(F.sum("number").alias("n")).first()["n"] or 0
+    runs = materialise(best_fit_rounds(lengths, capacity).coalesce(1), "runs")
     keyed = pieces.withColumn("key", shuffle_key(F.col("doc_id"), F.col("piece"))).withColumn("one", F.lit(1))
-    ranked = running_sums(keyed, ["length"], "key", ["doc_id", "piece"], "one", sum(lengths.values()))
-    rank = F.col("before")
-    inside = (F.col("length") == F.col("run_length")) & (rank >= F.col("first")) & (rank < F.col("first") + F.col("number"))
+    ranked = running_sums(keyed, ["length"], "key", ["doc_id", "piece"], "one", rows)
+    at = F.col("before") - F.col("first")
+    inside = (F.col("length") == F.col("size")) & (at >= 0) & (at < F.col("per") * F.col("number"))
     placed = ranked.join(F.broadcast(runs), inside)
     return placed.select(
         "doc_id", "piece", "start", "length", "ids_crc32",
-        (F.col("sequence") + rank - F.col("first")).alias("sequence_id"), "offset",
+        (F.col("sequence") + F.floor(at / F.col("per"))).alias("sequence_id"),
+        (F.col("offset") + at % F.col("per") * F.col("length")).alias("offset"),
     )
 
 
