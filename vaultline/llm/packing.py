@@ -142,64 +142,67 @@ def state_row(kind: Column | str, size, first, number, per=0, sequence=0, offset
     return F.struct(*[value.alias(name) for name, value in zip(STATE, (F.lit(kind), *values), strict=True)])
 
 
-def clipped(value: Column, most: Column) -> Column:
-    return F.least(F.greatest(value, F.lit(0)), most)
-
-
 def fitted(state: DataFrame, low: int, high: int, capacity: int) -> DataFrame:
     """One round: the pieces of ``low`` < length <= ``high`` are matched with gaps; gaps, pieces and new runs after it.
 
     ``gap`` rows are ``number`` sequences from ``first`` on with ``size`` free tokens, ``piece`` rows the ranks of a length that
-    have no place yet. A gap offers as many slots as pieces of length ``high`` fit into it, at least one. A sweep over gaps and
-    lengths in order of size hands each length its successor, the least gap that holds it. Of the lengths that ask for one gap
-    the longer ones win, rank by rank, until its slots are taken; the other ranks ask again in the next round. ``run`` rows say
-    where ranks go: from rank ``first`` on, ``per`` each to ``number`` sequences from ``sequence`` on, the first at ``offset``.
+    have no place yet. A gap offers as many slots as pieces of length ``high`` fit into it, at least one. Two sweeps over gaps
+    and lengths: from the largest down, a piece for which no slot is left loses, the last ranks of a length first; from the
+    smallest up, each winner takes its successor, the least slot that holds it, or if shorter ones have that, the next one
+    free. ``run`` rows say where ranks go: from rank ``first`` on, ``per`` each to ``number`` sequences from ``sequence`` on,
+    the first at ``offset``.
     """
     is_gap = F.col("kind") == "gap"
-    active = F.col("size") > low
-    active &= is_gap | (F.col("size") <= high)
-    descending = Window.orderBy(F.desc("size"), "kind", "first").rowsBetween(Window.unboundedPreceding, 0)
-    successor = F.when(active, F.last(F.when(is_gap & active, F.col("size")), ignorenulls=True).over(descending))
+    active = (F.col("size") > low) & (is_gap | (F.col("size") <= high))
+    slots = F.when(is_gap, F.greatest(F.floor(F.col("size") / high), F.lit(1))).otherwise(1).cast("bigint")
     # One task: the rows are counts of sizes, see best_fit_rounds.
-    swept = state.filter("kind <> 'run'").coalesce(1).withColumn("gap", successor)
-    slots = F.when(is_gap, F.greatest(F.floor(F.col("gap") / high), F.lit(1))).otherwise(1).cast("bigint")
-    swept = swept.withColumn("slots", slots).withColumn("n", F.col("number") * F.col("slots"))
-    # Inside a gap size, the slots and those that ask for them are both numbered from 0, and the first ones match.
-    mine = Window.partitionBy("gap", "kind").orderBy(F.desc("size"), "first").rowsBetween(Window.unboundedPreceding, 0)
-    swept = swept.withColumn("from", F.sum("n").over(mine) - F.col("n"))
-    both = Window.partitionBy("gap")
-    offered, asked = (F.sum(F.when(side, F.col("n")).otherwise(0)).over(both) for side in (is_gap, ~is_gap))
-    swept = swept.withColumn("matches", F.when(F.col("gap").isNull(), 0).otherwise(F.least(offered, asked)))
-    # From one start to the next, slots of one row go to ranks of one length.
-    ordered = Window.partitionBy("gap").orderBy("from", "kind")
-    until = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    owner = F.last(F.when(is_gap, F.struct("first", "from", "slots")), ignorenulls=True).over(until)
-    asker = F.last(F.when(~is_gap, F.struct("first", "from", "size")), ignorenulls=True).over(until)
-    end = F.least(F.coalesce(F.lead("from").over(ordered), F.col("matches")), F.col("matches"))
-    swept = swept.select("*", owner.alias("owner"), asker.alias("asker"), end.alias("to"))
-    swept = swept.withColumns({"a": F.col("from") - F.col("owner.from"), "b": F.col("to") - F.col("owner.from")})
-    # Slots a to b of a row are the rest of a sequence, whole sequences, and the start of one.
+    swept = state.filter("kind <> 'run'").coalesce(1).withColumn("slots", slots)
+    swept = swept.withColumn("n", F.when(active, F.col("number") * F.col("slots")).otherwise(0))
+    start, here, before = Window.unboundedPreceding, Window.currentRow, -1
+    down = Window.orderBy(F.desc("size"), "kind", "first")
+    swept = swept.withColumn("level", F.sum(F.when(is_gap, F.col("n")).otherwise(-F.col("n"))).over(down.rowsBetween(start, here)))
+    lost = [-F.least(F.min("level").over(down.rowsBetween(start, end)), F.lit(0)) for end in (here, before)]
+    swept = swept.withColumn("m", F.col("n") - F.when(is_gap, 0).otherwise(lost[0] - lost[1]))
+    up = Window.orderBy("size", F.desc("kind"), "first")
+    sums = [F.coalesce(F.sum(F.when(side, F.col("m"))).over(up.rowsBetween(start, before)), F.lit(0)) for side in (is_gap, ~is_gap)]
+    swept = swept.withColumns({"slots_below": sums[0], "won_below": sums[1]})
+    ahead = F.max(F.when(~is_gap & (F.col("m") > 0), F.col("slots_below") - F.col("won_below"))).over(up.rowsBetween(start, here))
+    swept = swept.withColumn("from", F.when(is_gap, F.col("slots_below")).otherwise(F.col("won_below") + ahead))
+    # From one start to the next, slots of one row go to ranks of one length, or stay free.
+    ordered = Window.partitionBy(F.col("m") > 0).orderBy("from", "kind")
+    until = ordered.rowsBetween(start, here)
+    span = (F.col("from") + F.col("m")).alias("to")
+    owner = F.last(F.when(is_gap, F.struct("first", "from", "size", "slots", span)), ignorenulls=True).over(until)
+    asker = F.last(F.when(~is_gap, F.struct("first", "from", "size", span)), ignorenulls=True).over(until)
+    swept = swept.select("*", owner.alias("owner"), asker.alias("asker"), F.lead("from").over(ordered).alias("next"))
+    live = (F.col("m") > 0) & F.col("owner").isNotNull()
+    swept = swept.withColumn("next", F.least("next", "owner.to"))
+    taken = F.when(live & F.col("asker").isNotNull(), F.greatest(F.least("next", "asker.to"), "from")).otherwise(F.col("from"))
+    swept = swept.withColumns({name: c - F.col("owner.from") for name, c in (("a", F.col("from")), ("b", taken), ("c", F.col("next")))})
+    # Slots a to b of a row are the rest of a sequence, whole sequences, and the start of one; b to c stay free.
     a, b, t = F.col("a"), F.col("b"), F.col("owner.slots")
     ends = F.least(F.ceil(a / t) * t, b)
     starts = F.greatest(F.floor(b / t) * t, ends)
     rank = F.col("asker.first") + F.col("from") - F.col("asker.from") - a
-    valid = F.col("from") < F.col("to")
+    gap = F.col("owner.size").alias("gap")
 
     def part(x: Column, y: Column, whole: bool) -> Column:
         number, per = (F.floor((y - x) / t), t) if whole else (F.lit(1), y - x)
         sequence = F.col("owner.first") + F.floor(x / t)
-        row = state_row("run", F.col("asker.size"), rank + x, F.when(valid & (x < y), number).otherwise(0), per, sequence, x)
-        return F.struct(row.alias("row"), F.col("gap"))
-
-    taken = clipped(F.col("matches") - F.col("from"), F.col("n"))
-    gone = F.ceil(taken / F.col("slots"))
-    rest = F.struct(state_row(F.col("kind"), F.col("size"), F.col("first") + gone, F.col("number") - gone).alias("row"), F.col("gap"))
-    parts = swept.select(F.inline(F.array(rest, part(a, ends, False), part(ends, starts, True), part(starts, b, False))))
+        row = state_row("run", F.col("asker.size"), rank + x, F.when(live & (x < y), number).otherwise(0), per, sequence, x)
+        return F.struct(row.alias("row"), gap)
+
+    free = F.ceil(b / t)
+    hole = state_row("gap", F.col("owner.size"), F.col("owner.first") + free, F.when(live, F.floor(F.col("c") / t) - free).otherwise(0))
+    kept = F.when(is_gap & active, 0).otherwise(F.col("number") - F.col("m"))
+    rest = state_row(F.col("kind"), F.col("size"), F.col("first") + F.col("m"), kept)
+    rows = [F.struct(row.alias("row"), gap) for row in (rest, hole)]
+    parts = swept.select(F.inline(F.array(*rows, part(a, ends, False), part(ends, starts, True), part(starts, b, False))))
     parts = parts.filter("row.number > 0").select("row.*", "gap")
     # Parts of one sequence lie one behind the other; so far ``offset`` is the slot.
     inside = Window.partitionBy("kind", "sequence").orderBy("offset")
     used = F.col("per") * F.col("size")
-    filled = F.sum(used).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    filled = F.sum(used).over(inside.rowsBetween(start, here))
     parts = parts.select("*", filled.alias("filled"), F.lead("kind").over(inside).isNull().alias("last"))
     is_run = F.col("kind") == "run"
     offset = F.when(is_run, capacity - F.col("gap") + F.col("filled") - used).otherwise(0)
