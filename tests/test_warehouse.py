@@ -226,3 +226,28 @@ def test_a_broken_history_fails_before_its_commit(spark, tmp_path):
     with pytest.raises(ConstraintError, match="effective_from before effective_to: 1"):
         store.load_history(schemas.CARDS, stage, stage.select("card_num"), as_of=ts("2021-03-02"))
     assert store.latest(schemas.CARDS.table)[0] == 0
+
+
+@pytest.mark.parametrize(
+    ("second", "broken"),
+    [
+        (("2021-01-01", schemas.OPEN_END), 1),  # the same version twice
+        (("2021-02-01", schemas.OPEN_END), 1),  # begins before the first one ends
+        (("2021-03-01", schemas.OPEN_END), 1),  # begins as the first one ends
+        (("2021-03-01 00:00:01", schemas.OPEN_END), 0),
+    ],
+)
+def test_versions_of_a_whole_history_do_not_overlap(spark, tmp_path, second, broken):
+    store, dim = Store(spark, str(tmp_path)), schemas.CARDS
+    spans = [("c", "2021-01-01", "2021-03-01" if second[0] != "2021-01-01" else schemas.OPEN_END), ("c", *second), ("d", *second)]
+    rows = spark.createDataFrame(spans, "card_num string, effective_from string, effective_to string").select(
+        "card_num", F.lit("a").alias("account_num"),
+        *[F.col(name).cast("timestamp_ntz").alias(name) for name in ("effective_from", "effective_to")], F.lit("N").alias("deleted_flg"),
+    )
+    if broken:
+        with pytest.raises(ConstraintError, match="versions of card_num apart: 1"):
+            store.import_history(dim, rows, ts("2021-01-01"))
+        assert store.latest(dim.table)[0] == 0
+    else:
+        assert store.import_history(dim, rows, ts("2021-01-01")) == 3
+        assert store.compact_history(dim) == 3

@@ -25,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import is_current
@@ -355,11 +355,20 @@ class Store:
         current = F.col("attempt").isin([a for a, p in there if p == "current"]) & (F.col("part") == "current")
         return self.spark.table(name).filter(current | settled), next((r.base for r in of if r.version == version), 1)
 
-    def _write_history(self, dim: Dimension, rows: DataFrame) -> tuple[str, int]:
+    def _write_history(self, dim: Dimension, rows: DataFrame, *, whole: bool = False) -> tuple[str, int]:
         """Write rows by part and bucket under a new attempt. The constraints of a history are counted as its rows are
-        written; one that is broken fails the load."""
+        written; one that is broken fails the load.
+
+        Of a ``whole`` history each version is also held against the one before it of its key: a version that is there twice or
+        begins before the other has ended is counted. The same shuffle brings the rows together by key. A load needs no
+        such test: its stage has each key once, and it adds a version only behind the one that it closes.
+        """
         attempt, seen = new_attempt(), Observation()
         rules = history_rules(dim.key)
+        if whole:
+            ordered = Window.partitionBy(dim.key).orderBy("effective_from", "effective_to")
+            rows = rows.withColumn("_ended", F.lag("effective_to").over(ordered))
+            rules[f"versions of {dim.key} apart"] = F.col("_ended") < F.col("effective_from")
         counted = rows.observe(
             seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(~rule).alias(name) for name, rule in rules.items()]
         )
@@ -403,7 +412,7 @@ class Store:
     def import_history(self, dim: Dimension, rows: DataFrame, watermark: datetime) -> int:
         """Commit a whole history, as it is, as the next version. It replaces what was there."""
         version, _ = self.latest(dim.table)
-        attempt, count = self._write_history(dim, rows.select(*dim.columns).hint("rebalance", dim.key))
+        attempt, count = self._write_history(dim, rows.select(*dim.columns), whole=True)
         self.commit_history(dim, Loaded(version + 1, count, attempt, version + 1), watermark)
         return count
 
@@ -413,8 +422,7 @@ class Store:
         The rows stay the same, and so do older versions. A load that commits meanwhile makes this fail with :class:`Overtaken`.
         """
         version, watermark = self.latest(dim.table)
-        rows = self.history(dim, version).hint("rebalance", dim.key)
-        attempt, count = self._write_history(dim, rows)
+        attempt, count = self._write_history(dim, self.history(dim, version), whole=True)
         self.commit_history(dim, Loaded(version + 1, count, attempt, version + 1), watermark)
         return count
 
