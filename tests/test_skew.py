@@ -165,3 +165,12 @@ def test_loose_chains_of_a_hot_card_hold_no_arrays(spark):
     found = moments.loose_chain(tx, key="card_num", ts="trans_date", amount="amt")
     assert {int(r.trans_id) for r in found.collect()} == set(range(1199, 60_000, 1200))
     assert "collect_list" not in executed(found)
+
+
+def test_loose_chains_sort_the_moments_once(spark):
+    """Each sort of a task holds all its rows, so the windows share one."""
+    tx = hot_transactions(spark).select("trans_id", "card_num", "trans_date", "oper_type", "amt", "oper_result", "terminal")
+    found = moments.loose_chain(tx, key="card_num", ts="trans_date", amount="amt", within=5 * 86_400)
+    lines = executed(found).splitlines()
+    assert sum("Window [" in line for line in lines) > 1
+    assert sum("Sort [" in line and "_slot" in line for line in lines) == 1

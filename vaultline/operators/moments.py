@@ -281,7 +281,8 @@ def _with_nearest(
     ``_last`` is the latest candidate before the moment, ``_gap_low`` and ``_gap_spoiled`` sum up what lies between, and ``_above`` is
     the candidate before the run of equal ones that ends with ``_last``, if nothing in between undercuts or spoils
     the run. ``level`` is the amount of a candidate whose moment holds no other, else NULL. Each is a running value: one
-    pass per slot, no row looks back over a frame.
+    pass per slot, no row looks back over a frame. All windows share one partitioning and order, so a task sorts its rows
+    once: what starts anew with each candidate is an extreme of pairs that begin with the number of candidates passed.
     """
     ordered = Window.partitionBy(key, "_slot").orderBy("_second")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -292,11 +293,14 @@ def _with_nearest(
         F.last(F.when(candidate, facts), ignorenulls=True).over(before).alias("_last"),
         F.coalesce(F.count(F.when(candidate, True)).over(before), F.lit(0)).alias("_passed"),
     )
-    gap = Window.partitionBy(key, "_slot", "_passed").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    # A moment without an amount is never the least one of its gap.
+    lows = F.min(F.struct((-F.col("_passed")).alias("passed"), F.col("_low").isNull().alias("none"), F.col("_low").alias("low")))
+    spoilers = F.max(F.struct(F.col("_passed").alias("passed"), F.col("_spoils").alias("spoils")))
+    low, spoiler = lows.over(before), spoilers.over(before)
     rows = rows.select(
         "*",
-        F.min("_low").over(gap).alias("_gap_low"),
-        F.coalesce(F.max("_spoils").over(gap), F.lit(False)).alias("_gap_spoiled"),
+        F.when(low["passed"] == -F.col("_passed"), low["low"]).alias("_gap_low"),
+        F.coalesce((spoiler["passed"] == F.col("_passed")) & spoiler["spoils"], F.lit(False)).alias("_gap_spoiled"),
     )
     begins = F.coalesce(level != F.col("_last.level"), F.lit(True))
     broken = F.col("_gap_spoiled") | F.coalesce(F.col("_gap_low") < level, F.lit(False))
