@@ -12,6 +12,7 @@ import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from vaultline.llm.common import bytes_of_signs
 from vaultline.llm.packing import Encoder, best_fit_rounds, packed_documents
 from vaultline.llm.token_counts import Counter, splits_before_spaces, token_counts, units
 
@@ -62,6 +63,24 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert encoder.encode(ODD[:8]) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ODD[:8]]
 
 
+def test_words_of_letters_encode_alike_in_the_faster_library():
+    vocabulary = [token.removesuffix("</w>") for token in plain.get_vocab()]
+    known = [bytes(bytes_of_signs()[c] for c in token).decode("utf-8", "ignore") for token in vocabulary if "|" not in token]
+    words = sorted({*known, *(a + b for a, b in zip(known, known[1:], strict=False)), "straße", "ŉ", "x" * 3000, "éè" * 40})
+    for word, ids in zip(words, encoder.encode(words), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(word, add_special_tokens=False).ids
+
+
+def test_new_words_of_letters_go_through_the_faster_library_once(monkeypatch):
+    fresh, slow, fast = Encoder(WORDS), [], []
+    ids, word_ids = fresh._ids, fresh._word_ids
+    monkeypatch.setattr(fresh, "_ids", lambda some: slow.extend(some) or ids(some))
+    monkeypatch.setattr(fresh, "_word_ids", lambda some: fast.extend(some) or word_ids(some))
+    fresh.encode(["Some words, some ÉTÉ\tété.", "Words; some!", ""])
+    assert sorted(fast) == ["some", "words", "été"]
+    assert not {"some", "words", "été"} & set(slow) and len(slow) == len(set(slow))
+
+
 def test_token_counts_of_rows(docs):
     rows = docs(*enumerate(ODD), (None, "a b"), (3, None), (3, None))
     got = Tally(map(tuple, token_counts(rows, PIECES).collect()))

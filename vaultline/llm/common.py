@@ -46,6 +46,13 @@ def none_per_worker() -> None:
     per_worker("nothing", lambda: None)
 
 
+def bytes_of_signs() -> dict[str, int]:
+    """The bytes that the signs of byte-level tokenizers stand for: those that print stand for themselves, the others, in order, follow after 255."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = sorted(set(range(256)).difference(prints))
+    return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 def text_of(name: str) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

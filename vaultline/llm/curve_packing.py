@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import materialise, per_worker
+from vaultline.llm.common import bytes_of_signs, materialise, per_worker
 
 CAPACITY = 2048
 # The id after the last token of each document.
@@ -129,11 +129,7 @@ def _merger(model: dict[str, object]):
     import tiktoken
     from tokenizers.pre_tokenizers import ByteLevel
 
-    # The tokenizer's signs for bytes: those that print stand for themselves, the others, in order, follow after 255.
-    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(prints)]
-    byte_of = {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(hidden)}
-    vocabulary = model["vocab"]
+    byte_of, vocabulary = bytes_of_signs(), model["vocab"]
     merged = ["".join(pair) for pair in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])]
     ordered = [vocabulary[token] for token in merged]
     if set(byte_of) != set(ByteLevel.alphabet()) or any(a >= b for a, b in itertools.pairwise([255, *ordered])):
