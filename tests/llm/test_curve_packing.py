@@ -53,6 +53,16 @@ def test_words_encode_alike_in_the_faster_library(words):
     assert np.frombuffer(ByteEncoder.encode(encoder, [text])[0], "<u4").tolist() == ids_of(text)
 
 
+def test_no_unit_is_encoded_twice(monkeypatch):
+    fresh, slow, fast = ByteEncoder(BYTES), [], []
+    ids, word_ids = fresh._ids, fresh._word_ids
+    monkeypatch.setattr(fresh, "_ids", lambda some: slow.extend(some) or ids(some))
+    monkeypatch.setattr(fresh, "_word_ids", lambda some: fast.extend(some) or word_ids(some))
+    for text in ("A few words, words.", "Few few, words! été.", "A words, b. été"):
+        fresh.encode([text])
+    assert len(slow) == len(set(slow)) and len(fast) == len(set(fast))
+
+
 def test_real_words_encode_alike(spark):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     for text, ids in zip(texts, encoder.encode([text or "" for text in texts]), strict=True):

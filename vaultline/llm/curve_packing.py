@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +36,10 @@ BATCH_UNITS = 4096
 UNSAFE = re.compile(r"(?:^|[^!-~À-ɏЀ-ӿ一-鿿]) ")
 # A place before a space that does.
 BOUNDARY = re.compile(r"(?<=[!-~À-ɏЀ-ӿ一-鿿])(?= )")
-# Letters with marks of ASCII behind, which are words of their own.
-MARKED = re.compile(r"( ?[^\W\d_]+)([!-/:-@\[-`{-~]+)")
-# A space and letters that every version of the tables of Unicode knows: one word of the tokenizer's pattern.
-LETTERS = re.compile(r" [A-Za-zÀ-ÖØ-öø-ɏ]+")
+# Marks of ASCII; behind letters they are words of their own.
+MARKS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum())
+# Letters that every version of the tables of Unicode knows: with a space in front one word of the tokenizer's pattern.
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
 # Multiplier of a hash: 2^32 over the golden ratio.
 ODD = np.uint32(0x9E3779B1)
 
@@ -72,10 +73,10 @@ class ByteEncoder:
         self.words, self.opens = _merger(json.loads(self.tokenizer.to_str())["model"]) if self.splits else (None, None)
 
     def _word_ids(self, words: list[str]) -> Iterator[bytes]:
-        """The ids of each of the words, which are a space and letters."""
+        """The ids of each of the words, which are letters alone, with a space in front."""
         for start in range(0, len(words), BATCH_UNITS):
             some = words[start : start + BATCH_UNITS]
-            ids = np.array(self.words.encode_ordinary("".join(some)), "<u4")
+            ids = np.array(self.words.encode_ordinary(" ".join(["", *some])), "<u4")
             at = (4 * np.flatnonzero(self.opens[ids])).tolist()
             if len(at) != len(some):
                 raise ValueError("a word does not begin with one space")
@@ -88,37 +89,71 @@ class ByteEncoder:
                 ids = item.ids
                 yield struct.pack(f"<{len(ids)}I", *ids)
 
+    def _learn(self, lone: set[str], behind: list[str]) -> tuple[set[str], set[str]]:
+        """Remember the ids of units, and of parts with a space in front; gives what was not known before of either."""
+        known, spaced = self.known, self.spaced
+        rest, words, others = set(), set(), set()
+        # Units and parts that end with marks, and their stems: each is looked up alone.
+        marked = {unit: stem for unit in lone if (stem := unit.rstrip(MARKS)) != unit and stem.removeprefix(" ").isalpha()}
+        rest.update(lone.difference(marked))
+        ends: dict[str, str] = {}
+        for part in behind:
+            if part.isalpha() and (part.isascii() or LETTERS.fullmatch(part)):
+                words.add(part)
+            elif (stem := part.rstrip(MARKS)) != part and stem.isalpha():
+                ends[part] = stem
+            else:
+                others.add(part)
+        for stem in ends.values():
+            if stem not in spaced:
+                (words if stem.isascii() or LETTERS.fullmatch(stem) else others).add(stem)
+        stems = {*marked.values(), *(unit[len(stem) :] for some in (marked, ends) for unit, stem in some.items())}
+        rest.update(unit for unit in stems if unit not in known)
+        if not self.words:
+            others |= words
+            words = set()
+        for own, units, ids in ((known, list(rest), self._ids), (spaced, list(words), self._word_ids)):
+            own.update(zip(units, ids(units), strict=True))
+        spaced.update(zip(others, self._ids([" " + part for part in others]), strict=True))
+        for own, some in ((known, marked), (spaced, ends)):
+            own.update((unit, own[stem] + known[unit[len(stem) :]]) for unit, stem in some.items())
+        return rest.union(marked), words.union(others, ends)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian, four bytes each."""
         if not self.splits:
             return list(self._ids(texts))
         known, spaced = self.known, self.spaced
-        # Most texts are parts with one space between, which are looked up without it.
-        parts = [None if UNSAFE.search(text) else text.split(" ") for text in texts]
-        cut = [BOUNDARY.split(text) if own is None else own[:1] for text, own in zip(texts, parts, strict=True)]
-        tails = [own[1:] if own else [] for own in parts]
-        lone = set().union(*cut).difference(known)
-        behind = set().union(*tails).difference(spaced)
-        new = lone.union(" " + part for part in behind)
-        ends = {unit: found.groups() for unit in new if (found := MARKED.fullmatch(unit)) and found[1].strip(" ").isalpha()}
-        plain = (new - ends.keys()).union(*ends.values())
-        words = [unit for unit in plain if LETTERS.fullmatch(unit)] if self.words else []
-        found = dict(zip(words, self._word_ids(words), strict=True))
-        others = list(plain.difference(words))
-        found.update(zip(others, self._ids(others), strict=True))
-        found.update((unit, found[stem] + found[marks]) for unit, (stem, marks) in ends.items())
-        known.update((unit, found[unit]) for unit in lone)
-        spaced.update((part, found[" " + part]) for part in behind)
-        encoded = [
-            b"".join([*map(known.__getitem__, own), *map(spaced.__getitem__, tail)])
-            for own, tail in zip(cut, tails, strict=True)
-        ]
+        # Most texts are parts with one space between: Arrow splits and numbers them, and each distinct one is looked up once, without
+        # its space. The first part of a text has none; the units of other texts are looked up one by one.
+        column = pa.array(texts, pa.large_string())
+        unsafe = pc.match_substring_regex(column, UNSAFE.pattern)
+        cut = {i: BOUNDARY.split(texts[i]) for i in np.flatnonzero(unsafe.to_numpy(zero_copy_only=False)).tolist()}
+        split = pc.split_pattern(pc.if_else(unsafe, pa.scalar("", pa.large_string()), column), " ")
+        at = split.offsets.to_numpy()
+        numbered = split.values.dictionary_encode()
+        index = numbered.indices.to_numpy().astype(np.int64)
+        heads = split.values.take(pa.array(at[:-1])).to_pylist()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        follows = np.ones(len(index), bool)
+        follows[at[:-1]] = False
+        used = np.bincount(index[follows], minlength=len(distinct)) > 0
+        lone = set(heads).union(*cut.values()).difference(known)
+        behind = [part for part in itertools.compress(distinct, used.tolist()) if part not in spaced]
+        new_known, new_spaced = self._learn(lone, behind)
+        found = list(map(spaced.get, distinct, itertools.repeat(b"")))  # those that only begin texts may be missing, and are not used
+        found += [b"".join(map(known.__getitem__, cut[i])) if i in cut else known[head] for i, head in enumerate(heads)]
+        index[at[:-1]] = np.arange(len(distinct), len(found))
+        ends = np.cumsum([0, *map(len, found)], dtype=np.int64)
+        ids = pa.Array.from_buffers(pa.large_binary(), len(found), [None, *map(pa.py_buffer, (ends, b"".join(found)))])
+        _, starts, packed = ids.take(pa.array(index)).buffers()
+        places = np.frombuffer(starts, np.int64)[at].tolist()
         if len(known) + len(spaced) > REMEMBERED:  # frequent units came first; the new ones are rare
-            for unit in lone:
+            for unit in new_known:
                 del known[unit]
-            for part in behind:
+            for part in new_spaced:
                 del spaced[part]
-        return encoded
+        return [packed[start:end].to_pybytes() for start, end in itertools.pairwise(places)] if texts else []
 
 
 def _merger(model: dict[str, object]):
